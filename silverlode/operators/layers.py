@@ -12,12 +12,20 @@ from silverlode.operators.route import COPIES, ERROR_TYPE, Routed
 
 
 def layered_report(
-    routed: Routed, ts: str, zone: str, zones: DataFrame, zone_key: str, as_of: str, sla_days: int
+    bronze: DataFrame,
+    routed: Routed,
+    ts: str,
+    zone: str,
+    zones: DataFrame,
+    zone_key: str,
+    as_of: str,
+    sla_days: int,
 ) -> DataFrame:
     """One row per layer and check: failures and whether the layer passes.
 
     The routed rows are first reduced to verdict, day and zone; every check reads that small table, so
-    the trips themselves are shuffled once.
+    the trips themselves are shuffled once. ``unreconciled`` compares an independent count of the
+    raw rows with the rows the routing accounts for.
     """
     small = routed.rows.groupBy(
         F.col(ERROR_TYPE).alias("verdict"), day_of(ts).alias("day"), F.col(zone).alias("zone")
@@ -34,11 +42,6 @@ def layered_report(
         rows(F.col("verdict") == ErrorType.MISSING_CRITICAL.value).alias("missing_critical"),
         rows(F.col("verdict") == ErrorType.BUSINESS_RULE.value).alias("business_rule"),
         rows(F.col("verdict") == ErrorType.INDETERMINATE.value).alias("indeterminate"),
-        (
-            F.coalesce(F.sum("copies"), F.lit(0))
-            - F.coalesce(F.sum("n"), F.lit(0))
-            - F.coalesce(F.sum(F.col("copies") - F.col("n")), F.lit(0))
-        ).alias("unreconciled"),
         F.when(rows(clean) > 0, 0).otherwise(1).cast("bigint").alias("empty"),
         F.when(age <= sla_days, 0).otherwise(1).cast("bigint").alias("stale"),
     )
@@ -47,7 +50,6 @@ def layered_report(
         "missing_critical": "2_rules",
         "business_rule": "2_rules",
         "indeterminate": "2_rules",
-        "unreconciled": "3_aggregation",
         "empty": "4_consumption",
         "stale": "4_consumption",
     }
@@ -55,10 +57,20 @@ def layered_report(
     absent = absent_members(zones, zone_key, small.where(clean), "zone").agg(
         F.lit("absent_zones").alias("check"), F.count(F.lit(1)).alias("failures")
     )
+    raw = bronze.agg(F.count(F.lit(1)).alias("rows"))
+    accounted = small.agg((-F.coalesce(F.sum("copies"), F.lit(0))).alias("rows"))
+    unreconciled = raw.unionByName(accounted).agg(
+        F.lit("unreconciled").alias("check"), F.abs(F.sum("rows")).alias("failures")
+    )
+    checks |= {"absent_zones": "4_consumption", "unreconciled": "3_aggregation"}
     layer = F.create_map(*[F.lit(x) for pair in checks.items() for x in pair])
-    return long.unionByName(absent).select(
-        F.coalesce(layer[F.col("check")], F.lit("4_consumption")).alias("layer"),
-        "check",
-        "failures",
-        (F.col("failures") == 0).alias("passed"),
+    return (
+        long.unionByName(absent)
+        .unionByName(unreconciled)
+        .select(
+            layer[F.col("check")].alias("layer"),
+            "check",
+            "failures",
+            (F.col("failures") == 0).alias("passed"),
+        )
     )
