@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.functions.contract import CRITICAL_COLUMNS, DEDUP_KEYS, FILL_DEFAULTS
 from silverlode.functions.rules import Rule, cleaning_rules
@@ -104,14 +105,15 @@ def run(
     silver = _layer(staged, "silver").silver
     if policy:
         silver = apply_policy(silver, policy, salt=salt)
+    silver = with_year_month(silver, "tpep_pickup_datetime")
     write_parquet(
-        with_year_month(silver, "tpep_pickup_datetime"),
+        silver,
         layers.silver,
         partition_by=("year", "month"),
         dynamic=refresh_months,
     )
     if layers.gold:
-        rebuild_gold(spark, layers.silver, layers.gold)
+        rebuild_gold(spark, layers.silver, layers.gold, silver.schema)
     delete_path(spark, path)
 
     total = counts["input_rows"]
@@ -126,9 +128,15 @@ def run(
     return metrics
 
 
-def rebuild_gold(spark: SparkSession, silver_path: str, gold_path: str) -> None:
-    """Aggregates are derived from the whole clean layer; they hold no row-level data."""
-    silver = spark.read.parquet(silver_path)
+def rebuild_gold(
+    spark: SparkSession, silver_path: str, gold_path: str, schema: T.StructType | None = None
+) -> None:
+    """Aggregates are derived from the whole clean layer; they hold no row-level data.
+
+    A schema lets an empty clean layer be read.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    silver = reader.parquet(silver_path)
     gold = daily_revenue_by_zone(silver, "tpep_pickup_datetime", "PULocationID", "total_amount")
     write_parquet(gold.hint("rebalance"), gold_path)
 
