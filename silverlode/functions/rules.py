@@ -48,6 +48,12 @@ def below(column: str, limit: float) -> Rule:
     return Rule(f"{column}_lt_{limit:g}", F.col(column) < limit)
 
 
+def too_few(column: str, minimum: float) -> Rule:
+    """Fewer than the minimum; with a minimum of one, fractions above zero still pass."""
+    wrong = F.col(column) <= 0 if minimum == 1 else F.col(column) < minimum
+    return Rule(f"{column}_low", wrong)
+
+
 def in_future(column: str, label: str, as_of: str) -> Rule:
     return Rule(f"{label}_in_future", F.col(column) > ntz(as_of))
 
@@ -72,17 +78,12 @@ def in_domain(column: str, values: Sequence[str]) -> Rule:
 def cleaning_rules(as_of: str, passengers: tuple[float, float] = (1, 10)) -> list[Rule]:
     """The rules that decide whether a trip may enter the clean layer."""
     low, high = passengers
-    passenger_low = (
-        Rule("passenger_count_low", F.col("passenger_count") <= 0)
-        if low == 1
-        else below("passenger_count", low)
-    )
     return [
         negative("fare_amount"),
         negative("trip_distance"),
         negative("total_amount"),
         negative("tip_amount"),
-        passenger_low,
+        too_few("passenger_count", low),
         above("passenger_count", high),
         in_future("tpep_pickup_datetime", "pickup", as_of),
         in_future("tpep_dropoff_datetime", "dropoff", as_of),

@@ -6,10 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.contract import ErrorType
+from silverlode.functions.predicates import count_where
 from silverlode.functions.scalars import day_of, ntz
-from silverlode.operators.relations import absent_members
 from silverlode.operators.route import COPIES, ERROR_TYPE, Routed
 
+CHECKS = {
+    "type_error": "1_reading",
+    "missing_critical": "2_rules",
+    "business_rule": "2_rules",
+    "indeterminate": "2_rules",
+    "unreconciled": "3_aggregation",
+    "empty": "4_consumption",
+    "stale": "4_consumption",
+    "absent_zones": "4_consumption",
+}
+
 
 def layered_report(
     bronze: DataFrame,
@@ -23,54 +34,47 @@ def layered_report(
 ) -> DataFrame:
     """One row per layer and check: failures and whether the layer passes.
 
-    The routed rows are first reduced to verdict, day and zone; every check reads that small table, so
-    the trips themselves are shuffled once. ``unreconciled`` compares an independent count of the
-    raw rows with the rows the routing accounts for.
+    The routed rows are reduced to one row per zone, which then meets the expected zones; every check
+    is read off that, so the trips are shuffled once. ``unreconciled`` compares an independent count
+    of the raw rows with the rows the routing accounts for.
     """
-    small = routed.rows.groupBy(
-        F.col(ERROR_TYPE).alias("verdict"), day_of(ts).alias("day"), F.col(zone).alias("zone")
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum(COPIES).alias("copies"))
-    clean = F.col("verdict").isNull()
-
-    def rows(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-
-    newest = F.max(F.when(clean, F.col("day")))
-    age = F.date_diff(ntz(as_of).cast("date"), newest)
-    counted = small.agg(
-        rows(F.col("verdict") == ErrorType.TYPE_ERROR.value).alias("type_error"),
-        rows(F.col("verdict") == ErrorType.MISSING_CRITICAL.value).alias("missing_critical"),
-        rows(F.col("verdict") == ErrorType.BUSINESS_RULE.value).alias("business_rule"),
-        rows(F.col("verdict") == ErrorType.INDETERMINATE.value).alias("indeterminate"),
-        F.when(rows(clean) > 0, 0).otherwise(1).cast("bigint").alias("empty"),
-        F.when(age <= sla_days, 0).otherwise(1).cast("bigint").alias("stale"),
+    verdict = F.col(ERROR_TYPE)
+    by_zone = routed.rows.groupBy(F.col(zone).alias("_zone")).agg(
+        count_where(verdict == ErrorType.TYPE_ERROR.value).alias("type_error"),
+        count_where(verdict == ErrorType.MISSING_CRITICAL.value).alias("missing_critical"),
+        count_where(verdict == ErrorType.BUSINESS_RULE.value).alias("business_rule"),
+        count_where(verdict == ErrorType.INDETERMINATE.value).alias("indeterminate"),
+        count_where(verdict.isNull()).alias("clean"),
+        F.sum(COPIES).alias("accounted"),
+        F.max(F.when(verdict.isNull(), day_of(ts))).alias("newest"),
+    )
+    expected = zones.select(F.col(zone_key).alias("_expected")).distinct()
+    matched = by_zone.join(expected, F.col("_zone") == F.col("_expected"), "full")
+    sums = ("type_error", "missing_critical", "business_rule", "indeterminate", "clean", "accounted")
+    seen = matched.agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.max("newest").alias("newest"),
+        count_where(
+            F.col("_expected").isNotNull() & (F.coalesce("clean", F.lit(0)) == 0)
+        ).alias("absent_zones"),
     )
-    checks = {
-        "type_error": "1_reading",
-        "missing_critical": "2_rules",
-        "business_rule": "2_rules",
-        "indeterminate": "2_rules",
-        "empty": "4_consumption",
-        "stale": "4_consumption",
-    }
-    long = counted.unpivot([], list(checks), "check", "failures")
-    absent = absent_members(zones, zone_key, small.where(clean), "zone").agg(
-        F.lit("absent_zones").alias("check"), F.count(F.lit(1)).alias("failures")
+    raw = bronze.agg(F.count(F.lit(1)).alias("raw"))
+    totals = seen.unionByName(raw, allowMissingColumns=True).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*sums, "absent_zones", "raw")],
+        F.max("newest").alias("newest"),
     )
-    raw = bronze.agg(F.count(F.lit(1)).alias("rows"))
-    accounted = small.agg((-F.coalesce(F.sum("copies"), F.lit(0))).alias("rows"))
-    unreconciled = raw.unionByName(accounted).agg(
-        F.lit("unreconciled").alias("check"), F.abs(F.sum("rows")).alias("failures")
+    age = F.date_diff(ntz(as_of).cast("date"), F.col("newest"))
+    counted = totals.withColumns(
+        {
+            "unreconciled": F.abs(F.col("raw") - F.col("accounted")),
+            "empty": F.when(F.col("clean") > 0, 0).otherwise(1).cast("bigint"),
+            "stale": F.when(age <= sla_days, 0).otherwise(1).cast("bigint"),
+        }
     )
-    checks |= {"absent_zones": "4_consumption", "unreconciled": "3_aggregation"}
-    layer = F.create_map(*[F.lit(x) for pair in checks.items() for x in pair])
-    return (
-        long.unionByName(absent)
-        .unionByName(unreconciled)
-        .select(
-            layer[F.col("check")].alias("layer"),
-            "check",
-            "failures",
-            (F.col("failures") == 0).alias("passed"),
-        )
+    layer = F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair])
+    return counted.select(*CHECKS).unpivot([], list(CHECKS), "check", "failures").select(
+        layer[F.col("check")].alias("layer"),
+        "check",
+        "failures",
+        (F.col("failures") == 0).alias("passed"),
     )

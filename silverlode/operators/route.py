@@ -12,7 +12,12 @@ from silverlode.functions.contract import ErrorType
 from silverlode.functions.predicates import any_null, count_where, names_where, percent
 from silverlode.functions.rules import Rule, any_undecided, any_violated
 from silverlode.functions.scalars import ntz
-from silverlode.operators.clean import ORIGINAL, TYPE_ERRORS, present_defaults
+from silverlode.operators.clean import (
+    ORIGINAL,
+    TYPE_ERRORS,
+    normalize_checked,
+    present_defaults,
+)
 from silverlode.operators.dedup import dedup
 from silverlode.sources.readers import CORRUPT, SOURCE_FILE
 
@@ -236,9 +241,44 @@ def reprocess(
 ) -> Routed:
     """Judge dead letters again under new rules; ``silver`` are the recovered rows.
 
-    Dead letters were deduplicated when they were first routed, so this is narrow.
+    Dead letters were deduplicated when they were first routed, so this is narrow. Defaults had been
+    filled in before a row failed a rule, so a recovered row scores as if it had come complete. Rows
+    that could not be read keep their verdict; ``reread`` is for them.
     """
-    source = dead_letters.drop(ERROR_TYPE, ERROR_MESSAGE, FAILED_AT, ORIGINAL).withColumn(
-        COPIES, F.lit(1).cast("bigint")
+    unreadable = F.col(ERROR_TYPE).isin(ErrorType.SCHEMA_MISMATCH.value, ErrorType.TYPE_ERROR.value)
+    source = dead_letters.withColumns(
+        {
+            COPIES: F.lit(1).cast("bigint"),
+            "_was_type": F.when(unreadable, F.col(ERROR_TYPE)),
+            "_was_message": F.col(ERROR_MESSAGE),
+        }
+    ).drop(ERROR_TYPE, ERROR_MESSAGE, FAILED_AT)
+    judged = judge(source, critical, fills, rules, on_null)
+    stays = F.col("_was_type").isNotNull()
+    kept = judged.withColumns(
+        {
+            ERROR_MESSAGE: F.when(stays, F.col("_was_message")).otherwise(F.col(ERROR_MESSAGE)),
+            ERROR_TYPE: F.coalesce("_was_type", ERROR_TYPE),
+        }
+    )
+    return Routed(kept.drop("_was_type", "_was_message"), run_ts)
+
+
+def reread(dead_letters: DataFrame, types: dict[str, str], delimiter: str = ",") -> DataFrame:
+    """Read unreadable rows again from their original text, under corrected types.
+
+    Text kept by the type check is JSON, text kept by the reader is a delimited line whose columns are
+    those of ``types`` in that order. The result has one column per type plus what the type check
+    adds, and can be routed like any delivery.
+    """
+    names = list(types)
+    fields = ", ".join(f"`{c}` string" for c in names)
+    original = F.col(ORIGINAL)
+    row = F.when(
+        F.col(ERROR_TYPE) == ErrorType.TYPE_ERROR.value, F.from_json(original, fields)
+    ).when(
+        F.col(ERROR_TYPE) == ErrorType.SCHEMA_MISMATCH.value,
+        F.from_csv(original, F.lit(fields), {"sep": delimiter}),
     )
-    return Routed(judge(source, critical, fills, rules, on_null), run_ts)
+    text = dead_letters.select(row.alias("_row"), SOURCE_FILE).where(F.col("_row").isNotNull())
+    return normalize_checked(text.select("_row.*", SOURCE_FILE), types)

@@ -16,7 +16,7 @@ from silverlode.functions.rules import Rule, cleaning_rules
 from silverlode.functions.scalars import ntz
 from silverlode.operators.gold import daily_revenue_by_zone
 from silverlode.operators.privacy import PiiClass, apply_policy
-from silverlode.operators.route import ERROR_TYPE, Routed, route
+from silverlode.operators.route import ERROR_TYPE, Routed, reprocess, route
 from silverlode.session import delete_path, scratch_path
 from silverlode.sinks.writers import with_year_month, write_dead_letters, write_parquet
 
@@ -128,6 +128,41 @@ def run(
     return metrics
 
 
+def reprocess_dead_letters(
+    spark: SparkSession,
+    layers: Layers,
+    run_ts: str,
+    rules: Sequence[Rule],
+    critical: Sequence[str] = CRITICAL_COLUMNS,
+    fills: dict | None = None,
+    policy: dict[str, PiiClass] | None = None,
+    salt: str | None = None,
+) -> dict:
+    """Move dead letters that pass the given rules to the clean layer and keep the others.
+
+    The judged rows are written to scratch first, because the dead-letter folders are replaced from
+    them. Recovered rows are appended before the dead letters are replaced: a failure in between
+    leaves a row in both layers, which a second run settles, and never in neither.
+    """
+    letters = spark.read.parquet(layers.dead_letters).drop("year", "month", "day")
+    routed = reprocess(
+        letters, critical, FILL_DEFAULTS if fills is None else fills, rules, run_ts
+    )
+    staged, counts, path = stage(spark, routed)
+    silver = _layer(staged, "silver").silver
+    if policy:
+        silver = apply_policy(silver, policy, salt=salt)
+    write_parquet(
+        with_year_month(silver, "tpep_pickup_datetime"),
+        layers.silver,
+        mode="append",
+        partition_by=("year", "month"),
+    )
+    write_dead_letters(_layer(staged, "dead_letters").dead_letters, layers.dead_letters)
+    delete_path(spark, path)
+    return {"recovered_rows": counts["silver_rows"], "dlq_rows": counts["dlq_rows"]}
+
+
 def rebuild_gold(
     spark: SparkSession, silver_path: str, gold_path: str, schema: T.StructType | None = None
 ) -> None:

@@ -1,4 +1,4 @@
-"""The quality report: everything the profile operators say about a table, in two scans."""
+"""The quality report: everything the profile operators say about a table."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from silverlode.operators.validate import violations
 
 
 def value_profile(df: DataFrame, rules: Sequence[Rule]) -> dict:
-    """Scan 1, no shuffle of rows: total, NULLs per column, rule counts, bad rows."""
+    """One scan, no shuffle of rows: total, NULLs per column, rule counts, bad rows."""
     null, invalid = any_null(df.columns), any_violated(rules)
     row = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -34,7 +34,11 @@ def value_profile(df: DataFrame, rules: Sequence[Rule]) -> dict:
 
 
 def duplicate_profile(df: DataFrame, examples: int = 10) -> dict:
-    """Scan 2, one shuffle: distinct rows, surplus rows and the largest groups."""
+    """Distinct rows, surplus rows and the largest groups: two groupings of whole rows.
+
+    They are two actions on purpose. Observing the totals while the groups are collected would count
+    rows twice if a lost executor made that stage run again.
+    """
     totals = weighted_rows(df).agg(
         F.count(F.lit(1)).alias("distinct_rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),

@@ -80,7 +80,7 @@ _rule_query(
 )
 _rule_query(
     "rule_passenger_low",
-    lambda: [cleaning_rules(AS_OF)[4]],
+    lambda: [rules.too_few("passenger_count", 1)],
     "passenger_count <= 0",
     ("passenger_count",),
 )

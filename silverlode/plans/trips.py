@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.sources.readers import spread_small
+
 AS_OF = "2001-01-01 00:00:00"
 CUTOFF = "1996-01-01 00:00:00"
 
@@ -49,7 +51,7 @@ def _planted(column: str, faults: dict[int, object]):
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One join, one narrow explode for the copies; nothing is scanned twice."""
-    lines = load(spark, sf_dir, "lineitem")
+    lines = spread_small(load(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 

@@ -60,15 +60,29 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+_owned: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the scratch area; no two calls return the same one."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/silverlode-{app}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the scratch area; no two calls return the same one.
+
+    All paths of an application lie in one folder, which goes when the application ends.
+    """
+    folder = f"{scratch_root(spark)}/silverlode-{spark.sparkContext.applicationId}"
+    if folder not in _owned:
+        fs, target = _file_system(spark, folder)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _owned.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this engine wrote, on whichever file system holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, target = _file_system(spark, path)
     return fs.delete(target, True)

@@ -26,6 +26,26 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
+def size_in_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size; for files the sum of their lengths."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a part of a table too small to be split by the reader; others stay as they are.
+
+    A file with one row group is read by one task however many cores wait. Spark aims at splits of at
+    least ``openCostInBytes``; a table below that size per core cannot fill the cores, and moving it
+    costs little. Larger tables are split by the scan and not touched.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    smallest = spark.conf.get("spark.sql.files.openCostInBytes").lower().removesuffix("b")
+    if not smallest.isdigit() or size_in_bytes(df) >= cores * int(smallest):
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_parquet(
     spark: SparkSession, paths: Paths, merge_schema: bool = False, lineage: bool = False
 ) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.functions.rules import cleaning_rules
 from silverlode.operators.privacy import PiiClass, assert_no_raw_columns
 from silverlode.plans import pipeline
 from silverlode.plans.inputs import routed_trips, trips
@@ -75,6 +76,21 @@ def test_metrics_history_grows(spark, small, tmp_path):
     assert history.select("input_rows").distinct().count() == 1
 
 
+def test_dead_letters_move_when_a_rule_changes(spark, small, tmp_path):
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    first = pipeline.run(spark, trips(spark, small), layers, AS_OF)
+    wider = cleaning_rules(AS_OF, passengers=(1, 11))
+    moved = pipeline.reprocess_dead_letters(spark, layers, AS_OF, wider)
+    assert moved["recovered_rows"] > 0
+    assert moved["recovered_rows"] + moved["dlq_rows"] == first["dlq_rows"]
+    silver, letters = spark.read.parquet(layers.silver), spark.read.parquet(layers.dead_letters)
+    assert silver.count() == first["silver_rows"] + moved["recovered_rows"]
+    assert letters.count() == moved["dlq_rows"]
+    assert silver.where("passenger_count = 11").count() == moved["recovered_rows"]
+    again = pipeline.reprocess_dead_letters(spark, layers, AS_OF, wider)
+    assert again["recovered_rows"] == 0
+
+
 def test_republished_month_replaces_only_itself(spark, small, tmp_path):
     layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
     all_trips = trips(spark, small)

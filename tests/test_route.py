@@ -121,6 +121,34 @@ def test_unreadable_text_becomes_a_type_error_with_its_original(spark):
     assert result.silver.first().fare_amount == 12.5
 
 
+def test_unreadable_rows_are_read_again_under_corrected_types(spark):
+    df = frame(spark, trip(), trip(VendorID=2))
+    types = dict(df.dtypes)
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).withColumn(
+        "trip_id", F.when(F.col("VendorID") == "2", "T-2").otherwise(F.col("trip_id"))
+    )
+    letters = routed(spark, normalize_checked(text, types)).dead_letters
+    same_rules = routing.reprocess(
+        letters, CRITICAL_COLUMNS, FILL_DEFAULTS, cleaning_rules(AS_OF), AS_OF
+    )
+    kept = same_rules.dead_letters.first()
+    assert (kept["_error_type"], kept["_error_message"]) == ("type_error", "trip_id")
+    assert '"trip_id":"T-2"' in kept["_original_record"]
+    again = routed(spark, routing.reread(letters, {**types, "trip_id": "string"}))
+    row = again.silver.first()
+    assert (row.trip_id, row.VendorID, row.fare_amount) == ("T-2", 2, 12.5)
+    assert verdicts(again) == {"silver": 1}
+
+
+def test_corrupt_lines_are_read_again(spark):
+    letters = spark.createDataFrame(
+        [("schema_mismatch", "7,x", "f.csv"), ("business_rule_failed", None, "f.csv")],
+        "_error_type string, _original_record string, _source_file string",
+    )
+    again = routing.reread(letters, {"a": "int", "b": "string"}).collect()
+    assert [(r.a, r.b, r["_type_errors"], r["_source_file"]) for r in again] == [(7, "x", "", "f.csv")]
+
+
 def test_reprocess_recovers_rows_under_new_rules(spark):
     df = frame(spark, trip(passenger_count=11.0), trip(VendorID=2, fare_amount=-1.0))
     again = routing.reprocess(
