@@ -160,7 +160,3 @@ def contract_rules(contract: Contract) -> list[Rule]:
 
 def any_violated(rules: Sequence[Rule]) -> Column:
     return any_of(rule.violated for rule in rules)
-
-
-def any_undecided(rules: Sequence[Rule]) -> Column:
-    return any_of(rule.undecided for rule in rules)

@@ -9,8 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.contract import ErrorType
-from silverlode.functions.predicates import any_null, count_where, names_where, percent
-from silverlode.functions.rules import Rule, any_undecided, any_violated
+from silverlode.functions.predicates import (
+    any_null,
+    any_of,
+    count_where,
+    holds,
+    names_where,
+    percent,
+)
+from silverlode.functions.rules import Rule
 from silverlode.functions.scalars import ntz
 from silverlode.operators.clean import (
     ORIGINAL,
@@ -83,9 +90,14 @@ def judge(
         missing.alias("_missing"),
         any_null(fills).alias(HAD_NULLS),
     )
-    violated, undecided = any_violated(rules), any_undecided(rules)
-    if on_null == "pass":
-        undecided = F.lit(False)
+    # Each condition is evaluated once; verdict and message only look at the outcomes.
+    broken = {r.name: f"_rule_{i}" for i, r in enumerate(rules)}
+    tested = filled.withColumns({broken[r.name]: r.condition for r in rules})
+    decided = tested.withColumn("_violated", any_of(holds(F.col(c)) for c in broken.values()))
+    violated = F.col("_violated")
+    undecided = any_null(broken.values()) if on_null == "quarantine" else F.lit(False)
+    # NULL names a rule only where no other rule is broken.
+    named = names_where({n: F.coalesce(F.col(c), ~violated) for n, c in broken.items()})
     grounds = [
         *_read_faults(df),
         (
@@ -93,20 +105,17 @@ def judge(
             F.col("_missing"),
             names_where({c: F.col(c).isNull() for c in critical}),
         ),
-        (
-            ErrorType.BUSINESS_RULE.value,
-            violated,
-            names_where({r.name: r.violated for r in rules}),
-        ),
-        (
-            ErrorType.INDETERMINATE.value,
-            undecided,
-            names_where({r.name: r.undecided for r in rules}),
-        ),
+        (ErrorType.BUSINESS_RULE.value, violated, named),
+        (ErrorType.INDETERMINATE.value, undecided, named),
     ]
     verdict = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition, _ in grounds])
-    message = F.coalesce(*[F.when(condition, text) for _, condition, text in grounds])
-    return filled.withColumns({ERROR_TYPE: verdict, ERROR_MESSAGE: message}).drop("_missing")
+    readable = [g for g in grounds if g[2] is not named]
+    message = F.coalesce(
+        *[F.when(condition, text) for _, condition, text in readable],
+        F.when(violated | undecided, named),
+    )
+    judged = decided.withColumns({ERROR_TYPE: verdict, ERROR_MESSAGE: message})
+    return judged.drop("_missing", "_violated", *broken.values())
 
 
 def quality_score(had_nulls: Column, distance: Column, fare: Column) -> Column:

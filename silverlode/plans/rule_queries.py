@@ -21,16 +21,12 @@ from silverlode.operators.clean import normalize_checked
 from silverlode.operators.layers import layered_report
 from silverlode.operators.relations import orphan_rows
 from silverlode.plans.inputs import TRIP_TYPES, load, routed_trips, text_trips, trips
-from silverlode.plans.oracle import (
-    AS_OF as AS_OF_SQL,
-)
+from silverlode.plans.oracle import AS_OF as AS_OF_SQL
 from silverlode.plans.oracle import (
     COLUMNS,
     CRITICAL,
-    CUTOFF as CUTOFF_SQL,
     KEYS,
     REST,
-    SCORE,
     TRIPS,
     dedup_sql,
     judge_sql,
@@ -40,6 +36,7 @@ from silverlode.plans.oracle import (
     on_trips,
     rules_sql,
 )
+from silverlode.plans.oracle import CUTOFF as CUTOFF_SQL
 from silverlode.plans.registry import query
 from silverlode.plans.trips import AS_OF, CUTOFF, TRIP_COLUMNS
 

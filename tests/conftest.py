@@ -16,7 +16,7 @@ def spark():
     from silverlode.session import Settings, build_session
 
     session = build_session(
-        Settings(app_name="tests", master="local[*]", shuffle_partitions=8, driver_memory="8g")
+        Settings(app_name="tests", master="local[*]", shuffle_partitions=4, driver_memory="8g")
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

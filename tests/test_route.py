@@ -226,7 +226,8 @@ def test_verdicts_match_plain_python(spark, rows):
     full = [trip(trip_id=i, VendorID=i, **r) for i, r in enumerate(rows)]
     result = routed(spark, spark.createDataFrame(full, SCHEMA))
     found = {
-        r.trip_id: r["_error_type"] or "silver" for r in result.rows.select("trip_id", "_error_type").collect()
+        r.trip_id: r["_error_type"] or "silver"
+        for r in result.rows.select("trip_id", "_error_type").collect()
     }
     assert found == {r["trip_id"]: by_hand(r) for r in full}
     metrics = result.metrics().first()
