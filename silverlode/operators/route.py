@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.functions.contract import ErrorType
+from silverlode.functions.contract import ErrorType, Severity
 from silverlode.functions.predicates import (
     any_null,
     any_of,
@@ -74,10 +74,12 @@ def judge(
     Rows that could not be read come first, then NULL in a critical column; the other rows get their
     defaults and face the rules.
     A row that breaks no rule but leaves one undecided is held back (``on_null="quarantine"``) or
-    accepted (``"pass"``). ``_error_type`` is NULL for accepted rows.
+    accepted (``"pass"``). ``_error_type`` is NULL for accepted rows. Warnings are for counting; only
+    critical rules decide.
     """
     if on_null not in ("quarantine", "pass"):
         raise ValueError(f"on_null must be 'quarantine' or 'pass', got {on_null!r}")
+    rules = [r for r in rules if r.severity is Severity.CRITICAL]
     fills = present_defaults(df, fills)
     missing = any_null(critical)
     filled = df.select(
@@ -137,7 +139,7 @@ class Routed:
 
     @property
     def source_columns(self) -> list[str]:
-        added = (COPIES, HAD_NULLS, ERROR_TYPE, ERROR_MESSAGE, SOURCE_FILE, ORIGINAL, *READ_FAULTS)
+        added = (COPIES, HAD_NULLS, *DEAD_LETTER_COLUMNS, *READ_FAULTS)
         return [c for c in self.rows.columns if c not in added]
 
     def _text(self, *names: str) -> Column:
@@ -156,11 +158,14 @@ class Routed:
 
     @property
     def dead_letters(self) -> DataFrame:
+        """Rejected rows; one that was rejected before keeps the time of its first failure."""
+        now = ntz(self.run_ts)
+        failed_at = F.coalesce(FAILED_AT, now) if FAILED_AT in self.rows.columns else now
         return self.rows.where(F.col(ERROR_TYPE).isNotNull()).select(
             *self.source_columns,
             ERROR_TYPE,
             ERROR_MESSAGE,
-            ntz(self.run_ts).alias(FAILED_AT),
+            failed_at.alias(FAILED_AT),
             self._text(SOURCE_FILE).alias(SOURCE_FILE),
             self._text(CORRUPT, ORIGINAL).alias(ORIGINAL),
         )
@@ -261,7 +266,7 @@ def reprocess(
             "_was_type": F.when(unreadable, F.col(ERROR_TYPE)),
             "_was_message": F.col(ERROR_MESSAGE),
         }
-    ).drop(ERROR_TYPE, ERROR_MESSAGE, FAILED_AT)
+    ).drop(ERROR_TYPE, ERROR_MESSAGE)
     judged = judge(source, critical, fills, rules, on_null)
     stays = F.col("_was_type").isNotNull()
     kept = judged.withColumns(

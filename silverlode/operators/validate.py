@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlode.functions.contract import Contract, Severity
@@ -27,6 +27,17 @@ def invalid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.where(any_violated(rules))
 
 
+def examples_per_rule(df: DataFrame, rules: Sequence[Rule], n: int) -> DataFrame:
+    """The first ``n`` rows that break each rule, in one scan for all rules.
+
+    Only violating rows are ranked, and the limit is applied inside each task before the shuffle, so a
+    rule that most rows break sends at most ``n`` rows per task.
+    """
+    broken = evaluate(df, rules, "_rules").withColumn("rule", F.explode("_rules")).drop("_rules")
+    place = F.row_number().over(Window.partitionBy("rule").orderBy(*df.columns))
+    return broken.withColumn("rank", place).where(F.col("rank") <= n)
+
+
 def rule_counts_wide(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One column per rule: rows that break it. One pass for any number of rules."""
     return df.agg(*[count_where(r.condition).alias(r.name) for r in rules])

@@ -11,12 +11,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.contract import CRITICAL_COLUMNS, DEDUP_KEYS, FILL_DEFAULTS
+from silverlode.functions.contract import (
+    CRITICAL_COLUMNS,
+    DEDUP_KEYS,
+    FILL_DEFAULTS,
+    Contract,
+)
 from silverlode.functions.rules import Rule, cleaning_rules
 from silverlode.functions.scalars import ntz
 from silverlode.operators.gold import daily_revenue_by_zone
 from silverlode.operators.privacy import PiiClass, apply_policy
 from silverlode.operators.route import ERROR_TYPE, Routed, reprocess, route
+from silverlode.operators.validate import require_columns
 from silverlode.session import delete_path, scratch_path
 from silverlode.sinks.writers import with_year_month, write_dead_letters, write_parquet
 
@@ -27,6 +33,8 @@ METRICS_SCHEMA = (
     "runtime_minutes double"
 )
 
+DEAD_LETTER_FOLDERS = ("year", "month", "day", "run")
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -80,13 +88,18 @@ def run(
     on_null: str = "quarantine",
     validate_first: bool = False,
     refresh_months: bool = False,
+    contract: Contract | None = None,
 ) -> dict:
     """Route ``bronze`` into the layers and return the metrics of the run.
 
     Dead letters are written before the clean layer, so a failure in between loses no rejected row.
-    ``refresh_months`` replaces only the months (and failure days) that occur in this delivery.
+    ``refresh_months`` replaces only the months that occur in this delivery, and only the dead letters
+    of the same run. With a ``contract``, a delivery that lacks one of its columns is refused before
+    anything is read.
     """
     started = time.monotonic()
+    if contract:
+        require_columns(bronze, contract)
     run_ts = run_ts or run_timestamp()
     routed = route(
         bronze,
@@ -100,7 +113,10 @@ def run(
     )
     staged, counts, path = stage(spark, routed)
     write_dead_letters(
-        _layer(staged, "dead_letters").dead_letters, layers.dead_letters, dynamic=refresh_months
+        _layer(staged, "dead_letters").dead_letters,
+        layers.dead_letters,
+        by_run=True,
+        dynamic=refresh_months,
     )
     silver = _layer(staged, "silver").silver
     if policy:
@@ -144,7 +160,7 @@ def reprocess_dead_letters(
     them. Recovered rows are appended before the dead letters are replaced: a failure in between
     leaves a row in both layers, which a second run settles, and never in neither.
     """
-    letters = spark.read.parquet(layers.dead_letters).drop("year", "month", "day")
+    letters = spark.read.parquet(layers.dead_letters).drop(*DEAD_LETTER_FOLDERS)
     routed = reprocess(
         letters, critical, FILL_DEFAULTS if fills is None else fills, rules, run_ts
     )
@@ -158,7 +174,9 @@ def reprocess_dead_letters(
         mode="append",
         partition_by=("year", "month"),
     )
-    write_dead_letters(_layer(staged, "dead_letters").dead_letters, layers.dead_letters)
+    write_dead_letters(
+        _layer(staged, "dead_letters").dead_letters, layers.dead_letters, by_run=True
+    )
     delete_path(spark, path)
     return {"recovered_rows": counts["silver_rows"], "dlq_rows": counts["dlq_rows"]}
 

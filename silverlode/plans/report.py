@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverlode.functions.predicates import any_null, count_where
 from silverlode.functions.rules import Rule, any_violated
 from silverlode.operators.dedup import duplicate_groups, weighted_rows
-from silverlode.operators.validate import violations
+from silverlode.operators.validate import examples_per_rule
 
 
 def value_profile(df: DataFrame, rules: Sequence[Rule]) -> dict:
@@ -51,11 +51,12 @@ def duplicate_profile(df: DataFrame, examples: int = 10) -> dict:
 def quality_report(df: DataFrame, rules: Sequence[Rule], examples: int = 10) -> dict:
     """Profile, duplicates and a few example rows per rule; only figures and examples reach the driver."""
     report = value_profile(df, rules) | duplicate_profile(df, examples)
-    report["examples"] = {
-        r.name: [row.asDict() for row in violations(df, r).limit(examples).collect()]
-        for r in rules
-        if examples and report["checks"][r.name]
-    }
+    report["examples"] = {}
+    if examples:
+        for row in examples_per_rule(df, rules, examples).orderBy("rule", "rank").collect():
+            found = row.asDict()
+            report["examples"].setdefault(found.pop("rule"), []).append(found)
+            del found["rank"]
     return report
 
 

@@ -301,6 +301,22 @@ def evaluated_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    on_trips(
+        f"SELECT {COLUMNS}, rule, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER"
+        f" (PARTITION BY rule ORDER BY {', '.join(f'{c} NULLS FIRST' for c in TRIP_COLUMNS)}) AS rank"
+        " FROM ("
+        + " UNION ALL ".join(
+            f"SELECT *, '{name}' AS rule FROM trips WHERE {cond}" for name, cond in rules_sql().items()
+        )
+        + ")) WHERE rank <= 10"
+    )
+)
+def rule_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten example rows for each cleaning rule."""
+    return validate.examples_per_rule(trips(spark, sf_dir), cleaning_rules(AS_OF), 10)
+
+
 @query(
     on_routed(
         f"SELECT {COLUMNS}, error_type AS _error_type, error_message AS _error_message,"

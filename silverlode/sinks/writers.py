@@ -80,11 +80,20 @@ def write_by_month(df: DataFrame, path: str, column: str, **options) -> None:
     write_parquet(with_year_month(df, column), path, partition_by=("year", "month"), **options)
 
 
-def write_dead_letters(df: DataFrame, path: str, column: str = "_failed_at", **options) -> None:
-    """Dead-letter layer: one folder per day of failure."""
-    write_parquet(
-        with_year_month_day(df, column), path, partition_by=("year", "month", "day"), **options
-    )
+def write_dead_letters(
+    df: DataFrame, path: str, column: str = "_failed_at", by_run: bool = False, **options
+) -> None:
+    """Dead-letter layer: one folder per day of failure.
+
+    ``by_run`` adds a folder per time of failure, so that two runs of one day do not replace each
+    other's rows while a repeated run replaces its own.
+    """
+    partitions = ["year", "month", "day"]
+    df = with_year_month_day(df, column)
+    if by_run:
+        df = df.withColumn("run", F.translate(F.col(column).cast("string"), " -:", "_"))
+        partitions.append("run")
+    write_parquet(df, path, partition_by=partitions, **options)
 
 
 def in_date_range(df: DataFrame, column: str, first: str, last: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.functions.contract import TRIP_CONTRACT
 from silverlode.functions.rules import cleaning_rules
 from silverlode.operators.privacy import PiiClass, assert_no_raw_columns
 from silverlode.plans import pipeline
@@ -109,6 +110,40 @@ def test_republished_month_replaces_only_itself(spark, small, tmp_path):
     assert 0 < after.where(month).count() < n_month
 
 
+def test_two_runs_of_a_day_keep_each_others_dead_letters(spark, small, tmp_path):
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    pickup = F.year("tpep_pickup_datetime")
+    first = trips(spark, small).where(pickup == 1997)
+    second = trips(spark, small).where(pickup == 1998)
+    n = []
+    for bronze, clock in ((first, "01:00:00"), (second, "02:00:00"), (second, "02:00:00")):
+        run_ts = f"2001-01-01 {clock}"
+        n.append(pipeline.run(spark, bronze, layers, run_ts, refresh_months=True)["dlq_rows"])
+    letters = spark.read.parquet(layers.dead_letters)
+    assert letters.count() == n[0] + n[1] and n[1] == n[2]
+    assert letters.select("day").distinct().count() == 1
+    assert {r.run for r in letters.select("run").distinct().collect()} == {
+        "20010101_010000",
+        "20010101_020000",
+    }
+
+
+def test_first_failure_time_is_kept(spark, small, tmp_path):
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    pipeline.run(spark, trips(spark, small), layers, AS_OF)
+    later = "2001-02-01 00:00:00"
+    pipeline.reprocess_dead_letters(spark, layers, later, cleaning_rules(AS_OF, passengers=(1, 11)))
+    times = spark.read.parquet(layers.dead_letters).select("_failed_at").distinct().collect()
+    assert [str(r[0]) for r in times] == [AS_OF]
+
+
+def test_a_delivery_without_a_contract_column_is_refused(spark, small, tmp_path):
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    with pytest.raises(ValueError, match="RatecodeID"):
+        pipeline.run(spark, trips(spark, small), layers, AS_OF, contract=TRIP_CONTRACT)
+    assert not os.path.exists(layers.silver)
+
+
 def test_scratch_is_cleared(spark, small, tmp_path, monkeypatch):
     paths = []
     original = pipeline.scratch_path

@@ -8,8 +8,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from trip_rows import AS_OF, SCHEMA, frame, trip
 
-from silverlode.functions.contract import CRITICAL_COLUMNS, DEDUP_KEYS, FILL_DEFAULTS
-from silverlode.functions.rules import cleaning_rules
+from silverlode.functions.contract import (
+    CRITICAL_COLUMNS,
+    DEDUP_KEYS,
+    FILL_DEFAULTS,
+    TRIP_CONTRACT,
+)
+from silverlode.functions.rules import cleaning_rules, contract_rules
 from silverlode.operators import route as routing
 from silverlode.operators.clean import normalize_checked
 from silverlode.operators.dedup import dedup
@@ -162,6 +167,16 @@ def test_reprocess_recovers_rows_under_new_rules(spark):
     assert [r.VendorID for r in again.dead_letters.collect()] == [2]
 
 
+def test_warnings_do_not_reject(spark):
+    contract = TRIP_CONTRACT.restricted_to(frame(spark, trip()).columns)
+    df = frame(spark, trip(total_amount=1500.0), trip(VendorID=2, store_and_fwd_flag="X"))
+    result = routing.route(
+        df, DEDUP_KEYS, CRITICAL_COLUMNS, FILL_DEFAULTS, contract_rules(contract), AS_OF
+    )
+    assert verdicts(result) == {"silver": 1, "business_rule_failed": 1}
+    assert result.dead_letters.first()["_error_message"] == "store_and_fwd_flag_domain"
+
+
 def test_empty_input(spark):
     result = routed(spark, frame(spark, trip()).where("false"))
     metrics = result.metrics().first()
