@@ -17,6 +17,7 @@ from silverlode.functions.contract import (
     FILL_DEFAULTS,
     Contract,
 )
+from silverlode.functions.predicates import any_of
 from silverlode.functions.rules import Rule, cleaning_rules
 from silverlode.functions.scalars import ntz
 from silverlode.operators.gold import daily_revenue_by_zone
@@ -36,6 +37,10 @@ METRICS_SCHEMA = (
 DEAD_LETTER_FOLDERS = ("year", "month", "day", "run")
 
 
+class FailureRateExceeded(RuntimeError):
+    """Too many rows failed for the clean layer to be trusted."""
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where a run writes. Paths without a value are not written."""
@@ -89,13 +94,15 @@ def run(
     validate_first: bool = False,
     refresh_months: bool = False,
     contract: Contract | None = None,
+    halt_above: float | None = None,
 ) -> dict:
     """Route ``bronze`` into the layers and return the metrics of the run.
 
     Dead letters are written before the clean layer, so a failure in between loses no rejected row.
     ``refresh_months`` replaces only the months that occur in this delivery, and only the dead letters
     of the same run. With a ``contract``, a delivery that lacks one of its columns is refused before
-    anything is read.
+    anything is read. If more than ``halt_above`` percent of the rows fail, only the dead letters are
+    written and the run stops.
     """
     started = time.monotonic()
     if contract:
@@ -118,6 +125,14 @@ def run(
         by_run=True,
         dynamic=refresh_months,
     )
+    total = counts["input_rows"]
+    failure_rate = counts["dlq_rows"] * 100.0 / total if total else 0.0
+    if halt_above is not None and failure_rate > halt_above:
+        delete_path(spark, path)
+        raise FailureRateExceeded(
+            f"{failure_rate:.2f} % of {total} rows failed, more than {halt_above} %; "
+            f"the dead letters are in {layers.dead_letters}, the clean layer is as it was"
+        )
     silver = _layer(staged, "silver").silver
     if policy:
         silver = apply_policy(silver, policy, salt=salt)
@@ -129,14 +144,14 @@ def run(
         dynamic=refresh_months,
     )
     if layers.gold:
-        rebuild_gold(spark, layers.silver, layers.gold, silver.schema)
+        months = months_in(silver) if refresh_months else None
+        rebuild_gold(spark, layers.silver, layers.gold, silver.schema, months)
     delete_path(spark, path)
 
-    total = counts["input_rows"]
     metrics = {
         "run_ts": datetime.datetime.fromisoformat(run_ts),
         **counts,
-        "failure_rate": counts["dlq_rows"] * 100.0 / total if total else 0.0,
+        "failure_rate": failure_rate,
         "runtime_minutes": (time.monotonic() - started) / 60.0,
     }
     if layers.metrics:
@@ -181,17 +196,37 @@ def reprocess_dead_letters(
     return {"recovered_rows": counts["silver_rows"], "dlq_rows": counts["dlq_rows"]}
 
 
+def months_in(silver: DataFrame) -> list[tuple[int, int]]:
+    """The months a frame with year and month holds; as many rows as the calendar has months."""
+    rows = silver.select("year", "month").distinct().collect()
+    return sorted((r.year, r.month) for r in rows)
+
+
 def rebuild_gold(
-    spark: SparkSession, silver_path: str, gold_path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    silver_path: str,
+    gold_path: str,
+    schema: T.StructType | None = None,
+    months: Sequence[tuple[int, int]] | None = None,
 ) -> None:
-    """Aggregates are derived from the whole clean layer; they hold no row-level data.
+    """Aggregates of the clean layer, by month; they hold no row-level data.
 
-    A schema lets an empty clean layer be read.
+    With ``months`` only those are read and replaced: the condition is on the folders. A schema lets an
+    empty clean layer be read.
     """
     reader = spark.read.schema(schema) if schema else spark.read
     silver = reader.parquet(silver_path)
+    if months is not None:
+        silver = silver.where(
+            any_of((F.col("year") == y) & (F.col("month") == m) for y, m in months)
+        )
     gold = daily_revenue_by_zone(silver, "tpep_pickup_datetime", "PULocationID", "total_amount")
-    write_parquet(gold.hint("rebalance"), gold_path)
+    write_parquet(
+        with_year_month(gold, "day"),
+        gold_path,
+        partition_by=("year", "month"),
+        dynamic=months is not None,
+    )
 
 
 def append_metrics(spark: SparkSession, metrics: dict, path: str) -> None:

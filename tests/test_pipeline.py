@@ -56,7 +56,7 @@ def test_gold_reconciles(spark, done):
     layers, metrics = done
     gold = spark.read.parquet(layers.gold)
     assert gold.agg(F.sum("trips")).first()[0] == metrics["silver_rows"]
-    assert gold.columns == ["day", "zone", "trips", "revenue"]
+    assert gold.columns == ["day", "zone", "trips", "revenue", "year", "month"]
 
 
 def test_a_second_run_gives_the_same_layers(spark, small, done, tmp_path):
@@ -93,7 +93,7 @@ def test_dead_letters_move_when_a_rule_changes(spark, small, tmp_path):
 
 
 def test_republished_month_replaces_only_itself(spark, small, tmp_path):
-    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters", f"{tmp_path}/gold")
     all_trips = trips(spark, small)
     pipeline.run(spark, all_trips, layers, AS_OF)
     before = spark.read.parquet(layers.silver)
@@ -108,6 +108,17 @@ def test_republished_month_replaces_only_itself(spark, small, tmp_path):
     after = spark.read.parquet(layers.silver)
     assert after.where(~month).count() == n_rest
     assert 0 < after.where(month).count() < n_month
+    gold = spark.read.parquet(layers.gold)
+    assert gold.agg(F.sum("trips")).first()[0] == after.count()
+    assert gold.where(month).agg(F.sum("trips")).first()[0] == after.where(month).count()
+
+
+def test_too_many_failures_stop_the_run(spark, small, tmp_path):
+    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    with pytest.raises(pipeline.FailureRateExceeded, match="32.04 % of 6242 rows"):
+        pipeline.run(spark, trips(spark, small), layers, AS_OF, halt_above=10.0)
+    assert spark.read.parquet(layers.dead_letters).count() == 2000
+    assert not os.path.exists(layers.silver)
 
 
 def test_two_runs_of_a_day_keep_each_others_dead_letters(spark, small, tmp_path):
