@@ -70,7 +70,7 @@ def schema_drift(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     for c in names:
         present = F.count(c) if c in actual else F.lit(0).cast("bigint")
         lost = (
-            count_where(lost_in_cast(c, expected[c]))
+            count_where(lost_in_cast(df, c, expected[c]))
             if c in actual and expected.get(c, actual[c]) != actual[c]
             else F.lit(0).cast("bigint")
         )

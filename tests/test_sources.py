@@ -8,6 +8,7 @@ from trip_rows import AS_OF
 
 from silverlode.functions.contract import TRIP_CONTRACT
 from silverlode.functions.rules import Rule
+from silverlode.operators import clean
 from silverlode.operators import route as routing
 from silverlode.sources import readers
 
@@ -129,3 +130,22 @@ def test_smoke_rows(spark):
     df = readers.from_rows(spark, rows, "trip_id bigint, fare double, passenger_count bigint")
     assert df.count() == 4
     assert sorted(r.fare for r in df.filter("fare > 10").collect()) == [12.0, 25.3]
+
+
+TEXTS = ["1", " 2 ", "+3", "-4", ".5", "1e3", "6.", "\t7", "\x008", "NaN", "-inf", "Infinity", "1_0"]
+TEXTS += ["", " ", "n/a", "many", "?", "-", "+", "0x10", "1d", "2f", "٣", "99999999999"]
+TIME_TEXTS = ["2024-01-02", " 2024-01-02 03:04:05 ", "2024", "2024-1-2", "+2024-01-02", "T10:00", "now"]
+TIME_TEXTS += ["2024-13-01", "x2024-01-01", "", "2024-01-02T03:04:05Z", "epoch", "-0001-01-01"]
+
+
+@pytest.mark.parametrize(
+    "kind, texts",
+    [(k, TEXTS) for k in ("int", "bigint", "double", "decimal(18,2)")]
+    + [(k, TIME_TEXTS) for k in ("timestamp_ntz", "date")],
+)
+def test_guarded_read_equals_plain_try_cast(spark, kind, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    guarded = clean.read_as(df, "t", kind).cast("string").alias("guarded")
+    plain = df.t.try_cast(kind).cast("string").alias("plain")
+    for row in df.select("t", guarded, plain).collect():
+        assert row.guarded == row.plain, row
