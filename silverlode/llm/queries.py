@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe
+from silverlode.llm import bpe, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,8 +21,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: three-word shingles, at most two bits apart."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_simhash": op2_simhash,
 }
 
 #: For the queries that DuckDB can express; the others are tested against brute force.
