@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, simhash
+from silverlode.llm import bpe, naming, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,10 +27,27 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
 
 
+def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts, and which of each stays."""
+    return naming.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
+    "op10_exact": op10_exact,
 }
 
 #: For the queries that DuckDB can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_exact": """
+        WITH cleaned AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars,
+                regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS clean
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY clean) AS group_size,
+            row_number() OVER w = 1 AS kept, sha256(clean) AS text_sha256
+        FROM cleaned
+        WINDOW w AS (PARTITION BY clean ORDER BY chars DESC, doc_id)
+    """,
+}
