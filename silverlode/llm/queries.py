@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, naming, simhash
+from silverlode.llm import bpe, naming, quality, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document and the verdict of the rules."""
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts, and which of each stays."""
     return naming.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
+    "op9_quality": op9_quality,
     "op10_exact": op10_exact,
 }
 
