@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, naming, quality, simhash
+from silverlode.llm import bpe, mixing, naming, quality, shards, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
 
 
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of nearly equal bytes, and each document's place in its shard."""
+    return shards.sharded(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and the verdict of the rules."""
     return quality.judged(table(spark, sf_dir, "documents"))
@@ -40,12 +50,50 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
+    "op3_kd_shards": op3_kd_shards,
+    "op6_mixing": op6_mixing,
     "op9_quality": op9_quality,
     "op10_exact": op10_exact,
 }
 
 #: For the queries that DuckDB can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op6_mixing": """
+        WITH sizes AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+            FROM sizes GROUP BY source),
+        -- Sources fill up in the order of size by weight; 6 / weight is whole.
+        filled AS (
+            SELECT *, row_number() OVER w AS place,
+                (SELECT sum(source_size) FROM sources)::HUGEINT
+                    - coalesce(sum(3 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+                (SELECT sum(weight) FROM sources)::HUGEINT
+                    - coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS den
+            FROM sources WINDOW w AS (ORDER BY source_size * (6 // weight), source)),
+        level AS (
+            SELECT num, den, place AS first FROM filled
+            WHERE num * weight <= 3 * source_size::HUGEINT * den ORDER BY place LIMIT 1),
+        shares AS (
+            SELECT f.source, source_size,
+                CASE WHEN place < first THEN (3 * source_size)::DOUBLE
+                    ELSE (weight * level.num)::DOUBLE / level.den::DOUBLE END AS target,
+                CASE WHEN source_size = 0 THEN 0 WHEN place < first THEN 12884901888
+                    ELSE (weight * level.num * 4294967296) // (source_size * level.den) END AS expected
+            FROM filled f, level),
+        ends AS (
+            SELECT doc_id, size, source_size, target, expected,
+                sum(expected::HUGEINT) OVER (PARTITION BY d.source ORDER BY size, doc_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                + ('0x' || substr(md5(coalesce(d.source, '') || '#42'), 1, 8))::BIGINT AS upto
+            FROM sizes d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source)
+        SELECT doc_id, size, source_size, target,
+            ((upto // 4294967296 - (upto - expected) // 4294967296) * size)::BIGINT AS taken
+        FROM ends
+    """,
     "op10_exact": """
         WITH cleaned AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

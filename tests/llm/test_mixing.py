@@ -1,0 +1,87 @@
+"""Systematic sampling against plain Python with exact fractions."""
+
+import hashlib
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+
+from silverlode.llm import mixing
+
+
+def brute(rows, weights=(1, 2, 3), seed=42):
+    sizes = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for d, s, t in rows]
+    total = defaultdict(int)
+    for _, s, n in sizes:
+        total[s] += n
+    order = sorted(total, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, capped = {}, set()
+    while True:  # share, stop at three times the size, share the excess again
+        left = sum(total.values()) - sum(3 * total[s] for s in capped)
+        rest = sum(weight[s] for s in order if s not in capped)
+        target = {s: Fraction(3 * total[s]) if s in capped else Fraction(left * weight[s], rest) for s in order}
+        above = {s for s in order if target[s] > 3 * total[s]}
+        if not above:
+            break
+        capped |= above
+    out = []
+    for s in order:
+        expected = int(target[s] * (1 << 32) / total[s]) if total[s] else 0
+        at = int(hashlib.md5(f"{s or ''}#{seed}".encode()).hexdigest()[:8], 16)
+        for d, _, n in sorted((x for x in sizes if x[1] == s), key=lambda x: (x[2], x[0] is not None, x[0] or 0)):
+            copies = ((at + expected) >> 32) - (at >> 32)
+            at += expected
+            out.append((d, n, total[s], float(target[s]), copies * n))
+    return sorted(out, key=str)
+
+
+def check(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mixed(docs)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    found = sorted((tuple(r) for r in got.collect()), key=str)
+    want = brute(rows)
+    assert [(*f[:3], f[4]) for f in found] == [(*w[:3], w[4]) for w in want]
+    assert [f[3] for f in found] == pytest.approx([w[3] for w in want])
+    return found
+
+
+def test_fixture(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "source", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    source = {r[0]: r[1] for r in rows}
+    for d, n, _, t, k in check(spark, rows):
+        taken[source[d]] += k
+        target[source[d]] = t
+        largest[source[d]] = max(largest[source[d]], n)
+        assert k <= 3 * n
+    for s in taken:
+        assert abs(taken[s] - target[s]) <= largest[s]
+
+
+def test_small_sources_are_full_and_others_share_the_rest(spark):
+    rows = [(i, "big", "w " * (i % 7 + 1)) for i in range(300)]
+    rows += [(1000, "a", "x y"), (1001, "b", "x"), (1002, None, "x y z"), (1003, "empty", " "), (1004, "é", None)]
+    rows += [(7, "big", "w w"), (7, "big", "w w"), (None, "big", "w w w")]
+    check(spark, rows)
+
+
+def test_hot_source_in_many_ranges(spark):
+    rows = [(i, "s1" if i % 3 else f"s{i % 5}", "word " * (i * 37 % 101)) for i in range(2000)]
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "a", "")]])
+def test_tiny_tables(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mixed(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r.taken == 0 and r.target == 0 for r in got)
+
+
+def test_extra_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "x y", 5, "t")], "doc_id long, source string, text string, size int, taken string")
+    assert [tuple(r) for r in mixing.mixed(docs).collect()] == [(1, 2, 2, 2.0, 2)]

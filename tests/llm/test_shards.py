@@ -1,0 +1,96 @@
+"""The k-d tree against a recursion over sorted rows in plain Python."""
+
+import math
+import random
+import zlib
+
+import pytest
+
+from silverlode.llm import shards
+from silverlode.llm.tables import Kept
+
+
+def check_table(spark, rows, count=8):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = shards.sharded(docs, count).collect()
+    want = sorted((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in got) == want
+    slots = {}
+    for r in got:
+        assert 0 <= r.shard < count and r.law == "bytes" and r.grown_shard is None
+        slots.setdefault(r.shard, []).append(r.slot)
+    for own in slots.values():
+        assert sorted(own) == list(range(len(own)))
+    size = [sum(r["size"] for r in got if r.shard == s) for s in range(count)]
+    return got, size
+
+
+def test_fixture(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "source", "lang")
+    rows = [tuple(r) for r in docs.collect()]
+    got, size = check_table(spark, rows)
+    largest = max(r["size"] for r in got)
+    assert max(size) - min(size) <= 3 * largest
+    again, _ = check_table(spark, rows[::-1])
+    assert sorted(got) == sorted(again)
+
+
+def test_one_hot_source_and_one_hot_text(spark):
+    """Nearly all rows agree in every dimension but the id, and a third in the text too."""
+    rows = [(i, "copy" if i % 3 == 0 else f"text {i:05d}", "s", "en") for i in range(4000)]
+    _, size = check_table(spark, rows)
+    assert max(size) - min(size) <= 0.02 * sum(size) / 8
+
+
+def test_same_ids_and_nulls(spark):
+    rows = [(7, "same", None, None)] * 50 + [(i, None, "é", None) for i in range(100)]
+    check_table(spark, rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "a", "s", "en")], [(1, None, None, None), (2, "", "", "")]])
+def test_tiny_tables(spark, rows):
+    check_table(spark, rows)
+
+
+def brute(rows, count):
+    """rows: (id, size, keys by dimension, tie, salt). Shard of each id."""
+    if count == 1 or not rows:
+        return {r[0]: 0 for r in rows}
+    spans = [max(r[2][i] for r in rows) - min(r[2][i] for r in rows) for i in range(len(rows[0][2]))]
+    d = spans.index(max(spans))
+    key = lambda r: (r[2][d], r[3], r[4])
+    total, left = sum(r[1] for r in rows), count // 2
+    goal = total * left / count
+    at, cut = 0, None
+    for k in sorted({key(r) for r in rows}):
+        held = sum(r[1] for r in rows if key(r) == k)
+        if at + held >= goal:
+            cut = (k, at + held - goal < goal - at)
+            break
+        at += held
+    low = [r for r in rows if key(r) < cut[0] or (cut[1] and key(r) == cut[0])]
+    high = [r for r in rows if not (key(r) < cut[0] or (cut[1] and key(r) == cut[0]))]
+    return brute(low, left) | {i: s + left for i, s in brute(high, count - left).items()}
+
+
+@pytest.mark.parametrize("count", [2, 5, 8])
+def test_cuts_are_weighted_medians_of_the_widest_dimension(spark, count):
+    pick = random.Random(count)
+    rows = [(i, pick.randint(1, 60), pick.choice([0.0, 0.5, 1.0, pick.random()]), pick.randint(0, 9), pick.randint(0, 1 << 32)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, size long, x double, y int, text_crc32 long")
+    dims = {"x": df.x, "y": df.y}
+    got = {r.doc_id: r.shard for r in shards.kd_shards(Kept(), df, dims, shards=count, tolerance=0).collect()}
+    from pyspark.sql import functions as F
+
+    salt = {r.doc_id: r.s & (1 << 30) - 1 for r in df.select("doc_id", F.xxhash64("doc_id").alias("s")).collect()}
+    grid = (1 << 30) - 1
+    xs, ys = [r[2] for r in rows], [r[3] for r in rows]
+    place = lambda v, all_: math.floor((v - min(all_)) / (max(all_) - min(all_)) * grid)
+    plain = [(r[0], r[1], (place(r[2], xs), place(r[3], ys)), r[4] >> 2, salt[r[0]]) for r in rows]
+    assert got == brute(plain, count)
+
+
+def test_target_bytes_give_the_number_of_shards(spark):
+    df = spark.createDataFrame([(i, 10, i) for i in range(100)], "doc_id long, size long, text_crc32 long")
+    got = shards.kd_shards(Kept(), df, {"id": df.doc_id}, target_bytes=130).collect()
+    assert len({r.shard for r in got}) == 8
