@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, mixing, naming, quality, shards, simhash
+from silverlode.llm import bpe, chat, mixing, naming, quality, shards, simhash, urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the URL of every page."""
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, formatted and read back."""
+    return chat.digests(chat.with_control_strings(table(spark, sf_dir, "conversations")))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and the verdict of the rules."""
     return quality.judged(table(spark, sf_dir, "documents"))
@@ -52,12 +62,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_kd_shards": op3_kd_shards,
     "op6_mixing": op6_mixing,
+    "op7_urls": op7_urls,
+    "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_exact": op10_exact,
 }
 
 #: For the queries that DuckDB can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op8_chat": """
+        WITH rows AS (
+            SELECT conv_id, turn, role, text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id
+                    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+            FROM rows),
+        escaped AS (
+            SELECT *, length(regexp_replace(text, '([<\\[])(\\\\*)(/?(s>|INST\\]|ROLE\\]))', '\\1\\\\\\2\\3', 'g')) AS chars,
+                length(regexp_replace(role, '([<\\[])(\\\\*)(/?(s>|INST\\]|ROLE\\]))', '\\1\\\\\\2\\3', 'g')) AS role_chars
+            FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(CASE role WHEN 'user' THEN 18 + chars WHEN 'assistant' THEN 6 + chars
+                ELSE 24 + role_chars + chars END)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
     "op6_mixing": """
         WITH sizes AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
