@@ -46,3 +46,22 @@ def flat_words(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarr
         words = words.filter(pa.array(real))
         bounds = np.concatenate(([0], np.cumsum(real)))[bounds]
     return words, bounds.astype(np.int64)
+
+
+class Sequences:
+    """Sequences of numbers laid out by time: all first tokens, all second ones, and so on."""
+
+    def __init__(self, sequences: list[np.ndarray]):
+        sizes = np.array([len(s) for s in sequences], np.int64)
+        self.order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[self.order]
+        longest = int(sizes[0]) if len(sizes) else 0
+        # How many sequences have a token at each time.
+        self.alive = len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), "right")
+        self.start = np.concatenate(([0], np.cumsum(self.alive)))
+        self.tokens = np.empty(int(sizes.sum()), np.int64)
+        for rank, i in enumerate(self.order):
+            self.tokens[self.start[: sizes[rank]] + rank] = sequences[i]
+
+    def __len__(self) -> int:
+        return len(self.order)

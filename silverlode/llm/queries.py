@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, chat, mixing, naming, quality, shards, simhash, urls
+from silverlode.llm import bpe, chat, hmm, mixing, naming, quality, shards, simhash, urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,6 +32,11 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"))
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a hidden Markov model and under word shares alone."""
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes."""
     return mixing.mixed(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
     "op3_kd_shards": op3_kd_shards,
+    "op4_hmm": op4_hmm,
     "op6_mixing": op6_mixing,
     "op7_urls": op7_urls,
     "op8_chat": op8_chat,

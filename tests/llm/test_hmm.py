@@ -1,0 +1,120 @@
+"""The language model's counts against plain Python, its recursions against sums over all paths."""
+
+import itertools
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from silverlode.llm import hmm
+
+
+def tokens(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), ""]
+
+
+def check_base(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(hmm.scores(docs, **options).collect(), key=lambda r: (str(r.doc_id), r.n_tokens, r.base_score))
+    out = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1
+    counts = Counter(w for d, t in rows if not out(d) for w in tokens(t))
+    total, words = sum(counts.values()), len(counts)
+    want = []
+    for d, t in rows:
+        own = tokens(t)
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (words + 1))) for w in own)
+        want.append((d, out(d), len(own), sum(counts[w] > 0 for w in own), total, base))
+    want.sort(key=lambda r: (str(r[0]), r[2], r[5]))
+    assert [tuple(r)[:5] for r in got] == [w[:5] for w in want]
+    assert [r.base_score for r in got] == pytest.approx([w[5] for w in want])
+    assert all(math.isfinite(r.score) and r.score <= 1e-9 for r in got)
+    return got
+
+
+def test_fixture_and_held_out_gain(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    got = check_base(spark, [tuple(r) for r in docs.collect()])
+    unseen = [r for r in got if r.held_out]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+    seen = [r for r in got if not r.held_out]
+    assert sum(r.score for r in seen) > sum(r.base_score for r in seen)
+
+
+def test_odd_texts(spark):
+    rows = [(1, None), (2, ""), (3, "A a\x0bÉ é"), (None, "a b"), (4, "same"), (4, "same"), (5, "unheard"), (6, "x " * 3000)]
+    check_base(spark, [*rows, *((i, f"word{i % 3} a b c") for i in range(10, 60))])
+
+
+def test_tiny_tables(spark):
+    check_base(spark, [])
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    check_base(spark, [(held, "a b")])
+
+
+def test_extra_columns(spark):
+    docs = spark.createDataFrame([(2, "a", "w", 1)], "doc_id long, text string, word string, n int")
+    assert hmm.scores(docs).first().n_tokens == 2
+
+
+@pytest.fixture
+def small_model():
+    pick = np.random.default_rng(0)
+    return hmm.Model(pick.dirichlet(np.ones(3)), pick.dirichlet(np.ones(3), 3), pick.dirichlet(np.ones(5), 3).T)
+
+
+def paths(model, sequence):
+    for path in itertools.product(range(3), repeat=len(sequence)):
+        p = model.start[path[0]] * model.emits[sequence[0], path[0]]
+        for t in range(1, len(sequence)):
+            p *= model.moves[path[t - 1], path[t]] * model.emits[sequence[t], path[t]]
+        yield path, p
+
+
+def test_likelihood_is_the_sum_over_all_paths(small_model):
+    sequences = [np.array(s) for s in ([0], [1, 2], [4, 3, 2, 1, 0, 0], [2, 2, 2], [0, 4, 1, 3])]
+    got = small_model.log10_likelihood(sequences)
+    want = [math.log10(sum(p for _, p in paths(small_model, s))) for s in sequences]
+    assert got == pytest.approx(want)
+
+
+def test_expected_counts_are_sums_over_all_paths(small_model):
+    sequences = [np.array(s) for s in ([0], [1, 2], [4, 3, 2, 1, 0], [2, 2, 2])]
+    first, moves, emitted = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for s in sequences:
+        total = sum(p for _, p in paths(small_model, s))
+        for path, p in paths(small_model, s):
+            first[path[0]] += p / total
+            for t, k in enumerate(path):
+                emitted[s[t], k] += p / total
+                if t:
+                    moves[path[t - 1], k] += p / total
+    got = small_model.expected(sequences)
+    for a, b in zip(got, (first, moves, emitted), strict=True):
+        assert a == pytest.approx(b, rel=1e-4)
+
+
+def test_a_round_of_training_raises_the_likelihood(small_model):
+    pick = np.random.default_rng(1)
+    sequences = [pick.integers(0, 5, n) for n in (40, 3, 77, 1, 500)]
+    model, last = small_model, -np.inf
+    for _ in range(5):
+        total = model.log10_likelihood(sequences).sum()
+        assert total >= last - 0.2
+        last = total
+        model = hmm._maximised(*model.expected(sequences), np.full(5, 1e-6))
+
+
+def test_probabilities_add_up_to_one():
+    totals = hmm.Totals(100, 9, 0.6, np.array([10.0, 50, 40]), np.array([1.0, 1, 7]))
+    pick = np.random.default_rng(2)
+    model = hmm.Model(pick.dirichlet(np.ones(2)), pick.dirichlet(np.ones(2), 2), pick.dirichlet(np.ones(3), 2).T)
+    whole = hmm.with_unknown(model, totals)
+    assert whole.emits.sum(axis=0) == pytest.approx(np.ones(2))
+    counts = np.array([10, 50, 20, 10, 5, 2, 1, 1, 1])
+    inner = 10 ** totals.inner(counts, np.array([0, 1, 2, 2, 2, 2, 2, 2, 2]))
+    assert [inner[0], inner[1], inner[2:].sum()] == pytest.approx([1, 1, 1])
+    assert (10 ** totals.base(np.append(counts, 0))).sum() == pytest.approx(1)
