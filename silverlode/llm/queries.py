@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, chat, hmm, mixing, naming, quality, shards, simhash, urls
+from silverlode.llm import bpe, chat, hmm, mixing, naming, pii, quality, shards, simhash, urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,11 @@ def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scores(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes."""
     return mixing.mixed(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_kd_shards": op3_kd_shards,
     "op4_hmm": op4_hmm,
+    "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
     "op7_urls": op7_urls,
     "op8_chat": op8_chat,

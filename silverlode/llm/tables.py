@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -31,6 +32,29 @@ class Kept:
         self.paths.clear()
 
 
+def free_name(wanted: str, taken: list[str]) -> str:
+    """A column name that none of the taken ones equals, whatever their case."""
+    lowered = {t.lower() for t in taken}
+    while wanted.lower() in lowered:
+        wanted += "_"
+    return wanted
+
+
+def keyed(kept: Kept, docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with columns that tell its rows apart in every read, and their names.
+
+    For a read of Parquet files these are file and row number; anything else is written down first.
+    """
+    file, row = free_name("_file", docs.columns), free_name("_row", docs.columns)
+    if free_name("_metadata", docs.columns) == "_metadata":
+        try:
+            return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)), [file, row]
+        except AnalysisException:
+            pass  # not a plain read of files
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return kept.write(numbered, "numbered"), [row]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of the edges (a, b): root is the smallest node it reaches.
 

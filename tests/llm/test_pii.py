@@ -1,0 +1,131 @@
+"""Base patterns against the plain expressions, the field against brute force and held-out examples."""
+
+import hashlib
+import itertools
+import random
+import re
+import time
+
+import numpy as np
+import pytest
+
+from silverlode.llm import pii
+
+
+def brute_base(text):
+    text = text or ""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m.group())
+        double = [int(c) * 2 for c in d[-2::-2]]
+        if 16 <= len(d) <= 19 and (sum(map(int, d[-1::-2])) + sum(x // 10 + x % 10 for x in double)) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_base_is_leftmost_and_without_retries():
+    pick = random.Random(1)
+    pieces = ["a", "b.", "@", "@x.y", "-", "_", "1", "25", "300", ".", "+", "4111111111111111", " ", "(", "\n", "é", "%"]
+    for _ in range(6000):
+        text = "".join(pick.choices(pieces, k=pick.randint(1, 14)))
+        assert pii.base_spans(text) == brute_base(text), text
+
+
+def test_fixture(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = 0
+    for r in pii.personal_data(docs).collect():
+        base = brute_base(texts[r.doc_id])
+        told = ",".join(f"{k}:{a}:{z}" for k, a, z in base)
+        assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert set(told.split(",")) <= set(r.spans.split(","))
+        found += len(base)
+        if not re.search("[0-9@]", texts[r.doc_id]):
+            assert r.spans == ""
+    assert found
+
+
+def test_viterbi_finds_the_best_of_all_paths():
+    pick = np.random.default_rng(3)
+    moves, start = pick.normal(size=(3, 3)), pick.normal(size=3)
+    emissions = pick.normal(size=(16, 3))
+    places = [np.arange(0, 5), np.arange(5, 6), np.arange(6, 6), np.arange(6, 12), np.arange(12, 16)]
+    for place, got in zip(places, pii.viterbi(emissions, places, moves, start), strict=True):
+        score = lambda p: sum(emissions[r, k] for r, k in zip(place, p)) + sum(moves[a, b] for a, b in zip(p, p[1:])) + (start[p[0]] if p else 0)  # noqa: B023, E731
+        assert tuple(got.tolist()) == max(itertools.product(range(3), repeat=len(place)), key=score)
+
+
+def spans(text, model=None):
+    return pii.all_spans([text], model or pii.trained())[0][1]
+
+
+def test_the_labelled_table_is_learnt():
+    right = wrong = 0
+    for text, want in pii.labelled():
+        got = spans(text)
+        right += set(want) <= set(got)
+        wrong += bool(set(got) - set(want))
+    assert right >= 0.95 * len(pii.labelled()) - 20 and wrong <= 0.03 * len(pii.labelled())
+
+
+@pytest.mark.parametrize("fold", range(3))
+def test_held_out_examples(fold):
+    """Train without every third example and clean text, then look for them in another carrier."""
+    rows = pii.labelled()
+    values = [text[s[0][1] : s[0][2]] if s else text.removeprefix("Then ").removesuffix(", and so on.") for text, s in rows]
+    held = {v for i, v in enumerate(sorted(set(values))) if i % 3 == fold}
+    model = pii.train([r for r, v in zip(rows, values, strict=True) if v not in held])
+    test = [r for r, v in zip(rows, values, strict=True) if v in held]
+    found = sum(bool(set(want) & set(spans(text, model))) for text, want in test if want)
+    false = sum(bool(spans(text, model)) for text, want in test if not want)
+    assert found >= 0.6 * sum(bool(w) for _, w in test)
+    assert false <= 0.15 * sum(not w for _, w in test) + 1
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [
+        ("Please call (303) 555-0142 before noon", "phone", "(303) 555-0142"),
+        ("write to anna(at)example.org please", "email", "anna(at)example.org"),
+        ("blocked 198[.]51[.]100[.]7 again", "ip", "198[.]51[.]100[.]7"),
+        ("paid by card 3782 822463 10005 yesterday", "card", "3782 822463 10005"),
+    ],
+)
+def test_forms_beyond_the_base(text, kind, part):
+    assert (kind, text.index(part), text.index(part) + len(part)) in spans(text)
+    assert pii.base_spans(text) == []
+
+
+@pytest.mark.parametrize("text", ["It was 1999-12-31 at 23:59.", "Version 2.0.1 costs 1,299.00", "order 4785380592391134"])
+def test_clean_numbers_stay(text):
+    assert spans(text) == []
+
+
+def test_base_spans_stay_and_win():
+    text = "mail a.b@example.com or call +1 (555) 123-4567, ip 10.0.0.1, card 4111 1111 1111 1111"
+    base, every = pii.all_spans([text], pii.trained())[0]
+    assert base == brute_base(text) and set(base) <= set(every)
+    assert all(not (s[1] < z and a < s[2]) for s in set(every) - set(base) for _, a, z in base)
+
+
+def test_odd_texts_and_tables(spark):
+    texts = [None, "", " ", "@", "1", "é@é.é", "\x1c1", "٣٤ ²", "x\x00@y.z", "1 " * 20_000, "a" * 300_000 + "@", "9" * 100_000, "+" * 5000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1, ""), (1, "")], "doc_id long, text string")
+    began = time.time()
+    rows = pii.personal_data(docs).collect()
+    assert time.time() - began < 60
+    assert len(rows) == len(texts) + 2
+    assert rows[0].spans == "" and rows[0].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert pii.personal_data(docs.limit(0)).count() == 0
+    clash = spark.createDataFrame([(1, "a@b.c", "s")], "doc_id long, text string, spans string")
+    assert pii.personal_data(clash).first().spans == "email:0:5"
