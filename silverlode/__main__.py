@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.functions.contract import EARLIEST_PICKUP, TRIP_CONTRACT
 from silverlode.functions.rules import cleaning_rules, profiling_rules
 from silverlode.operators.clean import normalize_checked, sample_rows
+from silverlode.operators.privacy import PiiClass
 from silverlode.plans import pipeline
 from silverlode.plans.report import quality_report, render
 from silverlode.session import Settings, build_session
@@ -27,7 +29,7 @@ def read_trips(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
         return readers.read_csv(spark, paths, schema, keep_corrupt=True, lineage=True)
     if kind == "json":
         return readers.read_json(spark, paths, schema, keep_corrupt=True, lineage=True)
-    df = readers.read_parquet(spark, paths, merge_schema=len(paths) > 1, lineage=True)
+    df = readers.read_months(spark, paths, TRIP_CONTRACT.types(), lineage=True)
     return normalize_checked(df, TRIP_CONTRACT.types())
 
 
@@ -45,13 +47,26 @@ def parser() -> argparse.ArgumentParser:
     route.add_argument("--metrics")
     route.add_argument("--run-ts", help="'yyyy-MM-dd HH:mm:ss' in UTC; now if left out")
     route.add_argument("--validate-first", action="store_true")
-    route.add_argument("--refresh-months", action="store_true")
+    route.add_argument("--delivery", help="what the run replaces; by default all that runs without it wrote")
+    route.add_argument(
+        "--contract",
+        choices=("full", "present", "none"),
+        default="full",
+        help="rules of the contract: all, those about delivered columns, or none",
+    )
+    route.add_argument("--zones", help="Parquet with the known zone keys in its first column")
+    route.add_argument("--hash", nargs="*", default=[], metavar="COLUMN", help="columns to replace by a hash")
+    route.add_argument("--salt-env", help="environment variable that holds the salt of the hashes")
     route.add_argument("--halt-above", type=float, help="percent of failed rows")
 
     again = commands.add_parser("reprocess", help="judge dead letters under another passenger limit")
     again.add_argument("--silver", required=True)
     again.add_argument("--dead-letters", required=True)
     again.add_argument("--max-passengers", type=float, required=True)
+    again.add_argument("--min-passengers", type=float, help="any number above zero if left out")
+    again.add_argument("--gold")
+    again.add_argument("--metrics")
+    again.add_argument("--reread", action="store_true", help="read unreadable rows again from their text")
     again.add_argument("--run-ts")
 
     report = commands.add_parser("report", help="NULLs, duplicates and value checks of raw files")
@@ -77,20 +92,29 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
     run_ts = getattr(args, "run_ts", None) or pipeline.run_timestamp()
     if args.command == "route":
         layers = pipeline.Layers(args.silver, args.dead_letters, args.gold, args.metrics)
+        bronze = read_trips(spark, args.paths, args.format)
+        contract = None if args.contract == "none" else TRIP_CONTRACT
+        if args.contract == "present":
+            contract = contract.restricted_to(bronze.columns)
         metrics = pipeline.run(
             spark,
-            read_trips(spark, args.paths, args.format),
+            bronze,
             layers,
             run_ts,
+            delivery=args.delivery or pipeline.WHOLE,
+            policy={c: PiiClass.HIGH for c in args.hash} or None,
+            salt=os.environ[args.salt_env] if args.salt_env else None,
             validate_first=args.validate_first,
-            refresh_months=args.refresh_months,
+            contract=contract,
+            zones=spark.read.parquet(args.zones) if args.zones else None,
             halt_above=args.halt_above,
         )
         return json.dumps(metrics, default=str)
     if args.command == "reprocess":
-        layers = pipeline.Layers(args.silver, args.dead_letters)
-        rules = cleaning_rules(run_ts, passengers=(1, args.max_passengers))
-        return json.dumps(pipeline.reprocess_dead_letters(spark, layers, run_ts, rules))
+        layers = pipeline.Layers(args.silver, args.dead_letters, args.gold, args.metrics)
+        types = TRIP_CONTRACT.types() if args.reread else None
+        rules = cleaning_rules(run_ts, passengers=(args.min_passengers, args.max_passengers))
+        return json.dumps(pipeline.reprocess_dead_letters(spark, layers, run_ts, rules, types=types))
     if args.command == "convert":
         parquet_to_csv(spark, args.source, args.target)
         return f"wrote {args.target}"

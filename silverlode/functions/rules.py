@@ -48,10 +48,13 @@ def below(column: str, limit: float) -> Rule:
     return Rule(f"{column}_lt_{limit:g}", F.col(column) < limit)
 
 
-def too_few(column: str, minimum: float) -> Rule:
-    """Fewer than the minimum; with a minimum of one, fractions above zero still pass."""
-    wrong = F.col(column) <= 0 if minimum == 1 else F.col(column) < minimum
-    return Rule(f"{column}_low", wrong)
+def not_positive(column: str) -> Rule:
+    """Zero or less; fractions above zero pass."""
+    return Rule(f"{column}_low", F.col(column) <= 0)
+
+
+def fewer_than(column: str, minimum: float) -> Rule:
+    return Rule(f"{column}_low", F.col(column) < minimum)
 
 
 def in_future(column: str, label: str, as_of: str) -> Rule:
@@ -75,15 +78,18 @@ def in_domain(column: str, values: Sequence[str]) -> Rule:
     return Rule(f"{column}_domain", ~F.col(column).isin(*values))
 
 
-def cleaning_rules(as_of: str, passengers: tuple[float, float] = (1, 10)) -> list[Rule]:
-    """The rules that decide whether a trip may enter the clean layer."""
+def cleaning_rules(as_of: str, passengers: tuple[float | None, float] = (None, 10)) -> list[Rule]:
+    """The rules that decide whether a trip may enter the clean layer.
+
+    ``passengers`` is the least and the greatest number; without a least one it must be above zero.
+    """
     low, high = passengers
     return [
         negative("fare_amount"),
         negative("trip_distance"),
         negative("total_amount"),
         negative("tip_amount"),
-        too_few("passenger_count", low),
+        not_positive("passenger_count") if low is None else fewer_than("passenger_count", low),
         above("passenger_count", high),
         in_future("tpep_pickup_datetime", "pickup", as_of),
         in_future("tpep_dropoff_datetime", "dropoff", as_of),

@@ -32,14 +32,24 @@ def money(column: str) -> Column:
     return F.col(column).try_cast(MONEY)
 
 
+EXACT = "decimal(38,10)"
+
+
 def exact_sum(column: str | Column) -> Column:
-    """Sum in decimal, so that the result does not depend on the order of the rows."""
+    """Sum that does not depend on the order of the rows: in decimal, to ten places.
+
+    Values of 10 ** 28 and more do not fit; they are added up as doubles, so none is lost. A sum that
+    leaves the range of the decimal fails the job.
+    """
     value = F.col(column) if isinstance(column, str) else column
-    return F.sum(value.try_cast(MONEY)).cast("double")
+    fits = value.try_cast(EXACT)
+    exact = F.sum(fits).cast("double")
+    rest = F.sum(F.when(fits.isNull(), value.cast("double")))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 
 def exact_mean(column: str) -> Column:
-    """Mean from the exact sum and the number of non-NULL values."""
+    """Mean from the exact sum and the number of non-NULL values, all of which the sum holds."""
     return F.try_divide(exact_sum(column), F.count(column).cast("double"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from silverlode.functions.predicates import count_where, percent
-from silverlode.functions.scalars import day_of, exact_mean, exact_sum
+from silverlode.functions.scalars import EXACT, day_of, exact_mean, exact_sum
 
 
 def daily(df: DataFrame, ts: str, measures: dict[str, Column]) -> DataFrame:
@@ -50,7 +50,7 @@ def versus_trailing(df: DataFrame, value: str, days: int = 7, drop_percent: floa
     The mean is an exact decimal sum divided by the number of days.
     """
     w = _last_days(days)
-    total = F.sum(F.col(value).try_cast("decimal(28,2)")).over(w).cast("double")
+    total = F.sum(F.col(value).cast(EXACT)).over(w).cast("double")
     mean = F.try_divide(total, F.count(value).over(w).cast("double"))
     limit = F.lit(1.0 - drop_percent / 100.0)
     return df.withColumn("trailing_mean", mean).withColumn(

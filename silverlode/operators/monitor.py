@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from silverlode.functions.predicates import count_where, percent
 from silverlode.functions.scalars import ntz, week_start
+from silverlode.operators.validate import first_per_group
+
+
+
+
+def band_of(rate: float) -> str:
+    """``failure_band`` of a figure that is at hand."""
+    return "halt" if rate > 10.0 else "urgent" if rate >= 5.0 else "warning" if rate >= 1.0 else "normal"
+
 
 def failure_band(rate: Column) -> Column:
     """Band of a failure rate in percent: below 1, from 1, from 5, above 10."""
@@ -27,7 +35,11 @@ def dead_letter_alert(rate: Column, limit_percent: float = 1.0) -> Column:
     return rate > F.lit(limit_percent)
 
 
-def run_alerts(runs: DataFrame, max_minutes: float = 15.0, max_failure: float = 5.0) -> DataFrame:
+#: When a run deserves an alert.
+MAX_MINUTES, MAX_FAILURE = 15.0, 5.0
+
+
+def run_alerts(runs: DataFrame, max_minutes: float = MAX_MINUTES, max_failure: float = MAX_FAILURE) -> DataFrame:
     """Alerts on a run-metrics table with ``runtime_minutes`` and ``failure_rate``."""
     slow = F.col("runtime_minutes") > F.lit(max_minutes)
     failing = F.col("failure_rate") > F.lit(max_failure)
@@ -66,16 +78,8 @@ def triage(dead_letters: DataFrame) -> DataFrame:
 
 
 def samples_per_type(dead_letters: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first ``n`` rows of each error type.
-
-    The rank limit is applied inside each task before the shuffle, so a type that holds most of the
-    rows sends at most ``n`` per task.
-    """
-    w = Window.partitionBy("_error_type").orderBy(*order)
-    return (
-        dead_letters.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= n)
-    )
+    """The first ``n`` rows of each error type, ranked in two steps so that no type meets in one task."""
+    return first_per_group(dead_letters, "_error_type", n, order)
 
 
 def weekly_patterns(dead_letters: DataFrame, ts: str, kind: str) -> DataFrame:

@@ -41,11 +41,16 @@ def reference_report(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) ->
 
 
 def enrich(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, columns: dict) -> DataFrame:
-    """Add dimension columns (``{new name: dimension column}``) to every fact row."""
-    side = dim.select(
-        F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(new) for new, c in columns.items()]
-    )
-    return fact.join(side, F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
+    """Add dimension columns (``{new name: dimension column}``) to every fact row.
+
+    A key that the dimension holds more than once counts once, with the least of its rows, so facts
+    are never multiplied.
+    """
+    values = F.struct(*[F.col(c).alias(new) for new, c in columns.items()])
+    side = dim.groupBy(F.col(dim_key).alias("_dim_key")).agg(F.min(values).alias("_dim"))
+    joined = fact.join(side, F.col(key) == F.col("_dim_key"), "left")
+    added = [F.col("_dim").getField(new).alias(new) for new in columns]
+    return joined.select(*[F.col(c) for c in fact.columns], *added)
 
 
 def absent_members(dim: DataFrame, dim_key: str, fact: DataFrame, key: str) -> DataFrame:
@@ -75,14 +80,16 @@ def build_dimension(df: DataFrame, natural_key: str, name: str, attributes: dict
 def build_fact(df: DataFrame, links: dict[str, tuple[str, DataFrame]], measures: list) -> DataFrame:
     """Facts with one surrogate key per link; a natural key without a member gives NULL.
 
-    ``links`` maps a column of ``df`` to (name of the link, dimension from ``build_dimension``).
+    ``links`` maps a column of ``df`` to (name of the link, dimension from ``build_dimension``). The key
+    is computed from the fact; the dimension only says whether the member exists. Pass dimensions that
+    have been written: then Spark knows their size, sends small ones to the facts and leaves these
+    where they are.
     """
     for column, (name, dim) in links.items():
         dim_name = dim.columns[0].removesuffix("_key")
-        side = dim.select(
-            F.col(f"{dim_name}_id").alias("_id"), F.col(f"{dim_name}_key").alias(f"{name}_key")
-        )
-        df = df.join(side, F.col(column) == F.col("_id"), "left").drop("_id")
+        members = dim.select(F.col(f"{dim_name}_id").alias("_id")).distinct()
+        df = df.join(members, F.col(column) == F.col("_id"), "left")
+        df = df.withColumn(f"{name}_key", F.when(F.col("_id").isNotNull(), surrogate_key(column))).drop("_id")
     return df.select(*[f"{name}_key" for name, _ in links.values()], *measures)
 
 

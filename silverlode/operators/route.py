@@ -37,19 +37,6 @@ DEAD_LETTER_COLUMNS = (ERROR_TYPE, ERROR_MESSAGE, FAILED_AT, SOURCE_FILE, ORIGIN
 READ_FAULTS = (CORRUPT, TYPE_ERRORS)
 
 
-def to_dead_letters(df: DataFrame, error_type: str, message: str, run_ts: str) -> DataFrame:
-    """Attach why and when the rows failed. The source file is kept if the scan recorded it."""
-    source = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit(None).cast("string")
-    return df.withColumns(
-        {
-            ERROR_TYPE: F.lit(error_type),
-            ERROR_MESSAGE: F.lit(message),
-            FAILED_AT: ntz(run_ts),
-            SOURCE_FILE: source,
-        }
-    )
-
-
 def _read_faults(df: DataFrame) -> list[tuple[str, Column, Column]]:
     """(verdict, condition, message) for faults the reader or the type check left on the rows."""
     faults = []
@@ -245,6 +232,10 @@ def route(
     return Routed(kept.unionByName(rejected), run_ts)
 
 
+def _unreadable() -> Column:
+    return F.col(ERROR_TYPE).isin(ErrorType.SCHEMA_MISMATCH.value, ErrorType.TYPE_ERROR.value)
+
+
 def reprocess(
     dead_letters: DataFrame,
     critical: Sequence[str],
@@ -252,47 +243,67 @@ def reprocess(
     rules: Sequence[Rule],
     run_ts: str,
     on_null: str = "quarantine",
+    types: dict[str, str] | None = None,
+    delimiter: str = ",",
 ) -> Routed:
     """Judge dead letters again under new rules; ``silver`` are the recovered rows.
 
     Dead letters were deduplicated when they were first routed, so this is narrow. Defaults had been
     filled in before a row failed a rule, so a recovered row scores as if it had come complete. Rows
-    that could not be read keep their verdict; ``reread`` is for them.
+    that could not be read keep their verdict, or with ``types`` are read again from their text.
     """
-    unreadable = F.col(ERROR_TYPE).isin(ErrorType.SCHEMA_MISMATCH.value, ErrorType.TYPE_ERROR.value)
-    source = dead_letters.withColumns(
+    letters = dead_letters.withColumn(COPIES, F.lit(1).cast("bigint"))
+    kept = _judge_again(letters, critical, fills, rules, on_null, keep_unreadable=not types)
+    if types:
+        carry = [c for c in letters.columns if c not in types and c not in (ERROR_TYPE, ERROR_MESSAGE, ORIGINAL)]
+        again = reread(letters, types, delimiter, carry)
+        read_again = judge(again, critical, fills, rules, on_null)
+        unread = letters.where(_unreadable() & _row_of_text(types, delimiter).isNull()).withColumn(HAD_NULLS, F.lit(False))
+        readable = kept.where(F.col("_readable")).drop("_readable")
+        kept = readable.unionByName(read_again, allowMissingColumns=True).unionByName(unread, allowMissingColumns=True)
+    return Routed(kept, run_ts)
+
+
+def _judge_again(letters, critical, fills, rules, on_null, keep_unreadable: bool) -> DataFrame:
+    source = letters.withColumns(
         {
-            COPIES: F.lit(1).cast("bigint"),
-            "_was_type": F.when(unreadable, F.col(ERROR_TYPE)),
+            "_was_type": F.when(_unreadable(), F.col(ERROR_TYPE)),
             "_was_message": F.col(ERROR_MESSAGE),
         }
     ).drop(ERROR_TYPE, ERROR_MESSAGE)
     judged = judge(source, critical, fills, rules, on_null)
     stays = F.col("_was_type").isNotNull()
-    kept = judged.withColumns(
+    verdicts = judged.withColumns(
         {
             ERROR_MESSAGE: F.when(stays, F.col("_was_message")).otherwise(F.col(ERROR_MESSAGE)),
             ERROR_TYPE: F.coalesce("_was_type", ERROR_TYPE),
         }
     )
-    return Routed(kept.drop("_was_type", "_was_message"), run_ts)
+    if not keep_unreadable:
+        verdicts = verdicts.withColumn("_readable", F.col("_was_type").isNull())
+    return verdicts.drop("_was_type", "_was_message")
 
 
-def reread(dead_letters: DataFrame, types: dict[str, str], delimiter: str = ",") -> DataFrame:
-    """Read unreadable rows again from their original text, under corrected types.
-
-    Text kept by the type check is JSON, text kept by the reader is a delimited line whose columns are
-    those of ``types`` in that order. The result has one column per type plus what the type check
-    adds, and can be routed like any delivery.
-    """
-    names = list(types)
-    fields = ", ".join(f"`{c}` string" for c in names)
+def _row_of_text(types: dict[str, str], delimiter: str) -> Column:
+    """The columns of an unreadable row as text; NULL where its text has no such row."""
+    fields = ", ".join(f"`{c}` string" for c in types)
     original = F.col(ORIGINAL)
-    row = F.when(
+    return F.when(
         F.col(ERROR_TYPE) == ErrorType.TYPE_ERROR.value, F.from_json(original, fields)
     ).when(
         F.col(ERROR_TYPE) == ErrorType.SCHEMA_MISMATCH.value,
         F.from_csv(original, F.lit(fields), {"sep": delimiter}),
     )
-    text = dead_letters.select(row.alias("_row"), SOURCE_FILE).where(F.col("_row").isNotNull())
-    return normalize_checked(text.select("_row.*", SOURCE_FILE), types)
+
+
+def reread(
+    dead_letters: DataFrame, types: dict[str, str], delimiter: str = ",", carry: Sequence[str] = (SOURCE_FILE,)
+) -> DataFrame:
+    """Read unreadable rows again from their original text, under corrected types.
+
+    Text kept by the type check is JSON, text kept by the reader is a delimited line whose columns are
+    those of ``types`` in that order. The result has one column per type, those to carry along, and
+    what the type check adds, and can be routed like any delivery.
+    """
+    text = dead_letters.select(_row_of_text(types, delimiter).alias("_row"), *carry).where(F.col("_row").isNotNull())
+    return normalize_checked(text.select("_row.*", *carry), types)

@@ -30,12 +30,24 @@ def invalid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def examples_per_rule(df: DataFrame, rules: Sequence[Rule], n: int) -> DataFrame:
     """The first ``n`` rows that break each rule, in one scan for all rules.
 
-    Only violating rows are ranked, and the limit is applied inside each task before the shuffle, so a
-    rule that most rows break sends at most ``n`` rows per task.
+    Only violating rows are ranked, in two steps (see ``first_per_group``).
     """
     broken = evaluate(df, rules, "_rules").withColumn("rule", F.explode("_rules")).drop("_rules")
-    place = F.row_number().over(Window.partitionBy("rule").orderBy(*df.columns))
-    return broken.withColumn("rank", place).where(F.col("rank") <= n)
+    return first_per_group(broken, "rule", n, df.columns)
+
+
+def first_per_group(df: DataFrame, group: str, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows of each group with their ``rank``.
+
+    A group is dealt over as many buckets as there are shuffle partitions and ranked in each; only the
+    first ``n`` of every bucket meet in one task, whatever ``n`` is.
+    """
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    own = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order))
+    few = dealt.withColumn("_own", own).where(F.col("_own") <= n).drop("_own", "_bucket")
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return few.withColumn("rank", place).where(F.col("rank") <= n)
 
 
 def rule_counts_wide(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

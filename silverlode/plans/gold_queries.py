@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from silverlode.operators import gold, monitor, relations
 from silverlode.operators.privacy import pseudonymize
 from silverlode.plans.inputs import dates_as_text, load, routed_trips, trips
+from silverlode.plans.layer_queries import whole_layers
 from silverlode.plans.oracle import COLUMNS, day, money_sum, on_routed, on_trips
-from silverlode.plans.registry import query
+from silverlode.plans.registry import query, written_once
+from silverlode.sinks.writers import write_parquet
 
 PURCHASES = "(SELECT * FROM events WHERE event_type = 'purchase')"
 DAILY = f"SELECT {day('ts')} AS day, COUNT(*) AS n"
@@ -53,7 +55,7 @@ def distance_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH d AS ({REVENUE}),
-t AS (SELECT *, CAST(SUM(CAST(revenue AS DECIMAL(28,2))) OVER w AS DOUBLE)
+t AS (SELECT *, CAST(SUM(CAST(revenue AS DECIMAL(38,10))) OVER w AS DOUBLE)
     / CAST(COUNT(revenue) OVER w AS DOUBLE) AS raw_mean, COUNT(revenue) OVER w AS days FROM d
   WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
 m AS (SELECT day, n, revenue, CASE WHEN days > 0 THEN raw_mean END AS trailing_mean FROM t)
@@ -128,9 +130,9 @@ def gold_daily_revenue_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def gold_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.reconcile(
-        routed_trips(spark, sf_dir).silver, gold_table(spark, sf_dir), "trips"
-    )
+    """The written clean layer against the written aggregates."""
+    layers = whole_layers(spark, sf_dir)
+    return relations.reconcile(spark.read.parquet(layers.silver), spark.read.parquet(layers.gold), "trips")
 
 
 @query(on_routed(f"SELECT COUNT(*) AS n, COUNT(*) > 0 AS passed FROM ({GOLD_SQL})"))
@@ -250,11 +252,17 @@ LEFT JOIN nation d ON DOLocationID = d.n_nationkey
     )
 )
 def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zone = zones(spark, sf_dir)
+    """Dimensions are written before the facts are built, as in any star schema."""
+
+    def written(name: str, dim: DataFrame) -> DataFrame:
+        return spark.read.parquet(written_once(spark, sf_dir, name, lambda path: write_parquet(dim, path)))
+
+    zone = written("dim-zone", zones(spark, sf_dir))
+    vendor = written("dim-vendor", vendors(spark, sf_dir))
     return relations.build_fact(
         routed_trips(spark, sf_dir).silver,
         {
-            "VendorID": ("vendor", vendors(spark, sf_dir)),
+            "VendorID": ("vendor", vendor),
             "PULocationID": ("pickup_zone", zone),
             "DOLocationID": ("dropoff_zone", zone),
         },

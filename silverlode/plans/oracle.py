@@ -86,9 +86,9 @@ def named(flags: dict[str, str]) -> str:
     ) + ")"
 
 
-def judge_sql(source: str, max_passengers: int = 10) -> str:
-    """The verdict of each row of a table expression, with its message."""
-    rules = rules_sql(max_passengers)
+def judge_sql(source: str, max_passengers: int = 10, more: dict[str, str] | None = None) -> str:
+    """The verdict of each row of a table expression, with its message; ``more`` are further rules."""
+    rules = rules_sql(max_passengers) | (more or {})
     missing = " OR ".join(f"{c} IS NULL" for c in CRITICAL)
     violated = " OR ".join(f"coalesce({c}, FALSE)" for c in rules.values())
     undecided = " OR ".join(f"({c}) IS NULL" for c in rules.values())
@@ -134,7 +134,7 @@ def on_routed(select: str) -> str:
 
 
 def money_sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({column} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def day(column: str) -> str:

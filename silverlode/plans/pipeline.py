@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,25 +18,36 @@ from silverlode.functions.contract import (
     DEDUP_KEYS,
     FILL_DEFAULTS,
     Contract,
+    Severity,
 )
-from silverlode.functions.predicates import any_of
-from silverlode.functions.rules import Rule, cleaning_rules
+from silverlode.functions.predicates import any_of, count_where
+from silverlode.functions.rules import Rule, cleaning_rules, contract_rules
 from silverlode.functions.scalars import ntz
+from silverlode.operators.dedup import dedup
 from silverlode.operators.gold import daily_revenue_by_zone
+from silverlode.operators.monitor import MAX_FAILURE, MAX_MINUTES, band_of
 from silverlode.operators.privacy import PiiClass, apply_policy
-from silverlode.operators.route import ERROR_TYPE, Routed, reprocess, route
+from silverlode.operators.route import ERROR_TYPE, FAILED_AT, Routed, reprocess, route
 from silverlode.operators.validate import require_columns
 from silverlode.session import delete_path, scratch_path
-from silverlode.sinks.writers import with_year_month, write_dead_letters, write_parquet
+from silverlode.sinks.writers import (
+    with_dead_letter_folders,
+    with_year_month,
+    write_dead_letters,
+    write_parquet,
+)
 
 METRICS_SCHEMA = (
-    "run_ts timestamp_ntz, input_rows bigint, duplicate_rows bigint, schema_mismatch_rows bigint, "
-    "type_error_rows bigint, missing_critical_rows bigint, business_rule_rows bigint, "
-    "indeterminate_rows bigint, dlq_rows bigint, silver_rows bigint, failure_rate double, "
-    "runtime_minutes double"
+    "run_ts timestamp_ntz, delivery string, status string, input_rows bigint, duplicate_rows bigint, "
+    "schema_mismatch_rows bigint, type_error_rows bigint, missing_critical_rows bigint, "
+    "business_rule_rows bigint, indeterminate_rows bigint, dlq_rows bigint, silver_rows bigint, "
+    "warning_rows bigint, failure_rate double, band string, alert boolean, runtime_minutes double"
 )
 
+DELIVERY = "delivery"
 DEAD_LETTER_FOLDERS = ("year", "month", "day", "run")
+#: The delivery of a table that always comes as a whole.
+WHOLE = "whole"
 
 
 class FailureRateExceeded(RuntimeError):
@@ -57,7 +70,55 @@ def run_timestamp() -> str:
     return now.strftime("%Y-%m-%d %H:%M:%S")
 
 
-def stage(spark: SparkSession, routed: Routed) -> tuple[Routed, dict, str]:
+def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
+    """A layer with its delivery as text; None if nothing has been written there, or no row."""
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as refused:
+        if refused.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    fields = [T.StructField(f.name, T.StringType()) if f.name == DELIVERY else f for f in schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def delivery_path(layer: str, delivery: str) -> str:
+    """The folder of one delivery in a layer."""
+    if not re.fullmatch(r"[\w.+~-]+", delivery):
+        raise ValueError(f"a delivery is named by letters, digits and . + ~ - _, got {delivery!r}")
+    return f"{layer}/{DELIVERY}={delivery}"
+
+
+def governing_rules(
+    bronze: DataFrame,
+    rules: Sequence[Rule],
+    contract: Contract | None = None,
+    zones: DataFrame | None = None,
+    zone_columns: Sequence[str] = ("PULocationID", "DOLocationID"),
+) -> tuple[DataFrame, list[Rule], list[str]]:
+    """Rows with helper columns, all rules that decide a run, and the helper columns' names.
+
+    To the cleaning rules come those of the contract, a name counting once, and for each zone column
+    that its key is known. ``zones`` has the keys in its first column; its size is small and known when
+    it has been written.
+    """
+    rules, helpers = list(rules), []
+    if contract:
+        named = {r.name for r in rules}
+        rules += [r for r in contract_rules(contract) if r.name not in named]
+    for column in zone_columns if zones is not None else ():
+        known, helper = zones.select(F.col(zones.columns[0]).alias("_known")).distinct(), f"_unknown_{column}"
+        bronze = bronze.join(known, F.col(column) == F.col("_known"), "left")
+        unknown = F.col(column).isNotNull() & F.col("_known").isNull()
+        bronze = bronze.withColumn(helper, unknown).drop("_known")
+        rules.append(Rule(f"{column}_unknown", F.col(helper)))
+        helpers.append(helper)
+    return bronze, rules, helpers
+
+
+def stage(
+    spark: SparkSession, routed: Routed, path: str, warnings: Sequence[Rule] = ()
+) -> tuple[Routed, dict]:
     """Write the routed rows once and read them back.
 
     The clean and the dead-letter layer are then two cheap reads of one result instead of two runs of
@@ -65,14 +126,18 @@ def stage(spark: SparkSession, routed: Routed) -> tuple[Routed, dict, str]:
     open only its own files. The metrics are observed by the tasks that write, so a row is counted
     once even if an earlier stage has to run again.
     """
-    path = scratch_path(spark, "routed")
     observed = Observation("routed")
-    rows = routed.rows.observe(observed, *[c.alias(n) for n, c in routed.step_counts().items()])
-    layer = F.when(F.col(ERROR_TYPE).isNull(), "silver").otherwise("dead_letters")
+    accepted = F.col(ERROR_TYPE).isNull()
+    counts = {
+        **routed.step_counts(),
+        "warning_rows": count_where(accepted & any_of(r.violated for r in warnings)),
+    }
+    rows = routed.rows.observe(observed, *[c.alias(n) for n, c in counts.items()])
+    layer = F.when(accepted, "silver").otherwise("dead_letters")
     rows.withColumn("_layer", layer).write.partitionBy("_layer").parquet(path)
     schema = routed.rows.withColumn("_layer", layer).schema
     staged = spark.read.schema(schema).parquet(path)
-    return Routed(staged, routed.run_ts), observed.get, path
+    return Routed(staged, routed.run_ts), observed.get
 
 
 def _layer(routed: Routed, name: str) -> Routed:
@@ -84,6 +149,7 @@ def run(
     bronze: DataFrame,
     layers: Layers,
     run_ts: str | None = None,
+    delivery: str = WHOLE,
     keys: Sequence[str] = DEDUP_KEYS,
     critical: Sequence[str] = CRITICAL_COLUMNS,
     fills: dict | None = None,
@@ -92,70 +158,76 @@ def run(
     salt: str | None = None,
     on_null: str = "quarantine",
     validate_first: bool = False,
-    refresh_months: bool = False,
     contract: Contract | None = None,
+    zones: DataFrame | None = None,
     halt_above: float | None = None,
 ) -> dict:
     """Route ``bronze`` into the layers and return the metrics of the run.
 
+    A run replaces what an earlier one wrote for the same ``delivery``, whatever months its rows fall
+    in, and nothing of any other; aggregates are rebuilt for the months that held or hold a row of it.
     Dead letters are written before the clean layer, so a failure in between loses no rejected row.
-    ``refresh_months`` replaces only the months that occur in this delivery, and only the dead letters
-    of the same run. With a ``contract``, a delivery that lacks one of its columns is refused before
-    anything is read. If more than ``halt_above`` percent of the rows fail, only the dead letters are
-    written and the run stops.
+
+    With a ``contract`` a delivery that lacks one of its columns is refused before anything is read,
+    its critical rules decide rows as the cleaning rules do, and rows that only earn a warning are
+    counted. ``zones`` does the same for unknown zone keys. If more than ``halt_above`` percent of the
+    rows fail, only the dead letters and the row of the history are written and the run stops.
     """
     started = time.monotonic()
     if contract:
         require_columns(bronze, contract)
     run_ts = run_ts or run_timestamp()
+    silver_path, letters_path = (delivery_path(x, delivery) for x in (layers.silver, layers.dead_letters))
+    rules = cleaning_rules(run_ts) if rules is None else rules
+    bronze, rules, helpers = governing_rules(bronze, rules, contract, zones)
     routed = route(
         bronze,
         keys,
         critical,
         FILL_DEFAULTS if fills is None else fills,
-        cleaning_rules(run_ts) if rules is None else rules,
+        rules,
         run_ts,
         on_null=on_null,
         validate_first=validate_first,
     )
-    staged, counts, path = stage(spark, routed)
-    write_dead_letters(
-        _layer(staged, "dead_letters").dead_letters,
-        layers.dead_letters,
-        by_run=True,
-        dynamic=refresh_months,
-    )
-    total = counts["input_rows"]
-    failure_rate = counts["dlq_rows"] * 100.0 / total if total else 0.0
-    if halt_above is not None and failure_rate > halt_above:
+    routed = Routed(routed.rows.drop(*helpers), run_ts)
+    path = scratch_path(spark, "routed")
+    try:
+        staged, counts = stage(spark, routed, path, [r for r in rules if r.severity is Severity.WARNING])
+        write_dead_letters(_layer(staged, "dead_letters").dead_letters, letters_path, by_run=True)
+        total = counts["input_rows"]
+        failure_rate = counts["dlq_rows"] * 100.0 / total if total else 0.0
+        halted = halt_above is not None and failure_rate > halt_above
+        if not halted:
+            silver = _layer(staged, "silver").silver
+            if policy:
+                silver = apply_policy(silver, policy, salt=salt)
+            silver = with_year_month(silver, "tpep_pickup_datetime")
+            months = set(months_in(read_layer(spark, silver_path))) if layers.gold else set()
+            write_parquet(silver, silver_path, partition_by=("year", "month"))
+            if layers.gold:
+                months |= set(months_in(spark.read.schema(silver.schema).parquet(silver_path)))
+                rebuild_gold(spark, layers.silver, layers.gold, sorted(months))
+    finally:
         delete_path(spark, path)
-        raise FailureRateExceeded(
-            f"{failure_rate:.2f} % of {total} rows failed, more than {halt_above} %; "
-            f"the dead letters are in {layers.dead_letters}, the clean layer is as it was"
-        )
-    silver = _layer(staged, "silver").silver
-    if policy:
-        silver = apply_policy(silver, policy, salt=salt)
-    silver = with_year_month(silver, "tpep_pickup_datetime")
-    write_parquet(
-        silver,
-        layers.silver,
-        partition_by=("year", "month"),
-        dynamic=refresh_months,
-    )
-    if layers.gold:
-        months = months_in(silver) if refresh_months else None
-        rebuild_gold(spark, layers.silver, layers.gold, silver.schema, months)
-    delete_path(spark, path)
 
     metrics = {
         "run_ts": datetime.datetime.fromisoformat(run_ts),
+        "delivery": delivery,
+        "status": "halted" if halted else "done",
         **counts,
         "failure_rate": failure_rate,
+        "band": band_of(failure_rate),
+        "alert": failure_rate > MAX_FAILURE or (time.monotonic() - started) / 60.0 > MAX_MINUTES,
         "runtime_minutes": (time.monotonic() - started) / 60.0,
     }
     if layers.metrics:
         append_metrics(spark, metrics, layers.metrics)
+    if halted:
+        raise FailureRateExceeded(
+            f"{failure_rate:.2f} % of {total} rows failed, more than {halt_above} %; "
+            f"the dead letters are in {letters_path}, the clean layer is as it was"
+        )
     return metrics
 
 
@@ -168,36 +240,92 @@ def reprocess_dead_letters(
     fills: dict | None = None,
     policy: dict[str, PiiClass] | None = None,
     salt: str | None = None,
+    keys: Sequence[str] = DEDUP_KEYS,
+    types: dict[str, str] | None = None,
+    delimiter: str = ",",
 ) -> dict:
     """Move dead letters that pass the given rules to the clean layer and keep the others.
 
-    The judged rows are written to scratch first, because the dead-letter folders are replaced from
-    them. Recovered rows are appended before the dead letters are replaced: a failure in between
-    leaves a row in both layers, which a second run settles, and never in neither.
+    With ``types`` rows that could not be read are read again from their text. Recovered rows go to
+    their own delivery, unless a row with the same ``keys`` is there already: so a second run after one
+    that broke off adds nothing twice, and neither does a trip that came in two deliveries. Aggregates
+    and history follow. The dead letters are replaced last; until then they are all where they were.
     """
-    letters = spark.read.parquet(layers.dead_letters).drop(*DEAD_LETTER_FOLDERS)
+    started = time.monotonic()
+    letters = read_layer(spark, layers.dead_letters)
+    if letters is None:
+        return {"recovered_rows": 0, "added_rows": 0, "dlq_rows": 0}
+    folders = [DELIVERY, *DEAD_LETTER_FOLDERS]
+    before = {tuple(r) for r in letters.select(*folders).distinct().collect()}  # a row per run and delivery
     routed = reprocess(
-        letters, critical, FILL_DEFAULTS if fills is None else fills, rules, run_ts
-    )
-    staged, counts, path = stage(spark, routed)
-    silver = _layer(staged, "silver").silver
-    if policy:
-        silver = apply_policy(silver, policy, salt=salt)
-    write_parquet(
-        with_year_month(silver, "tpep_pickup_datetime"),
-        layers.silver,
-        mode="append",
-        partition_by=("year", "month"),
-    )
-    write_dead_letters(
-        _layer(staged, "dead_letters").dead_letters, layers.dead_letters, by_run=True
+        letters.drop(*DEAD_LETTER_FOLDERS),
+        critical,
+        FILL_DEFAULTS if fills is None else fills,
+        rules,
+        run_ts,
+        types=types,
+        delimiter=delimiter,
     )
-    delete_path(spark, path)
-    return {"recovered_rows": counts["silver_rows"], "dlq_rows": counts["dlq_rows"]}
+    path, fresh_path = scratch_path(spark, "routed"), scratch_path(spark, "fresh")
+    try:
+        staged, counts = stage(spark, routed, path)
+        recovered = _layer(staged, "silver").silver
+        if policy:
+            recovered = apply_policy(recovered, policy, salt=salt)
+        recovered = with_year_month(recovered, "tpep_pickup_datetime")
+        months = months_in(recovered)
+        fresh = _not_yet_there(recovered, read_layer(spark, layers.silver), keys, months)
+        fresh.write.parquet(fresh_path)  # the clean layer is read here, so it is not yet written
+        fresh = spark.read.schema(fresh.schema).parquet(fresh_path)
+        added = fresh.count()
+        write_parquet(fresh, layers.silver, mode="append", partition_by=(DELIVERY, "year", "month"))
+        if layers.gold:
+            rebuild_gold(spark, layers.silver, layers.gold, months)
+        rest = _layer(staged, "dead_letters").dead_letters
+        write_dead_letters(rest, layers.dead_letters, by_run=True, first=(DELIVERY,), dynamic=True)
+        left = rest.select(DELIVERY, FAILED_AT)
+        left = {tuple(r) for r in with_dead_letter_folders(left, FAILED_AT).select(*folders).distinct().collect()}
+        for gone in sorted(before - left):
+            folder = "/".join(f"{name}={value}" for name, value in zip(folders, gone, strict=True))
+            delete_path(spark, f"{layers.dead_letters}/{folder}")
+    finally:
+        delete_path(spark, path)
+        delete_path(spark, fresh_path)
+    found = {"recovered_rows": counts["silver_rows"], "added_rows": added, "dlq_rows": counts["dlq_rows"]}
+    if layers.metrics:
+        rate = counts["dlq_rows"] * 100.0 / counts["input_rows"] if counts["input_rows"] else 0.0
+        metrics = {
+            "run_ts": datetime.datetime.fromisoformat(run_ts),
+            "status": "reprocessed",
+            **counts,
+            "failure_rate": rate,
+            "runtime_minutes": (time.monotonic() - started) / 60.0,
+        }
+        append_metrics(spark, metrics, layers.metrics)
+    return found
+
+
+def _not_yet_there(
+    rows: DataFrame, silver: DataFrame | None, keys: Sequence[str], months: Sequence[tuple[int, int]]
+) -> DataFrame:
+    """One row per key, without the keys that the clean layer holds in these months."""
+    rows = dedup(rows, keys).drop("_copies")
+    if silver is None:
+        return rows
+    there = in_months(silver, months).select(*[F.col(k).alias(f"_there_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_there_{k}")) for k in keys]
+    return rows.join(there, same, "left_anti")
+
+
+def in_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """Rows of the given months; the condition is on the folders."""
+    return df.where((F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months]))
 
 
-def months_in(silver: DataFrame) -> list[tuple[int, int]]:
+def months_in(silver: DataFrame | None) -> list[tuple[int, int]]:
     """The months a frame with year and month holds; as many rows as the calendar has months."""
+    if silver is None:
+        return []
     rows = silver.select("year", "month").distinct().collect()
     return sorted((r.year, r.month) for r in rows)
 
@@ -206,32 +334,64 @@ def rebuild_gold(
     spark: SparkSession,
     silver_path: str,
     gold_path: str,
-    schema: T.StructType | None = None,
     months: Sequence[tuple[int, int]] | None = None,
 ) -> None:
     """Aggregates of the clean layer, by month; they hold no row-level data.
 
-    With ``months`` only those are read and replaced: the condition is on the folders. A schema lets an
-    empty clean layer be read.
+    With ``months`` only those are read and replaced, and a month without a row any more goes.
     """
-    reader = spark.read.schema(schema) if schema else spark.read
-    silver = reader.parquet(silver_path)
-    if months is not None:
-        silver = silver.where(
-            any_of((F.col("year") == y) & (F.col("month") == m) for y, m in months)
+    silver = read_layer(spark, silver_path)
+    if silver is not None:
+        if months is not None:
+            silver = in_months(silver, months)
+        gold = daily_revenue_by_zone(silver, "tpep_pickup_datetime", "PULocationID", "total_amount")
+        write_parquet(
+            with_year_month(gold, "day"),
+            gold_path,
+            partition_by=("year", "month"),
+            dynamic=months is not None,
         )
-    gold = daily_revenue_by_zone(silver, "tpep_pickup_datetime", "PULocationID", "total_amount")
-    write_parquet(
-        with_year_month(gold, "day"),
-        gold_path,
-        partition_by=("year", "month"),
-        dynamic=months is not None,
-    )
+    for year, month in sorted(set(months or ()) - set(months_in(silver))):
+        delete_path(spark, f"{gold_path}/year={year}/month={month}")
+
+
+def erase_from_layers(spark: SparkSession, layers: Layers, subjects: DataFrame, key: str) -> int:
+    """Rewrite the folders of the clean layer that hold rows of the given subjects, without those rows.
+
+    ``subjects`` has the keys in its first column. Only months and deliveries with a hit are read in
+    full and replaced; their aggregates are rebuilt. Returns the number of rows that went.
+    """
+    silver = read_layer(spark, layers.silver)
+    if silver is None:
+        return 0
+    folders = [DELIVERY, "year", "month"]
+    wanted = subjects.select(F.col(subjects.columns[0]).alias("_subject")).distinct()
+    hits = silver.join(wanted, F.col(key) == F.col("_subject"), "left_semi")
+    touched = hits.groupBy(*folders).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per folder
+    path = scratch_path(spark, "erased")
+    try:
+        for delivery in sorted({r.delivery for r in touched}):
+            own = [(r.year, r.month) for r in touched if r.delivery == delivery]
+            kept = in_months(silver.where(F.col(DELIVERY) == delivery), own)
+            kept = kept.join(wanted, F.col(key) == F.col("_subject"), "left_anti")
+            kept.write.parquet(f"{path}/{delivery}")  # what is read can't be overwritten in place
+            rest = spark.read.schema(kept.schema).parquet(f"{path}/{delivery}")
+            left = set(months_in(rest))
+            write_parquet(rest, layers.silver, partition_by=folders, dynamic=True)
+            for year, month in sorted(set(own) - left):
+                delete_path(spark, f"{delivery_path(layers.silver, delivery)}/year={year}/month={month}")
+    finally:
+        if touched:
+            delete_path(spark, path)
+    if layers.gold and touched:
+        rebuild_gold(spark, layers.silver, layers.gold, sorted({(r.year, r.month) for r in touched}))
+    return sum(r.n for r in touched)
 
 
 def append_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
-    """Add one row to the run history."""
-    row = spark.createDataFrame([metrics], METRICS_SCHEMA)
+    """Add one row to the run history; what a run doesn't know is NULL."""
+    names = [f.strip().split(" ")[0] for f in METRICS_SCHEMA.split(",")]
+    row = spark.createDataFrame([{n: metrics.get(n) for n in names}], METRICS_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(path)
 
 

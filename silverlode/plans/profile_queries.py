@@ -188,7 +188,7 @@ _RANGED = ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "tot
         "SELECT * FROM ("
         + " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", MIN({c}) AS min_value, MAX({c}) AS max_value,"""
-            f" CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE) AS mean_value"
+            f" CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE) AS mean_value"
             " FROM trips"
             for c in _RANGED
         )
@@ -199,9 +199,39 @@ def value_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_ranges(trips(spark, sf_dir), _RANGED)
 
 
+_RANGED_LINES = ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", MIN({c})::DOUBLE AS min_value, MAX({c})::DOUBLE AS max_value,"""
+        f" CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE) AS mean_value FROM lineitem"
+        for c in _RANGED_LINES
+    )
+    + ")"
+)
+def value_ranges_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that are no money: whole numbers, and fractions below one."""
+    return profile.value_ranges(load(spark, sf_dir, "lineitem"), _RANGED_LINES)
+
+
+@query(
+    on_trips(
+        "SELECT COALESCE(SUM(n), 0)::BIGINT AS n_rows, COUNT(*) AS n_distinct, COUNT(*) FILTER (WHERE n > 1) AS"
+        " n_repeated_keys, COUNT(*) FILTER (WHERE n > 1) = 0 AS passed FROM (SELECT trip_id, COUNT(*) AS n"
+        " FROM trips WHERE trip_id IS NOT NULL GROUP BY 1)"
+    )
+)
+def test_unique_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that is not unique."""
+    return profile.uniqueness(trips(spark, sf_dir), "trip_id")
+
+
 @query(
-    "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_distinct, CAST(0 AS BIGINT) AS"
-    " n_repeated_keys, COUNT(*) = COUNT(DISTINCT o_orderkey) AS passed FROM orders"
+    "SELECT COALESCE(SUM(n), 0)::BIGINT AS n_rows, COUNT(*) AS n_distinct, COUNT(*) FILTER (WHERE n > 1) AS"
+    " n_repeated_keys, COUNT(*) FILTER (WHERE n > 1) = 0 AS passed FROM (SELECT o_orderkey, COUNT(*) AS n"
+    " FROM orders WHERE o_orderkey IS NOT NULL GROUP BY 1)"
 )
 def test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.uniqueness(load(spark, sf_dir, "orders"), "o_orderkey")

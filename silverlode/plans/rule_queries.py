@@ -77,7 +77,7 @@ _rule_query(
 )
 _rule_query(
     "rule_passenger_low",
-    lambda: [rules.too_few("passenger_count", 1)],
+    lambda: [rules.not_positive("passenger_count")],
     "passenger_count <= 0",
     ("passenger_count",),
 )
@@ -244,21 +244,15 @@ def contract_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    on_survivors(
-        f"SELECT {COLUMNS}, 'missing_critical_column' AS _error_type,"
-        " 'Null in one or more critical columns' AS _error_message,"
-        f" {AS_OF_SQL} AS _failed_at FROM survivors WHERE "
-        + " OR ".join(f"{c} IS NULL" for c in CRITICAL)
+    on_routed(
+        f"SELECT {COLUMNS}, error_type AS _error_type, error_message AS _error_message,"
+        f" {AS_OF_SQL} AS _failed_at FROM routed WHERE error_type = 'missing_critical_column'"
     )
 )
 def dlq_missing_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = routing.dedup(trips(spark, sf_dir), DEDUP_KEYS).where(any_null(CRITICAL_COLUMNS))
-    return routing.to_dead_letters(
-        rows,
-        ErrorType.MISSING_CRITICAL.value,
-        "Null in one or more critical columns",
-        AS_OF,
-    ).drop(routing.SOURCE_FILE)
+    letters = routed_trips(spark, sf_dir).dead_letters
+    missing = letters.where(F.col("_error_type") == ErrorType.MISSING_CRITICAL.value)
+    return missing.drop(routing.SOURCE_FILE, routing.ORIGINAL)
 
 
 PROFILE_SQL = {
@@ -488,7 +482,7 @@ def dlq_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
         routed_trips(spark, sf_dir).dead_letters,
         CRITICAL_COLUMNS,
         FILL_DEFAULTS,
-        cleaning_rules(AS_OF, passengers=(1, 11)),
+        cleaning_rules(AS_OF, passengers=(None, 11)),
         AS_OF,
     )
     verdict = F.coalesce(routing.ERROR_TYPE, F.lit("recovered")).alias("verdict")

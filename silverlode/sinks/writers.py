@@ -80,19 +80,27 @@ def write_by_month(df: DataFrame, path: str, column: str, **options) -> None:
     write_parquet(with_year_month(df, column), path, partition_by=("year", "month"), **options)
 
 
+def with_dead_letter_folders(df: DataFrame, column: str = "_failed_at") -> DataFrame:
+    """Year, month, day and run of the time of failure."""
+    run = F.translate(F.col(column).cast("string"), " -:", "_")
+    return with_year_month_day(df, column).withColumn("run", run)
+
+
 def write_dead_letters(
-    df: DataFrame, path: str, column: str = "_failed_at", by_run: bool = False, **options
+    df: DataFrame,
+    path: str,
+    column: str = "_failed_at",
+    by_run: bool = False,
+    first: Sequence[str] = (),
+    **options,
 ) -> None:
     """Dead-letter layer: one folder per day of failure.
 
     ``by_run`` adds a folder per time of failure, so that two runs of one day do not replace each
-    other's rows while a repeated run replaces its own.
+    other's rows while a repeated run replaces its own. ``first`` names columns for folders above.
     """
-    partitions = ["year", "month", "day"]
-    df = with_year_month_day(df, column)
-    if by_run:
-        df = df.withColumn("run", F.translate(F.col(column).cast("string"), " -:", "_"))
-        partitions.append("run")
+    partitions = [*first, "year", "month", "day", *(["run"] if by_run else [])]
+    df = with_dead_letter_folders(df, column) if by_run else with_year_month_day(df, column)
     write_parquet(df, path, partition_by=partitions, **options)
 
 

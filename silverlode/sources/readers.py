@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Types a column may have in some files, from narrow to wide; any other one is wider still.
+WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp_ntz", "timestamp", "string")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 Paths = str | Sequence[str]
@@ -26,26 +29,6 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size; for files the sum of their lengths."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a part of a table too small to be split by the reader; others stay as they are.
-
-    A file with one row group is read by one task however many cores wait. Spark aims at splits of at
-    least ``openCostInBytes``; a table below that size per core cannot fill the cores, and moving it
-    costs little. Larger tables are split by the scan and not touched.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    smallest = spark.conf.get("spark.sql.files.openCostInBytes").lower().removesuffix("b")
-    if not smallest.isdigit() or size_in_bytes(df) >= cores * int(smallest):
-        return df
-    return df.repartition(cores, *keys)
-
-
 def read_parquet(
     spark: SparkSession, paths: Paths, merge_schema: bool = False, lineage: bool = False
 ) -> DataFrame:
@@ -62,6 +45,23 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def _csv_reader(spark: SparkSession, header: bool, mode: str, encoding: str, timestamp_format: str):
+    return (
+        spark.read.option("header", str(header).lower())
+        .option("encoding", encoding)
+        .option("timestampFormat", timestamp_format)
+        .option("timestampNTZFormat", timestamp_format)
+        .option("mode", mode)
+    )
+
+
+def _in_file_order(schema: T.StructType, header: Sequence[str]) -> T.StructType:
+    """The schema's fields in the order of a file's header; columns it doesn't know are text."""
+    known = {f.name.lower(): f for f in schema.fields}
+    names = [h.strip() for h in header]
+    return T.StructType([known.get(n.lower(), T.StructField(n, T.StringType(), True)) for n in names])
+
+
 def read_csv(
     spark: SparkSession,
     paths: Paths,
@@ -75,27 +75,38 @@ def read_csv(
 ) -> DataFrame:
     """Delimited text with an explicit schema; without one the types are inferred by an extra pass.
 
+    Columns of a file with a header are matched by name: the result has the schema's columns in the
+    schema's order and then, as text, those it doesn't know. A column that the file lacks is lacking in
+    the result, so that a contract can refuse it. The order is that of the first file; a file with
+    another header fails when it is read. Without a header columns go by position.
+
     ``keep_corrupt`` adds the raw text of rows that do not fit the schema as ``_corrupt_record``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    reader = (
-        spark.read.option("header", str(header).lower())
-        .option("encoding", encoding)
-        .option("timestampFormat", timestamp_format)
-        .option("timestampNTZFormat", timestamp_format)
-        .option("mode", mode)
-    )
+    if schema is None and keep_corrupt:
+        raise ValueError("corrupt records can be kept only with an explicit schema")
+    reader = _csv_reader(spark, header, mode, encoding, timestamp_format)
+    wanted = None
     if schema is None:
-        if keep_corrupt:
-            raise ValueError("corrupt records can be kept only with an explicit schema")
         reader = reader.option("inferSchema", "true")
-    elif keep_corrupt:
-        reader = reader.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
     else:
+        if header:
+            names = spark.read.option("header", "true").option("encoding", encoding).csv(_as_list(paths)).columns
+            known = [f.name for f in schema.fields if f.name.lower() in {n.strip().lower() for n in names}]
+            schema = _in_file_order(schema, names)
+            wanted = [*known, *[n for n in schema.names if n not in known]]
+            reader = reader.option("enforceSchema", "false")
+        if keep_corrupt:
+            schema = _with_corrupt(schema)
+            wanted = wanted and [*wanted, CORRUPT]
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
         reader = reader.schema(schema)
     df = reader.csv(_as_list(paths))
-    return with_source_file(df) if lineage else df
+    if lineage:
+        df = with_source_file(df)
+        wanted = wanted and [*wanted, SOURCE_FILE]
+    return df.select(*wanted) if wanted else df
 
 
 def read_json(
@@ -137,6 +148,30 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_months(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Several deliveries as one table; columns that appear later are NULL in earlier files."""
-    return read_parquet(spark, paths, merge_schema=True)
+def read_months(
+    spark: SparkSession, paths: Paths, types: dict[str, str] | None = None, lineage: bool = False
+) -> DataFrame:
+    """Several deliveries as one table, given as files, folders or a mix.
+
+    Columns that appear later are NULL in earlier files. Where files disagree on a column's type, files
+    of one schema are read together and the column is cast to its type in ``types``, else to the wider
+    one of the types found.
+    """
+    try:
+        return read_parquet(spark, paths, merge_schema=True, lineage=lineage)
+    except PySparkException as refused:
+        if "CANNOT_MERGE" not in str(refused):
+            raise
+    by_schema: dict[str, list[str]] = {}
+    for file in spark.read.parquet(*_as_list(paths)).inputFiles():  # names only; a footer each below
+        by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    frames = [read_parquet(spark, files, lineage=lineage) for files in by_schema.values()]
+    types = dict(types or {})
+    for name in dict.fromkeys(c for f in frames for c in f.columns):
+        kinds = {f.schema[name].dataType.simpleString() for f in frames if name in f.columns}
+        if len(kinds) > 1:
+            types.setdefault(name, max(kinds, key=lambda k: WIDER.index(k) if k in WIDER else len(WIDER)))
+        else:
+            types.pop(name, None)
+    cast = [f.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in f.columns]) for f in frames]
+    return union_by_name(cast)

@@ -44,7 +44,7 @@ def test_csv_to_layers_and_back(spark, tmp_path, delivery):
     assert bad["_original_record"] == LINES[3] and bad["_source_file"].endswith("trips.csv")
     words = ["--silver", f"{tmp_path}/s", "--dead-letters", f"{tmp_path}/d", "--run-ts", RUN_TS]
     moved = json.loads(command(spark, "reprocess", *words, "--max-passengers", "11"))
-    assert moved == {"recovered_rows": 1, "dlq_rows": 1}
+    assert moved == {"recovered_rows": 1, "added_rows": 1, "dlq_rows": 1}
 
 
 def test_parquet_and_json_give_the_same_counts(spark, tmp_path, delivery):

@@ -80,7 +80,7 @@ def test_metrics_history_grows(spark, small, tmp_path):
 def test_dead_letters_move_when_a_rule_changes(spark, small, tmp_path):
     layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
     first = pipeline.run(spark, trips(spark, small), layers, AS_OF)
-    wider = cleaning_rules(AS_OF, passengers=(1, 11))
+    wider = cleaning_rules(AS_OF, passengers=(None, 11))
     moved = pipeline.reprocess_dead_letters(spark, layers, AS_OF, wider)
     assert moved["recovered_rows"] > 0
     assert moved["recovered_rows"] + moved["dlq_rows"] == first["dlq_rows"]
@@ -92,33 +92,100 @@ def test_dead_letters_move_when_a_rule_changes(spark, small, tmp_path):
     assert again["recovered_rows"] == 0
 
 
-def test_republished_month_replaces_only_itself(spark, small, tmp_path):
-    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters", f"{tmp_path}/gold")
+def test_a_delivery_replaces_only_itself(spark, small, tmp_path):
+    """One stray row of a month that another delivery filled leaves that month alone."""
+    layers = layers_at(tmp_path)
     all_trips = trips(spark, small)
-    pipeline.run(spark, all_trips, layers, AS_OF)
-    before = spark.read.parquet(layers.silver)
-    month = (F.col("year") == 1997) & (F.col("month") == 3)
-    n_month, n_rest = before.where(month).count(), before.where(~month).count()
-    assert n_month > 1
     pickup = F.col("tpep_pickup_datetime")
-    again = all_trips.where(
-        (F.year(pickup) == 1997) & (F.month(pickup) == 3) & (F.col("fare_amount") > 20000)
-    )
-    pipeline.run(spark, again, layers, AS_OF, refresh_months=True)
-    after = spark.read.parquet(layers.silver)
-    assert after.where(~month).count() == n_rest
-    assert 0 < after.where(month).count() < n_month
+    march = (F.year(pickup) == 1997) & (F.month(pickup) == 3)
+    pipeline.run(spark, all_trips.where(march), layers, AS_OF, delivery="1997-03")
+    n_march = spark.read.parquet(layers.silver).count()
+    april = all_trips.where((F.year(pickup) == 1997) & (F.month(pickup) == 4))
+    stray = spark.read.parquet(layers.silver).limit(1).select("trip_id", "payment_type")
+    strays = all_trips.join(stray, ["trip_id", "payment_type"], "left_semi")
+    for _ in range(2):
+        pipeline.run(spark, april.unionByName(strays), layers, AS_OF, delivery="1997-04")
+    silver = pipeline.read_layer(spark, layers.silver)
+    assert silver.where("delivery = '1997-03'").count() == n_march
+    assert silver.where("delivery = '1997-04' AND month = 3").count() == 1
     gold = spark.read.parquet(layers.gold)
-    assert gold.agg(F.sum("trips")).first()[0] == after.count()
-    assert gold.where(month).agg(F.sum("trips")).first()[0] == after.where(month).count()
+    assert gold.agg(F.sum("trips")).first()[0] == silver.count()
+    # the delivery comes again without the stray and without any accepted row
+    bad = april.withColumn("fare_amount", F.lit(-1.0))
+    pipeline.run(spark, bad, layers, AS_OF, delivery="1997-04")
+    assert pipeline.read_layer(spark, layers.silver).count() == n_march
+    gold = spark.read.parquet(layers.gold)
+    assert gold.agg(F.sum("trips")).first()[0] == n_march
+    assert {r.month for r in gold.select("month").distinct().collect()} == {3}
+
+
+@pytest.mark.parametrize("name", ["", "a/b", "a=b", "a b"])
+def test_delivery_names(name):
+    with pytest.raises(ValueError, match="delivery"):
+        pipeline.delivery_path("silver", name)
+
+
+def test_reprocessing_with_an_empty_dead_letter_layer(spark, small, tmp_path):
+    layers = layers_at(tmp_path)
+    nothing = {"recovered_rows": 0, "added_rows": 0, "dlq_rows": 0}
+    assert pipeline.reprocess_dead_letters(spark, layers, AS_OF, cleaning_rules(AS_OF)) == nothing
+    pipeline.run(spark, trips(spark, small).where("false"), layers, AS_OF)
+    assert pipeline.reprocess_dead_letters(spark, layers, AS_OF, cleaning_rules(AS_OF)) == nothing
+
+
+def test_the_same_rows_in_two_deliveries_are_recovered_once(spark, small, tmp_path):
+    layers = layers_at(tmp_path)
+    for name in ("one", "two"):
+        pipeline.run(spark, trips(spark, small).where("passenger_count = 11"), layers, AS_OF, delivery=name)
+    letters = pipeline.read_layer(spark, layers.dead_letters)
+    assert letters.select("delivery").distinct().count() == 2
+    wider = cleaning_rules(AS_OF, passengers=(None, 11))
+    moved = pipeline.reprocess_dead_letters(spark, layers, AS_OF, wider)
+    assert moved["recovered_rows"] == 2 * moved["added_rows"] > 0
+    silver = pipeline.read_layer(spark, layers.silver)
+    assert silver.count() == moved["added_rows"]
+    assert spark.read.parquet(layers.gold).agg(F.sum("trips")).first()[0] == silver.count()
+    assert spark.read.parquet(layers.metrics).where("status = 'reprocessed'").count() == 1
+
+
+def test_subjects_are_erased_from_the_folders_that_hold_them(spark, small, tmp_path):
+    layers = layers_at(tmp_path)
+    pipeline.run(spark, trips(spark, small), layers, AS_OF, policy=POLICY)
+    before = pipeline.read_layer(spark, layers.silver)
+    gone = before.select("passenger_id_hashed").orderBy("passenger_id_hashed").limit(1).collect()
+    n_gone = before.where(F.col("passenger_id_hashed") == gone[0][0]).count()
+    n = before.count()
+    subjects = spark.createDataFrame([gone[0][0]], "string")
+    assert pipeline.erase_from_layers(spark, layers, subjects, "passenger_id_hashed") == n_gone > 0
+    after = pipeline.read_layer(spark, layers.silver)
+    assert after.count() == n - n_gone
+    assert after.where(F.col("passenger_id_hashed") == gone[0][0]).count() == 0
+    assert spark.read.parquet(layers.gold).agg(F.sum("trips")).first()[0] == n - n_gone
+    assert pipeline.erase_from_layers(spark, layers, subjects, "passenger_id_hashed") == 0
+
+
+def test_unknown_zones_and_contract_rules_decide(spark, small, tmp_path):
+    layers = layers_at(tmp_path)
+    zones = spark.read.parquet(f"{small}/nation.parquet").select("n_nationkey")
+    part = TRIP_CONTRACT.restricted_to(trips(spark, small).columns)
+    plain = pipeline.run(spark, trips(spark, small), layers, AS_OF)
+    strict = pipeline.run(spark, trips(spark, small), layers, AS_OF, contract=part, zones=zones)
+    assert strict["input_rows"] == plain["input_rows"]
+    assert strict["silver_rows"] + strict["dlq_rows"] + strict["duplicate_rows"] == strict["input_rows"]
+    assert strict["silver_rows"] < plain["silver_rows"] and strict["warning_rows"] > 0
+    silver = spark.read.parquet(layers.silver)
+    assert silver.where("PULocationID = 25 OR store_and_fwd_flag NOT IN ('Y', 'N')").count() == 0
+    assert not [c for c in silver.columns if c.startswith("_unknown")]
 
 
 def test_too_many_failures_stop_the_run(spark, small, tmp_path):
-    layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
+    layers = layers_at(tmp_path)
     with pytest.raises(pipeline.FailureRateExceeded, match="32.04 % of 6242 rows"):
         pipeline.run(spark, trips(spark, small), layers, AS_OF, halt_above=10.0)
     assert spark.read.parquet(layers.dead_letters).count() == 2000
     assert not os.path.exists(layers.silver)
+    row = spark.read.parquet(layers.metrics).first()
+    assert (row.status, row.band, row.alert, row.silver_rows) == ("halted", "halt", True, 4000)
 
 
 def test_two_runs_of_a_day_keep_each_others_dead_letters(spark, small, tmp_path):
@@ -129,7 +196,8 @@ def test_two_runs_of_a_day_keep_each_others_dead_letters(spark, small, tmp_path)
     n = []
     for bronze, clock in ((first, "01:00:00"), (second, "02:00:00"), (second, "02:00:00")):
         run_ts = f"2001-01-01 {clock}"
-        n.append(pipeline.run(spark, bronze, layers, run_ts, refresh_months=True)["dlq_rows"])
+        name = "first" if bronze is first else "second"
+        n.append(pipeline.run(spark, bronze, layers, run_ts, delivery=name)["dlq_rows"])
     letters = spark.read.parquet(layers.dead_letters)
     assert letters.count() == n[0] + n[1] and n[1] == n[2]
     assert letters.select("day").distinct().count() == 1
@@ -143,7 +211,7 @@ def test_first_failure_time_is_kept(spark, small, tmp_path):
     layers = pipeline.Layers(f"{tmp_path}/silver", f"{tmp_path}/dead_letters")
     pipeline.run(spark, trips(spark, small), layers, AS_OF)
     later = "2001-02-01 00:00:00"
-    pipeline.reprocess_dead_letters(spark, layers, later, cleaning_rules(AS_OF, passengers=(1, 11)))
+    pipeline.reprocess_dead_letters(spark, layers, later, cleaning_rules(AS_OF, passengers=(None, 11)))
     times = spark.read.parquet(layers.dead_letters).select("_failed_at").distinct().collect()
     assert [str(r[0]) for r in times] == [AS_OF]
 

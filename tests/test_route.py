@@ -160,7 +160,7 @@ def test_reprocess_recovers_rows_under_new_rules(spark):
         routed(spark, df).dead_letters,
         CRITICAL_COLUMNS,
         FILL_DEFAULTS,
-        cleaning_rules(AS_OF, passengers=(1, 11)),
+        cleaning_rules(AS_OF, passengers=(None, 11)),
         AS_OF,
     )
     assert [r.VendorID for r in again.silver.collect()] == [1]
