@@ -8,12 +8,13 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.functions.contract import EARLIEST_PICKUP, TRIP_CONTRACT
 from silverlode.functions.rules import cleaning_rules, profiling_rules
-from silverlode.operators.clean import normalize_checked, sample_rows
+from silverlode.operators.clean import normalize_checked
 from silverlode.operators.privacy import PiiClass
 from silverlode.plans import pipeline
 from silverlode.plans.report import quality_report, render
@@ -93,6 +94,9 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
     if args.command == "route":
         layers = pipeline.Layers(args.silver, args.dead_letters, args.gold, args.metrics)
         bronze = read_trips(spark, args.paths, args.format)
+        salt = os.environ[args.salt_env] if args.salt_env else None
+        if salt:  # plans and event logs show literals
+            spark.conf.set("spark.sql.redaction.string.regex", re.escape(salt))
         contract = None if args.contract == "none" else TRIP_CONTRACT
         if args.contract == "present":
             contract = contract.restricted_to(bronze.columns)
@@ -103,7 +107,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
             run_ts,
             delivery=args.delivery or pipeline.WHOLE,
             policy={c: PiiClass.HIGH for c in args.hash} or None,
-            salt=os.environ[args.salt_env] if args.salt_env else None,
+            salt=salt,
             validate_first=args.validate_first,
             contract=contract,
             zones=spark.read.parquet(args.zones) if args.zones else None,
@@ -123,7 +127,8 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
     if args.command == "report":
         rules = profiling_rules(run_ts, args.cutoff)
         return render(quality_report(df, rules, args.examples))
-    rows = [json.dumps(r.asDict(), default=str) for r in sample_rows(df, args.rows).collect()]
+    # Any rows will do for a look; the ordered sample would sort the table.
+    rows = [json.dumps(r.asDict(), default=str) for r in df.limit(args.rows).collect()]
     return "\n".join([", ".join(df.columns), *rows, f"rows: {df.count()}"])
 
 

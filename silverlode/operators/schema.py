@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,10 +50,15 @@ def schema_diff(spark: SparkSession, old: dict[str, str], new: dict[str, str]) -
     )
 
 
-def classify_changes(diff: DataFrame) -> DataFrame:
-    """Removal and retyping break consumers; a new nullable column does not."""
+def classify_changes(diff: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """Removal and retyping break consumers; so does a new column that must not be NULL.
+
+    ``required`` names the columns of the new schema that must hold a value.
+    """
+    must = F.col("column").isin(list(required))
     kind = (
         F.when(F.col("change").isin("removed", "retyped"), BREAKING)
+        .when((F.col("change") == "added") & must, BREAKING)
         .when(F.col("change") == "added", NON_BREAKING)
         .otherwise(UNCHANGED)
     )

@@ -11,6 +11,7 @@ from silverlode.functions.predicates import any_null, count_where
 from silverlode.functions.rules import Rule, any_violated
 from silverlode.operators.dedup import duplicate_groups, weighted_rows
 from silverlode.operators.validate import examples_per_rule
+from silverlode.sinks.writers import cached
 
 
 def value_profile(df: DataFrame, rules: Sequence[Rule]) -> dict:
@@ -49,14 +50,18 @@ def duplicate_profile(df: DataFrame, examples: int = 10) -> dict:
 
 
 def quality_report(df: DataFrame, rules: Sequence[Rule], examples: int = 10) -> dict:
-    """Profile, duplicates and a few example rows per rule; only figures and examples reach the driver."""
-    report = value_profile(df, rules) | duplicate_profile(df, examples)
-    report["examples"] = {}
-    if examples:
-        for row in examples_per_rule(df, rules, examples).orderBy("rule", "rank").collect():
-            found = row.asDict()
-            report["examples"].setdefault(found.pop("rule"), []).append(found)
-            del found["rank"]
+    """Profile, duplicates and a few example rows per rule; only figures and examples reach the driver.
+
+    The source is read and parsed once and kept, on disk where memory ends, for the further passes.
+    """
+    with cached(df) as kept:
+        report = value_profile(kept, rules) | duplicate_profile(kept, examples)
+        report["examples"] = {}
+        if examples:
+            for row in examples_per_rule(kept, rules, examples).orderBy("rule", "rank").collect():
+                found = row.asDict()
+                report["examples"].setdefault(found.pop("rule"), []).append(found)
+                del found["rank"]
     return report
 
 

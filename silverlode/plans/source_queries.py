@@ -55,6 +55,75 @@ def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({**keys, "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
 
 
+@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def scan_csv_other_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the file in another order than those of the schema: matched by name."""
+    orders = load(spark, sf_dir, "orders")
+    turned = orders.select(*reversed(orders.columns))
+    path = written_once(spark, sf_dir, "orders-turned", lambda p: writers.write_csv(turned, p))
+    return readers.read_csv(spark, path, orders.schema, mode="FAILFAST")
+
+
+@query(
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus AS note FROM orders"
+)
+def scan_csv_missing_and_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that the file lacks is lacking in the frame; one that the schema doesn't know is text."""
+    orders = load(spark, sf_dir, "orders")
+    other = orders.select(F.col("o_orderstatus").alias("note"), *[c for c in orders.columns if c != "o_orderstatus"])
+    path = written_once(spark, sf_dir, "orders-other", lambda p: writers.write_csv(other, p))
+    return readers.read_csv(spark, path, orders.schema)
+
+
+def broken_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as text, every tenth with a date that is none."""
+    orders = load(spark, sf_dir, "orders")
+    text = orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
+    bad = F.when(F.col("o_orderkey").cast("bigint") % 10 == 0, "no date").otherwise(F.col("o_orderdate"))
+    broken = text.withColumn("o_orderdate", bad)
+    return written_once(spark, sf_dir, "orders-broken", lambda p: writers.write_csv(broken, p))
+
+
+@query(
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate END AS o_orderdate, o_orderpriority,
+  o_orderkey % 10 = 0 AS is_corrupt
+FROM orders
+"""
+)
+def scan_csv_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that don't fit stay, marked, with what could be read of them."""
+    schema = load(spark, sf_dir, "orders").schema
+    df = readers.read_csv(spark, broken_orders(spark, sf_dir), schema, keep_corrupt=True)
+    return df.withColumn("is_corrupt", F.col(readers.CORRUPT).isNotNull()).drop(readers.CORRUPT)
+
+
+@query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE o_orderkey % 10 <> 0")
+def scan_csv_dropmalformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = load(spark, sf_dir, "orders").schema
+    return readers.read_csv(spark, broken_orders(spark, sf_dir), schema, mode="DROPMALFORMED")
+
+
+@query(
+    "SELECT COUNT(*) FILTER (WHERE o_orderkey % 10 <> 0) AS good, COUNT(*) FILTER (WHERE o_orderkey % 10 = 0) AS bad,"
+    " COUNT(*) FILTER (WHERE o_orderkey % 10 = 0) AS bad_with_text FROM orders"
+)
+def split_corrupt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = load(spark, sf_dir, "orders").schema
+    good, bad = readers.split_corrupt(readers.read_csv(spark, broken_orders(spark, sf_dir), schema, keep_corrupt=True))
+    none = F.lit(None).cast("string").alias("text")
+    kinds = good.select("o_orderkey", F.lit("good").alias("kind"), none).unionAll(
+        bad.select("o_orderkey", F.lit("bad"), readers.CORRUPT)
+    )
+    keyed = F.col("o_orderkey").isNotNull()
+    return kinds.agg(
+        F.count_if((F.col("kind") == "good") & keyed).alias("good"),
+        F.count_if((F.col("kind") == "bad") & keyed).alias("bad"),
+        F.count_if((F.col("kind") == "bad") & F.col("text").contains("no date")).alias("bad_with_text"),
+    )
+
+
 @query(f"SELECT {ORDER_COLUMNS} FROM orders")
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders")
@@ -118,6 +187,21 @@ def scan_merged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_months(spark, [first, second])
 
 
+@query(f"SELECT {ORDER_COLUMNS} FROM orders")
+def scan_months_of_two_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries that disagree on a column's type."""
+    orders = load(spark, sf_dir, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    as_double = orders.where(early).withColumn("o_custkey", F.col("o_custkey").cast("double"))
+
+    def write(root: str) -> None:
+        writers.write_parquet(as_double, f"{root}/early")
+        writers.write_parquet(orders.where(~early), f"{root}/late")
+
+    root = written_once(spark, sf_dir, "orders-two-types", write)
+    return readers.read_months(spark, [f"{root}/early", f"{root}/late"], {"o_custkey": "bigint"})
+
+
 @query(
     """
 SELECT 'customer' AS kind, c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer

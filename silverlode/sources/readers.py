@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,16 @@ def _in_file_order(schema: T.StructType, header: Sequence[str]) -> T.StructType:
     return T.StructType([known.get(n.lower(), T.StructField(n, T.StringType(), True)) for n in names])
 
 
+def _judged_by_all_columns(df: DataFrame) -> DataFrame:
+    """Whether a row fits must not depend on the columns a query happens to read.
+
+    Spark parses only the columns that are asked for, and a value nobody asks for can't be wrong. Tying
+    the text of unreadable rows to a hash of all columns has them parsed wherever that text is used.
+    """
+    columns = [c for c in df.columns if c != CORRUPT]
+    return df.withColumn(CORRUPT, F.when(F.hash(*columns) >= F.lit(-(1 << 31)), F.col(CORRUPT)))
+
+
 def read_csv(
     spark: SparkSession,
     paths: Paths,
@@ -103,6 +114,8 @@ def read_csv(
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
         reader = reader.schema(schema)
     df = reader.csv(_as_list(paths))
+    if keep_corrupt:
+        df = _judged_by_all_columns(df)
     if lineage:
         df = with_source_file(df)
         wanted = wanted and [*wanted, SOURCE_FILE]
@@ -159,7 +172,7 @@ def read_months(
     """
     try:
         return read_parquet(spark, paths, merge_schema=True, lineage=lineage)
-    except PySparkException as refused:
+    except (PySparkException, Py4JJavaError) as refused:
         if "CANNOT_MERGE" not in str(refused):
             raise
     by_schema: dict[str, list[str]] = {}
