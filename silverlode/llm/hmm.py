@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from silverlode.llm.arrow import Sequences, bounded, flat_words
 from silverlode.llm.tables import Kept
@@ -47,7 +48,7 @@ ROUNDS = 2
 SAMPLE_DOCUMENTS, SAMPLE_TOKENS, SAMPLE_ROUNDS = 1500, 2000, 12
 LONGEST = 1 << 20
 #: Bytes of text in a chunk, and tokens that a task's recursion holds at a time.
-CHUNK = 12 << 20
+CHUNK = 16 << 20
 BATCH = 1_500_000
 #: The end of a text is written as the empty word, which no text has.
 END = ""
@@ -141,9 +142,16 @@ def _ending(word: Column) -> Column:
 
 
 def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
-    """Rows (word, c, class) for all words, those of held-out documents included, and the totals."""
-    counts = kept.write(words.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    real = counts.where((F.col("c") > 0) & (F.col("word") != END))
+    """Rows (chunk, local, c, class), one for each word of each chunk, and the totals.
+
+    words has a row for each word of each chunk, so a word meets in one task with as many rows as there
+    are chunks, not tokens; they cross the network once to be summed.
+    """
+    word = W.partitionBy("word").orderBy("chunk")
+    every = word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    counted = words.withColumn("c", F.sum("n").over(every)).withColumn("first", F.row_number().over(word) == 1)
+    counted = kept.write(counted.drop("n"), "counted")
+    real = counted.where(F.col("first") & (F.col("c") > 0) & (F.col("word") != END))
     top = real.orderBy(F.col("c").desc(), "word").limit(FREQUENT).select("word").collect()
     rank = {r.word: i + 1 for i, r in enumerate(top)}  # at most FREQUENT words
     spark = words.sparkSession
@@ -152,9 +160,8 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     place = (
         F.when(F.col("c") == 0, unknown).when(F.col("word") == END, 0).otherwise(F.coalesce("rank", _ending(F.col("word"))))
     )
-    lexicon = counts.join(F.broadcast(ranks), F.col("word") == F.col("w"), "left").select("word", "c", place.alias("class"))
-    lexicon = kept.write(lexicon, "lexicon")
-    sums = lexicon.where("c > 0").groupBy("class").agg(
+    lexicon = counted.join(F.broadcast(ranks), F.col("word") == F.col("w"), "left").withColumn("class", place)
+    sums = lexicon.where("first AND c > 0").groupBy("class").agg(
         F.sum("c").alias("tokens"),
         F.count(F.lit(1)).alias("words"),
         F.sum((F.col("c") == 1).cast("long")).alias("once"),
@@ -166,16 +173,14 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
         once, twice = once + r.once, twice + r.twice
     discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once + twice else 0.5
     totals = Totals(int(class_tokens.sum()), int(class_words.sum()), discount, class_tokens, class_words)
-    return lexicon, totals
+    return lexicon.select("chunk", "local", "c", "class"), totals
 
 
 # ---------------------------------------------------------------- (3) documents as classes
 
 
-def _classed(kept: Kept, both: DataFrame, lexicon: DataFrame, totals: Totals) -> DataFrame:
+def _classed(kept: Kept, both: DataFrame, named: DataFrame, totals: Totals) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, base_score, inner, classes), one per document."""
-    words = both.where("word IS NOT NULL").select("chunk", "local", "word")
-    named = words.join(lexicon, "word").select("chunk", "local", "c", "class")
     docs = both.where("ids IS NOT NULL").select("doc_id", F.col("chunk").alias("of"), "held_out", "ids")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -339,7 +344,7 @@ def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     both = first.write(rows.mapInArrow(_numbered, f"doc_id {kind}, {_CHUNKS}"), "numbers")
-    lexicon, totals = _lexicon(first, both.where("word IS NOT NULL").select("word", "n"))
+    lexicon, totals = _lexicon(first, both.where("word IS NOT NULL").select("chunk", "local", "word", "n"))
     classed = _classed(kept, both, lexicon, totals)
     first.drop()
     final = with_unknown(train(classed, totals, states, rounds), totals)

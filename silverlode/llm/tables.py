@@ -22,7 +22,7 @@ class Kept:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         spark = df.sparkSession
         path = scratch_path(spark, name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         self.paths.append((spark, path))
         return spark.read.schema(df.schema).parquet(path)
 
