@@ -202,3 +202,46 @@ def test_department_view_shows_only_its_columns(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert gold.department_view(df, "finance_test", ["a", "c"]).columns == ["a", "c"]
     assert spark.sql("SELECT * FROM finance_test").columns == ["a", "c"]
+
+
+@pytest.mark.parametrize("n", [1, 3, 2000])
+def test_samples_of_any_number_are_the_first_ones(spark, n):
+    df = spark.range(6000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS _error_type")
+    rows = monitor.samples_per_type(df, n, ["id"]).collect()
+    for kind in "ab":
+        own = sorted(r["rank"] for r in rows if r._error_type == kind)
+        assert own == list(range(1, min(n, 2000 if kind == "a" else 4000) + 1))
+        first = sorted((r.id for r in rows if r._error_type == kind))
+        assert first == sorted(i for i in range(6000) if (i % 3 == 0) == (kind == "a"))[:n]
+
+
+def test_a_large_sample_is_ranked_in_buckets_first(spark):
+    df = spark.range(10).selectExpr("id", "CASE WHEN id < 9 THEN 'a' ELSE 'b' END AS _error_type")
+    plan = plan_of(monitor.samples_per_type(df, 2000, ["id"]))
+    assert "hashpartitioning(_error_type" in plan and "_bucket" in plan
+
+
+def test_a_new_required_column_breaks_consumers(spark):
+    diff = schema.schema_diff(spark, {"a": "int"}, {"a": "int", "b": "int", "c": "int"})
+    found = {r.column: r.change_class for r in schema.classify_changes(diff, required=["b"]).collect()}
+    assert found == {"a": schema.UNCHANGED, "b": schema.BREAKING, "c": schema.NON_BREAKING}
+
+
+def test_a_repeated_dimension_key_does_not_multiply_facts(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "k int, v int")
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id int, name string")
+    rows = relations.enrich(fact, "k", dim, "id", {"label": "name"}).orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [(1, 10, "a"), (2, 20, "c"), (3, 30, None)]
+    keys = dim.selectExpr("concat('key', id) AS zone_key", "id AS zone_id")
+    built = relations.build_fact(fact, {"k": ("zone", keys)}, ["v"]).orderBy("v").collect()
+    assert [r.v for r in built] == [10, 20, 30] and [r.zone_key is None for r in built] == [False, False, True]
+
+
+def test_known_dimensions_go_to_the_facts(spark, small):
+    from silverlode.plans import catalog
+
+    plan = plan_of(catalog.queries()["fact_trips"](spark, small), "simple")
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # the three dimensions; the fourth join builds the trips
+    assert sum("BroadcastHashJoin" in line for line in joins) >= 3
+    assert not any("SortMergeJoin [vendor" in line or "SortMergeJoin [VendorID" in line for line in joins)

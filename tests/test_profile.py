@@ -3,6 +3,8 @@ from __future__ import annotations
 from conftest import plan_of
 from trip_rows import AS_OF, frame, trip
 
+import pytest
+
 from silverlode.functions.rules import profiling_rules
 from silverlode.operators import clean, dedup, profile, validate
 from silverlode.plans.report import quality_report, render
@@ -106,3 +108,19 @@ def test_sample_is_the_same_on_every_layout(spark):
 def test_top_rows_are_cut_in_each_task(spark, small):
     df = spark.read.parquet(f"{small}/orders.parquet")
     assert "TakeOrderedAndProject" in plan_of(clean.sample_rows(df, 5), "simple")
+
+
+@pytest.mark.parametrize(
+    ("kind", "values", "mean"),
+    [
+        ("double", [0.004, 0.004], 0.004),
+        ("double", [5.0, 1e17], 5e16),
+        ("bigint", [10**17, 10**17 + 2], 1e17 + 1),
+        ("double", [1e30, None, 3.0], 5e29),
+        ("int", [1, 2, 4], 7 / 3),
+        ("double", [], None),
+    ],
+)
+def test_means_hold_all_values(spark, kind, values, mean):
+    df = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+    assert profile.value_ranges(df).first().mean_value == mean

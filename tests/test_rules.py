@@ -119,3 +119,10 @@ def test_missing_columns(spark):
     report = {r["column"]: r for r in validate.missing_columns(df, TRIP_CONTRACT).collect()}
     assert (report["tip_amount"].missing, report["tip_amount"].rows_without_value) == (True, 2)
     assert (report["fare_amount"].missing, report["fare_amount"].rows_without_value) == (False, 1)
+
+
+@pytest.mark.parametrize("value, positive, one", [(0.0, True, True), (0.5, False, True), (1.0, False, False)])
+def test_the_least_number_is_named(spark, value, positive, one):
+    row = trip(passenger_count=value)
+    assert bool(failed(spark, row, [rules.not_positive("passenger_count")])) is positive
+    assert bool(failed(spark, row, [rules.fewer_than("passenger_count", 1)])) is one

@@ -149,3 +149,45 @@ def test_guarded_read_equals_plain_try_cast(spark, kind, texts):
     plain = df.t.try_cast(kind).cast("string").alias("plain")
     for row in df.select("t", guarded, plain).collect():
         assert row.guarded == row.plain, row
+
+
+def test_a_folder_of_deliveries_reads_like_the_list(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/in/one")
+    spark.range(3).selectExpr("id", "id * 2 AS fee").write.parquet(f"{tmp_path}/in/two")
+    folder = readers.read_months(spark, f"{tmp_path}/in/*")
+    listed = readers.read_months(spark, [f"{tmp_path}/in/one", f"{tmp_path}/in/two"])
+    assert folder.columns == listed.columns == ["id", "fee"]
+    assert sorted(map(str, folder.collect())) == sorted(map(str, listed.collect()))
+
+
+def test_types_that_differ_are_widened_or_given(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS INT) AS id", "id AS n").write.parquet(f"{tmp_path}/one")
+    spark.range(3).selectExpr("CAST(id AS DOUBLE) AS id", "'x' AS s").write.parquet(f"{tmp_path}/two")
+    both = [f"{tmp_path}/one", f"{tmp_path}/two"]
+    assert dict(readers.read_months(spark, both).dtypes) == {"id": "double", "n": "bigint", "s": "string"}
+    given = readers.read_months(spark, both, {"id": "bigint"})
+    assert dict(given.dtypes)["id"] == "bigint" and given.count() == 6
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("fare,extra,more\n50.0,0.5,x\n")
+    schema = "extra double, fare double, absent int"
+    schema = spark.createDataFrame([], schema).schema
+    row = readers.read_csv(spark, str(tmp_path / "a.csv"), schema, keep_corrupt=True).first()
+    assert row.asDict() == {"extra": 0.5, "fare": 50.0, "more": "x", "_corrupt_record": None}
+
+
+def test_csv_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("fare,extra\n50.0,0.5\n")
+    (tmp_path / "b.csv").write_text("extra,fare\n0.5,50.0\n")
+    schema = spark.createDataFrame([], "fare double, extra double").schema
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema).collect()
+
+
+def test_unreadable_rows_do_not_depend_on_the_columns_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3,x\n")
+    schema = spark.createDataFrame([], "a int, b int").schema
+    good, bad = readers.split_corrupt(readers.read_csv(spark, str(tmp_path / "a.csv"), schema, keep_corrupt=True))
+    assert [r.a for r in good.select("a").collect()] == [1]
+    assert [r.a for r in bad.select("a").collect()] == [3]
