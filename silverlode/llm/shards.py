@@ -26,6 +26,8 @@ from silverlode.llm.tables import Kept, running_sum
 
 GRID = 30
 STEP = 10
+#: Nodes whose cuts are sought at once; the driver gets a row for each of their bins.
+MOST_NODES = 256
 #: A cut may miss the median by this share of the node's bytes.
 TOLERANCE = 1 / 2000
 
@@ -154,17 +156,8 @@ def kd_shards(
         open_nodes, leaves = [], {0: 0}
     while open_nodes:
         _widest(now, open_nodes, len(keys))
-        searching = [n for n in open_nodes if not n.done]
-        shared, key = _at_cut(len(keys))
-        while searching:
-            table = _inline(now, *_search(searching))
-            held = now.join(F.broadcast(table), F.col("_node") == F.col("_n")).where(shared)
-            held = held.withColumn("_key", key).where(F.expr(f"shiftright(_key, CAST(_shift AS int) + {STEP}) = _prefix"))
-            place = F.expr(f"shiftright(_key, CAST(_shift AS int)) & {(1 << STEP) - 1}")
-            sums = held.groupBy("_node", place.alias("_bin")).agg(F.sum("size").alias("_sum")).collect()
-            for n in searching:
-                n.descend({r._bin: int(r._sum) for r in sums if r._node == n.number}, tolerance * n.total)
-            searching = [n for n in searching if not n.done]
+        for start in range(0, len(open_nodes), MOST_NODES):
+            _find_cuts(now, open_nodes[start : start + MOST_NODES], len(keys), tolerance)
         table = _inline(now, *_search(open_nodes))
         joined = now.join(F.broadcast(table), F.col("_node") == F.col("_n"), "left")
         side = F.when(_goes_left(len(keys)), F.lit(1)).otherwise(F.lit(2))
@@ -184,6 +177,21 @@ def kd_shards(
     return named.select(*rows.columns, F.col("_shard").cast("int").alias("shard"))
 
 
+def _find_cuts(now: DataFrame, nodes: list[_Node], dimensions: int, tolerance: float) -> None:
+    """Refine the bins of all these nodes at once until each has its cut."""
+    shared, key = _at_cut(dimensions)
+    while searching := [n for n in nodes if not n.done]:
+        table = _inline(now, *_search(searching))
+        held = now.join(F.broadcast(table), F.col("_node") == F.col("_n")).where(shared)
+        held = held.withColumn("_key", key).where(F.expr(f"shiftright(_key, CAST(_shift AS int) + {STEP}) = _prefix"))
+        place = F.expr(f"shiftright(_key, CAST(_shift AS int)) & {(1 << STEP) - 1}")
+        bins: dict[int, dict[int, int]] = {n.number: {} for n in searching}
+        for r in held.groupBy("_node", place.alias("_bin")).agg(F.sum("size").alias("_sum")).collect():
+            bins[r._node][r._bin] = int(r._sum)
+        for n in searching:
+            n.descend(bins[n.number], tolerance * n.total)
+
+
 def _widest(now: DataFrame, nodes: list[_Node], dimensions: int) -> None:
     """Each node's bytes, and the dimension in which it is widest; a node without rows needs no cut."""
     spans = [(F.max(f"_x{i}") - F.min(f"_x{i}")).alias(f"w{i}") for i in range(dimensions)]
