@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from silverlode.functions.contract import ErrorType
 from silverlode.functions.predicates import count_where
 from silverlode.functions.scalars import day_of, ntz
-from silverlode.operators.route import COPIES, ERROR_TYPE, Routed
+from silverlode.operators.route import ERROR_TYPE
 
 CHECKS = {
     "type_error": "1_reading",
@@ -24,7 +24,9 @@ CHECKS = {
 
 def layered_report(
     bronze: DataFrame,
-    routed: Routed,
+    silver: DataFrame,
+    dead_letters: DataFrame,
+    history: DataFrame,
     ts: str,
     zone: str,
     zones: DataFrame,
@@ -32,21 +34,25 @@ def layered_report(
     as_of: str,
     sla_days: int,
 ) -> DataFrame:
-    """One row per layer and check: failures and whether the layer passes.
+    """One row per layer and check of the stored layers: failures and whether the layer passes.
 
-    The routed rows are reduced to one row per zone, which then meets the expected zones; every check
-    is read off that, so the trips are shuffled once. ``unreconciled`` compares an independent count
-    of the raw rows with the rows the routing accounts for.
+    The rows of both layers are reduced to one row per zone, which then meets the expected zones; every
+    check is read off that. ``unreconciled`` compares an independent count of the raw rows with the rows
+    in the two layers and the duplicates that ``history`` tells of.
     """
-    verdict = F.col(ERROR_TYPE)
-    by_zone = routed.rows.groupBy(F.col(zone).alias("_zone")).agg(
+    accepted = silver.select(
+        F.col(zone).alias("_zone"), F.lit(None).cast("string").alias("_verdict"), day_of(ts).alias("_day")
+    )
+    rejected = dead_letters.select(F.col(zone).alias("_zone"), F.col(ERROR_TYPE).alias("_verdict"), F.lit(None).cast("date").alias("_day"))
+    verdict = F.col("_verdict")
+    by_zone = accepted.unionAll(rejected).groupBy("_zone").agg(
         count_where(verdict == ErrorType.TYPE_ERROR.value).alias("type_error"),
         count_where(verdict == ErrorType.MISSING_CRITICAL.value).alias("missing_critical"),
         count_where(verdict == ErrorType.BUSINESS_RULE.value).alias("business_rule"),
         count_where(verdict == ErrorType.INDETERMINATE.value).alias("indeterminate"),
         count_where(verdict.isNull()).alias("clean"),
-        F.sum(COPIES).alias("accounted"),
-        F.max(F.when(verdict.isNull(), day_of(ts))).alias("newest"),
+        F.count(F.lit(1)).alias("accounted"),
+        F.max("_day").alias("newest"),
     )
     expected = zones.select(F.col(zone_key).alias("_expected")).distinct()
     matched = by_zone.join(expected, F.col("_zone") == F.col("_expected"), "full")
@@ -59,7 +65,9 @@ def layered_report(
         ).alias("absent_zones"),
     )
     raw = bronze.agg(F.count(F.lit(1)).alias("raw"))
-    totals = seen.unionByName(raw, allowMissingColumns=True).agg(
+    copies = history.agg(F.sum("duplicate_rows").alias("accounted"))
+    figures = seen.unionByName(raw, allowMissingColumns=True).unionByName(copies, allowMissingColumns=True)
+    totals = figures.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*sums, "absent_zones", "raw")],
         F.max("newest").alias("newest"),
     )

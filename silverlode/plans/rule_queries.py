@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from silverlode.functions import rules
 from silverlode.functions.contract import (
     CRITICAL_COLUMNS,
-    DEDUP_KEYS,
     FILL_DEFAULTS,
     TRIP_CONTRACT,
     ErrorType,
@@ -20,11 +19,12 @@ from silverlode.operators import validate
 from silverlode.operators.clean import normalize_checked
 from silverlode.operators.layers import layered_report
 from silverlode.operators.relations import orphan_rows
+from silverlode.plans import pipeline
 from silverlode.plans.inputs import TRIP_TYPES, load, routed_trips, text_trips, trips
+from silverlode.plans.layer_queries import layers_of
 from silverlode.plans.oracle import AS_OF as AS_OF_SQL
 from silverlode.plans.oracle import (
     COLUMNS,
-    CRITICAL,
     KEYS,
     REST,
     TRIPS,
@@ -32,11 +32,11 @@ from silverlode.plans.oracle import (
     judge_sql,
     named,
     on_routed,
-    on_survivors,
     on_trips,
     rules_sql,
 )
 from silverlode.plans.oracle import CUTOFF as CUTOFF_SQL
+from silverlode.plans.pipeline import Layers
 from silverlode.plans.registry import query
 from silverlode.plans.trips import AS_OF, CUTOFF, TRIP_COLUMNS
 
@@ -403,18 +403,17 @@ SELECT layer, "check", CAST(failures AS BIGINT) AS failures, failures = 0 AS pas
 """
 )
 def layered_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = text_trips(spark, sf_dir)
-    routed = routing.route(
-        normalize_checked(bronze, TRIP_TYPES),
-        DEDUP_KEYS,
-        CRITICAL_COLUMNS,
-        FILL_DEFAULTS,
-        cleaning_rules(AS_OF),
-        AS_OF,
-    )
+    """Stored layers of one run over text, against a count of the raw rows."""
+
+    def fill(layers: Layers) -> None:
+        pipeline.run(spark, normalize_checked(text_trips(spark, sf_dir), TRIP_TYPES), layers, AS_OF)
+
+    layers = layers_of(spark, sf_dir, "layers-text", fill)
     return layered_report(
-        bronze,
-        routed,
+        text_trips(spark, sf_dir),
+        pipeline.read_layer(spark, layers.silver),
+        pipeline.read_layer(spark, layers.dead_letters),
+        spark.read.parquet(layers.metrics),
         "tpep_pickup_datetime",
         "PULocationID",
         load(spark, sf_dir, "nation"),
