@@ -139,6 +139,40 @@ ORACLES: dict[str, str] = {
             ((upto // 4294967296 - (upto - expected) // 4294967296) * size)::BIGINT AS taken
         FROM ends
     """,
+    "op9_quality": """
+        WITH words AS (
+            SELECT doc_id, unnest(found) AS word, generate_subscripts(found, 1) AS pos
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS found FROM documents)),
+        windows AS (
+            SELECT doc_id, pos, CASE WHEN lead(word, 4) OVER w IS NOT NULL THEN
+                [word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w, lead(word, 4) OVER w] END AS five
+            FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+        found AS (
+            SELECT doc_id, pos, five IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, five) > 1 AS twice FROM windows),
+        covered AS (
+            SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY pos
+                ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS again FROM found),
+        repeats AS (SELECT doc_id, count(*) FILTER (again) AS n_repeat_words FROM covered GROUP BY doc_id),
+        lines AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+        measured AS (
+            SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_words,
+                length(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+                length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_upper,
+                length(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g')) AS n_lower,
+                coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM documents LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+        judged AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 100 * n_symbols > 10 * n_words
+                OR 100 * n_dup_lines > 50 * n_lines OR 100 * n_upper > 50 * (n_upper + n_lower)) AS kept
+        FROM judged
+    """,
     "op10_exact": """
         WITH cleaned AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
