@@ -36,6 +36,8 @@ def flat_words(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarr
     lower changes A-Z only. Row i has the words bounds[i] to bounds[i + 1].
     """
     texts = pc.fill_null(column.cast(pa.large_string()), "")
+    # Lower-casing misreads strings that don't start at the beginning of their buffer, as in a slice.
+    texts = pa.concat_arrays([texts, pa.array([], texts.type)])
     if lower:
         texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
