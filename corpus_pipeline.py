@@ -51,7 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = kept.write(rows.select(*key, "doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sizes")
     drawn = free_name("_copies", rows.columns)
     copies = kept.write(mixing.copies(kept, sizes).where("copies > 0").select(*key, F.col("copies").alias(drawn)), "copies")
-    taken = rows.join(copies, key).drop(*key)
+    # Both sides are dealt by the key at any size; the texts needn't be sorted for it.
+    taken = rows.join(copies.hint("shuffle_hash"), key).drop(*key)
     again = free_name("_again", taken.columns)
     repeated = taken.withColumn(again, F.explode(F.array_repeat(F.lit(True), F.col(drawn).cast("int"))))
     return repeated.select(*docs.columns)
