@@ -18,8 +18,8 @@ classes comes to the driver. (5) A last pass scores. Nothing that grows with the
 the driver or to all tasks.
 
 The states start from SAMPLE_DOCUMENTS training documents of at most SAMPLE_TOKENS tokens, on which
-SAMPLE_ROUNDS rounds run on the driver; then ROUNDS rounds over all training documents follow. In
-these a document of over LONGEST tokens is counted in stretches; scores always run over the whole.
+SAMPLE_ROUNDS rounds run on the driver; then, also where there is no such document, ROUNDS rounds over
+all training documents follow. In these a document of over LONGEST tokens is counted in stretches; scores always run over the whole.
 
 Defined results: a null text is empty and has one token, its end; texts of any length are scored
 whole; a null id counts as an empty one for the split; repeated rows are documents of their own;
@@ -328,9 +328,9 @@ def train(classed: DataFrame, totals: Totals, states: int = STATES, rounds: int
     rows = classed.where("NOT held_out")
     sample = rows.where(F.col("n_tokens") <= SAMPLE_TOKENS).select("classes").limit(SAMPLE_DOCUMENTS).collect()
     sequences = [np.frombuffer(r.classes, "<u2") for r in sample]
-    if not sequences:
-        return model
-    for _ in range(SAMPLE_ROUNDS):
+    if not totals.tokens:
+        return model  # there is no training document
+    for _ in range(SAMPLE_ROUNDS if sequences else 0):
         model = _maximised(*model.expected(sequences), unigram)
     for _ in range(rounds):
         model = _maximised(*_round(rows, model), unigram)

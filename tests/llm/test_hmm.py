@@ -118,3 +118,9 @@ def test_probabilities_add_up_to_one():
     inner = 10 ** totals.inner(counts, np.array([0, 1, 2, 2, 2, 2, 2, 2, 2]))
     assert [inner[0], inner[1], inner[2:].sum()] == pytest.approx([1, 1, 1])
     assert (10 ** totals.base(np.append(counts, 0))).sum() == pytest.approx(1)
+
+
+def test_a_table_of_only_long_documents_is_trained(spark):
+    docs = spark.createDataFrame([(i, "red green blue " * 900) for i in range(2, 8)], "doc_id long, text string")
+    untrained, trained = (sum(r.score for r in hmm.scores(docs, rounds=n).collect()) for n in (0, 2))
+    assert trained > untrained + 1
