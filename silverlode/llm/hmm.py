@@ -17,9 +17,9 @@ Baum-Welch round adds up expected counts in every task and then across tasks; a
 classes comes to the driver. (5) A last pass scores. Nothing that grows with the corpus is sent to
 the driver or to all tasks.
 
-The states start from SAMPLE_DOCUMENTS training documents of at most SAMPLE_TOKENS tokens, on which
-SAMPLE_ROUNDS rounds run on the driver; then, also where there is no such document, ROUNDS rounds over
-all training documents follow. In these a document of over LONGEST tokens is counted in stretches; scores always run over the whole.
+Every round runs over all training documents, from a start that depends on the classes' shares only.
+Rounds end when the log likelihood of a token gains less than SETTLED. In training a document of over
+LONGEST tokens is counted in stretches; scores always run over the whole.
 
 Defined results: a null text is empty and has one token, its end; texts of any length are scored
 whole; a null id counts as an empty one for the split; repeated rows are documents of their own;
@@ -44,8 +44,8 @@ from silverlode.llm.tables import Kept
 STATES = 8
 FREQUENT = 3000
 ENDINGS = 1000
-ROUNDS = 2
-SAMPLE_DOCUMENTS, SAMPLE_TOKENS, SAMPLE_ROUNDS = 1500, 2000, 12
+#: Rounds end when a token's log likelihood (base e) gains less than this.
+SETTLED = 1e-3
 LONGEST = 1 << 20
 #: Bytes of text in a chunk, and tokens that a task's recursion holds at a time.
 CHUNK = 16 << 20
@@ -236,11 +236,15 @@ class Model:
 
     def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of first states, of moves, and of emitted classes by state (forward-backward)."""
+        return self.expected_and_likelihood(sequences)[:3]
+
+    def expected_and_likelihood(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """The expected counts, and the log likelihood (base e) of all sequences."""
         laid = Sequences(sequences)
         classes, states = self.emits.shape
         moves = np.zeros((states, states))
         if not len(laid.tokens):
-            return np.zeros(states), moves, np.zeros((classes, states))
+            return np.zeros(states), moves, np.zeros((classes, states)), 0.0
         share = np.empty((len(laid.tokens), states), np.float32)
         scales = np.empty(len(laid.tokens), np.float32)
         emits, change = self.emits.astype(np.float32), self.moves.astype(np.float32)
@@ -264,7 +268,7 @@ class Model:
             forward *= backward  # now the states' posterior
         first = share[: laid.alive[0]].sum(axis=0, dtype=np.float64)
         emitted = np.stack([np.bincount(laid.tokens, share[:, k], classes) for k in range(states)], axis=1)
-        return first, moves * self.moves, emitted
+        return first, moves * self.moves, emitted, float(np.log(scales).sum(dtype=np.float64))
 
 
 def _maximised(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, unigram: np.ndarray) -> Model:
@@ -303,41 +307,43 @@ def _sequences(batches: Iterator[pa.RecordBatch], longest: int | None = None) ->
         yield part, found
 
 
-def _round(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts over all training documents: summed in each task, then across tasks."""
+def _round(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts and log likelihood over all training documents: summed in each task, then across tasks."""
     classes, states = model.emits.shape
+    cuts = np.cumsum([states, states * states, classes * states])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(states + states * states + classes * states)
+        total = np.zeros(cuts[-1] + 1)
         for _, sequences in _sequences(batches, LONGEST):
-            total += np.concatenate([x.ravel() for x in model.expected(sequences)])
+            total += np.concatenate([np.ravel(x) for x in model.expected_and_likelihood(sequences)])
         places = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(total[places])], names=["place", "value"])
 
     rows = train.select("classes").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    total = np.zeros(states + states * states + classes * states)
+    total = np.zeros(cuts[-1] + 1)
     for r in rows.collect():  # no more than the model's table
         total[r.place] = r.value
-    first, moves, emitted = np.split(total, [states, states + states * states])
-    return first, moves.reshape(states, states), emitted.reshape(classes, states)
+    first, moves, emitted, likelihood = np.split(total, cuts)
+    return first, moves.reshape(states, states), emitted.reshape(classes, states), float(likelihood[0])
 
 
-def train(classed: DataFrame, totals: Totals, states: int = STATES, rounds: int = ROUNDS, seed: int = 42) -> Model:
+def train(classed: DataFrame, totals: Totals, states: int = STATES, rounds: int | None = None, seed: int = 42) -> Model:
+    """Baum-Welch over all training documents until the likelihood settles, or for a given number of rounds."""
     unigram = totals.class_tokens / max(totals.tokens, 1)
     model = _first_model(unigram, states, seed)
-    rows = classed.where("NOT held_out")
-    sample = rows.where(F.col("n_tokens") <= SAMPLE_TOKENS).select("classes").limit(SAMPLE_DOCUMENTS).collect()
-    sequences = [np.frombuffer(r.classes, "<u2") for r in sample]
     if not totals.tokens:
         return model  # there is no training document
-    for _ in range(SAMPLE_ROUNDS if sequences else 0):
-        model = _maximised(*model.expected(sequences), unigram)
-    for _ in range(rounds):
-        model = _maximised(*_round(rows, model), unigram)
+    rows, last, done = classed.where("NOT held_out"), -np.inf, 0
+    while rounds is None or done < rounds:
+        *counts, likelihood = _round(rows, model)
+        model, done = _maximised(*counts, unigram), done + 1
+        if rounds is None and likelihood - last < SETTLED * totals.tokens:
+            break
+        last = likelihood
     return model
 
 
-def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", states: int = STATES, rounds: int | None = None) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one per document."""
     kept, first = Kept(), Kept()
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))

@@ -124,3 +124,20 @@ def test_a_table_of_only_long_documents_is_trained(spark):
     docs = spark.createDataFrame([(i, "red green blue " * 900) for i in range(2, 8)], "doc_id long, text string")
     untrained, trained = (sum(r.score for r in hmm.scores(docs, rounds=n).collect()) for n in (0, 2))
     assert trained > untrained + 1
+
+
+def test_training_sees_all_documents_whatever_their_order(spark):
+    pick = np.random.default_rng(3)
+    sources = [("red green blue", "sun moon"), ("one two three four", "up down")]
+    rows = [(i, " ".join(pick.choice(sources[i // 1600], 6))) for i in range(3200)]
+    totals = []
+    for own in (rows, rows[::-1]):
+        docs = spark.createDataFrame(own, "doc_id long, text string").coalesce(1)
+        totals.append(sum(r.score for r in hmm.scores(docs).collect()))
+    assert totals[0] == pytest.approx(totals[1], rel=1e-3)
+
+
+def test_likelihood_of_a_round(small_model):
+    sequences = [np.array(s) for s in ([0], [1, 2], [4, 3, 2, 1, 0], [2, 2, 2])]
+    got = small_model.expected_and_likelihood(sequences)[3]
+    assert got == pytest.approx(small_model.log10_likelihood(sequences).sum() * math.log(10), rel=1e-5)
