@@ -1,23 +1,21 @@
 """A hidden Markov language model, trained with Baum-Welch and scored with the forward recursion.
 
-A hidden state emits a class of words, and the class emits the word: P(word | state) =
-P(class | state) * P(word | class). Each of the FREQUENT most frequent words is a class of its own,
-others share a class with words of like endings, and the end of a text is a class too. So the
-state's table is bounded whatever the vocabulary, while P(word | class) uses the counts of all
-words. The states are trained on all training documents.
+A hidden state emits a word by a share of its own for each word, whatever the vocabulary's size; the end
+of a text is a word too. Shares are never gathered in one place: words are dealt to parts, and each
+part holds the counts of its own words.
 
 Unknown words: absolute discounting. Every word gives up part of a count, which goes to one more
-class, of the words not seen in training; a state gives it as much as its own classes give up. The
+word, that of the words not seen in training; a state gives it as much as its own words give up. The
 probabilities of all words and of the unknown one add up to 1 in each state.
 
 Jobs. (1) Texts are turned to word numbers, chunk by chunk, with a list of each chunk's distinct
-words and their counts. (2) The counts are summed by word: counts, classes and totals. (3) They go
-back to the chunks, where each document becomes a base score and a sequence of classes. (4) Each
-Baum-Welch round adds up expected counts in every task and then across tasks; a table of states by
-classes comes to the driver. (5) A last pass scores. Nothing that grows with the corpus is sent to
-the driver or to all tasks.
+words and their counts. (2) The counts are summed by word, and each word gets a place in its part; for
+each chunk and part there is a list of places. (3) In a Baum-Welch round the parts send each chunk its
+words' shares, and the chunk sends expected counts back, which the parts add up; start, moves and sums by
+state come to the driver. (4) A last pass scores. Nothing that grows with the corpus is sent to the
+driver or to all tasks.
 
-Every round runs over all training documents, from a start that depends on the classes' shares only.
+Every round runs over all training documents, from a start that depends on the words' shares only.
 Rounds end when the log likelihood of a token gains less than SETTLED. In training a document of over
 LONGEST tokens is counted in stretches; scores always run over the whole.
 
@@ -29,7 +27,7 @@ without any training document all words are unknown; an empty table gives an emp
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +40,8 @@ from silverlode.llm.arrow import Sequences, bounded, flat_words
 from silverlode.llm.tables import Kept
 
 STATES = 8
-FREQUENT = 3000
-ENDINGS = 1000
+#: Parts of the vocabulary: this many at least, and one for so many training tokens.
+PARTS, PART_TOKENS = 256, 4_000_000
 #: Rounds end when a token's log likelihood (base e) gains less than this.
 SETTLED = 1e-3
 LONGEST = 1 << 20
@@ -103,12 +101,12 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-# ---------------------------------------------------------------- (2) counts and classes
+# ---------------------------------------------------------------- (2) counts and places
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What the corpus' counts come to. Class 0 is the end, the last one that of unknown words."""
+    """What the corpus' counts come to; a class is a word, and the one after the last that of unknown words."""
 
     tokens: int
     words: int
@@ -135,79 +133,55 @@ class Totals:
         return np.where(counts > 0, np.log10(np.maximum(counts - self.discount, 1e-9) / np.maximum(left, 1e-9)), 0.0)
 
 
-def _ending(word: Column) -> Column:
-    """A class for a word that isn't frequent: by its last two characters, digits alike."""
-    end = F.regexp_replace(F.right(word, F.lit(2)), "[0-9]", "0")
-    return (F.crc32(end) % ENDINGS).cast("int") + FREQUENT + 1
+_LISTS = "part int, kind int, chunk long, places binary, locals binary, counts binary, expected binary, sums array<double>"
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words, sorted by part and chunk, as a row for each part and chunk (or a few)."""
+    for batch in batches:
+        part, chunk, place, local, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("part", "chunk", "place", "local", "c"))
+        starts = np.flatnonzero(np.concatenate(([True], (np.diff(part) != 0) | (np.diff(chunk) != 0))))
+        cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True))
+        yield _rows(
+            part=[int(part[a]) for a, _ in cuts],
+            kind=[1] * len(cuts),
+            chunk=[int(chunk[a]) for a, _ in cuts],
+            places=[place[a:z].astype("<u4").tobytes() for a, z in cuts],
+            locals=[local[a:z].astype("<u4").tobytes() for a, z in cuts],
+            counts=[c[a:z].astype("<i8").tobytes() for a, z in cuts],
+        )
+
+
+def _rows(**columns: list) -> pa.RecordBatch:
+    """A batch of _LISTS; columns that aren't given are null."""
+    size = len(next(iter(columns.values())))
+    kinds = {"part": pa.int32(), "kind": pa.int32(), "chunk": pa.int64(), "sums": pa.list_(pa.float64())}
+    names = [c.split()[0] for c in _LISTS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns.get(n, [None] * size), kinds.get(n, pa.binary())) for n in names], names=names)
 
 
 def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
-    """Rows (chunk, local, c, class), one for each word of each chunk, and the totals.
+    """Rows of _LISTS with the places of each chunk's words in each part, and the totals.
 
     words has a row for each word of each chunk, so a word meets in one task with as many rows as there
     are chunks, not tokens; they cross the network once to be summed.
     """
-    word = W.partitionBy("word").orderBy("chunk")
+    tokens = words.agg(F.sum("n")).first()[0] or 0
+    parts = max(PARTS, tokens // PART_TOKENS)
+    dealt = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int")).repartition("part")
+    word = W.partitionBy("part", "word").orderBy("chunk")
     every = word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    counted = words.withColumn("c", F.sum("n").over(every)).withColumn("first", F.row_number().over(word) == 1)
-    counted = kept.write(counted.drop("n"), "counted")
-    real = counted.where(F.col("first") & (F.col("c") > 0) & (F.col("word") != END))
-    top = real.orderBy(F.col("c").desc(), "word").limit(FREQUENT).select("word").collect()
-    rank = {r.word: i + 1 for i, r in enumerate(top)}  # at most FREQUENT words
-    spark = words.sparkSession
-    ranks = spark.createDataFrame([(w, r) for w, r in rank.items()], "w string, rank int")
-    unknown = FREQUENT + ENDINGS + 1
-    place = (
-        F.when(F.col("c") == 0, unknown).when(F.col("word") == END, 0).otherwise(F.coalesce("rank", _ending(F.col("word"))))
-    )
-    lexicon = counted.join(F.broadcast(ranks), F.col("word") == F.col("w"), "left").withColumn("class", place)
-    sums = lexicon.where("first AND c > 0").groupBy("class").agg(
-        F.sum("c").alias("tokens"),
+    counted = dealt.withColumn("c", F.sum("n").over(every)).withColumn("first", F.row_number().over(word) == 1)
+    counted = counted.withColumn("place", F.dense_rank().over(W.partitionBy("part").orderBy("word")) - 1)
+    counted = kept.write(counted.select("part", "chunk", "local", "place", "c", "first"), "counted")
+    sums = counted.where("first AND c > 0").agg(
         F.count(F.lit(1)).alias("words"),
-        F.sum((F.col("c") == 1).cast("long")).alias("once"),
-        F.sum((F.col("c") == 2).cast("long")).alias("twice"),
-    )
-    class_tokens, class_words, once, twice = np.zeros(unknown), np.zeros(unknown), 0, 0
-    for r in sums.collect():  # a row for each class
-        class_tokens[r["class"]], class_words[r["class"]] = r.tokens, r.words
-        once, twice = once + r.once, twice + r.twice
-    discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once + twice else 0.5
-    totals = Totals(int(class_tokens.sum()), int(class_words.sum()), discount, class_tokens, class_words)
-    return lexicon.select("chunk", "local", "c", "class"), totals
-
-
-# ---------------------------------------------------------------- (3) documents as classes
-
-
-def _classed(kept: Kept, both: DataFrame, named: DataFrame, totals: Totals) -> DataFrame:
-    """Rows (doc_id, held_out, n_tokens, n_known, base_score, inner, classes), one per document."""
-    docs = both.where("ids IS NOT NULL").select("doc_id", F.col("chunk").alias("of"), "held_out", "ids")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        order = np.argsort(found.column("local").to_numpy())
-        counts = found.column("c").to_numpy()[order]
-        classes = found.column("class").to_numpy()[order].astype(np.uint16)
-        base, inner, seen = totals.base(counts), totals.inner(counts, classes), (counts > 0).astype(np.int64)
-        numbers = [_unpacked(x) for x in texts.column("ids").to_pylist()]
-        sizes = np.array([len(x) for x in numbers], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        ids = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        sums = [np.add.reduceat(v[ids], starts) if len(starts) else np.zeros(0) for v in (seen, base, inner)]
-        return pa.table(
-            {
-                "doc_id": texts.column("doc_id"),
-                "held_out": texts.column("held_out"),
-                "n_tokens": pa.array(sizes),
-                "n_known": pa.array(sums[0].astype(np.int64)),
-                "base_score": pa.array(sums[1]),
-                "inner": pa.array(sums[2]),
-                "classes": pa.array([classes[x].astype("<u2").tobytes() for x in numbers], pa.binary()),
-            }
-        )
-
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, inner double, classes binary"
-    return kept.write(docs.groupBy("of").cogroup(named.groupBy("chunk")).applyInArrow(run, schema), "classes")
+        F.count(F.when(F.col("c") == 1, 1)).alias("once"),
+        F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
+    ).first()
+    discount = min(max(sums.once / (sums.once + 2 * sums.twice), 0.1), 0.9) if sums.once + sums.twice else 0.5
+    lists = counted.drop("first").repartition("part").sortWithinPartitions("part", "chunk", "local").mapInArrow(_listed, _LISTS)
+    return kept.write(lists, "lists"), Totals(tokens, sums.words, discount, np.zeros(0), np.zeros(0))
 
 
 # ---------------------------------------------------------------- the recursions
@@ -271,76 +245,207 @@ class Model:
         return first, moves * self.moves, emitted, float(np.log(scales).sum(dtype=np.float64))
 
 
+def _shares(first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (first + 0.1) / (first + 0.1).sum(), (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
+
+
 def _maximised(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, unigram: np.ndarray) -> Model:
     """A model from expected counts, with a little of the unigram shares in each state."""
     emitted = emitted + 1e-9 + unigram[:, None]
-    return Model(
-        (first + 0.1) / (first + 0.1).sum(),
-        (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True),
-        emitted / emitted.sum(axis=0),
-    )
+    return Model(*_shares(first, moves), emitted / emitted.sum(axis=0))
 
 
-def _first_model(unigram: np.ndarray, states: int, seed: int) -> Model:
-    """States that mostly stay, with uneven shares of the classes."""
-    pick = np.random.default_rng(seed)
-    emits = (unigram[:, None] + 1e-9) * pick.gamma(1.0, size=(len(unigram), states))
-    moves = np.full((states, states), 0.1 / max(states - 1, 1)) + np.eye(states) * 0.9
-    return Model(np.full(states, 1 / states), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
-
+def with_unknown(model: Model, totals: Totals, unknown: np.ndarray | None = None) -> Model:
+    """The model with the class of unknown words, to which each class gives up its share.
 
-def with_unknown(model: Model, totals: Totals) -> Model:
-    """The model with the class of unknown words, to which each class gives up its share."""
+    unknown has these shares by state where the model holds only some of the words.
+    """
     given = totals.given_up[:, None]
-    unknown = (model.emits * given).sum(axis=0, keepdims=True)
-    return Model(model.start, model.moves, np.concatenate((model.emits * (1 - given), np.maximum(unknown, 1e-12))))
+    unknown = (model.emits * given).sum(axis=0) if unknown is None else unknown
+    return Model(model.start, model.moves, np.concatenate((model.emits * (1 - given), np.maximum(unknown, 1e-12)[None])))
 
 
-# ---------------------------------------------------------------- (4) training, (5) scores
+# ---------------------------------------------------------------- (3) training
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], longest: int | None = None) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for part in bounded(batches, "classes", most_bytes=2 * BATCH):
-        found = [np.frombuffer(x, "<u2") for x in part.column("classes").to_pylist()]
-        if longest:
-            found = [s[i : i + longest] for s in found for i in range(0, len(s), longest)]
-        yield part, found
+def _noise(part: int, places: np.ndarray, states: int, seed: int) -> np.ndarray:
+    """Numbers of a gamma(1) distribution, by word and state whatever the order (splitmix64)."""
+    x = (np.uint64(part << 32) + places.astype(np.uint64))[:, None] * np.uint64(states) + np.arange(states, dtype=np.uint64)
+    x = (x + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return -np.log(((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53))
 
 
-def _round(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected counts and log likelihood over all training documents: summed in each task, then across tasks."""
-    classes, states = model.emits.shape
-    cuts = np.cumsum([states, states * states, classes * states])
+@dataclass(frozen=True)
+class Emissions:
+    """Shares of all words by state, spread over the parts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cuts[-1] + 1)
-        for _, sequences in _sequences(batches, LONGEST):
-            total += np.concatenate([np.ravel(x) for x in model.expected_and_likelihood(sequences)])
-        places = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(total[places])], names=["place", "value"])
+    expected has rows of _LISTS with expected counts, or is None at the start. sums are those of a
+    part's numbers over all words, by state.
+    """
+
+    lists: DataFrame
+    expected: DataFrame | None
+    totals: Totals
+    states: int
+    seed: int
+    sums: np.ndarray | None = None
+
+    def _numbers(self):
+        """A function from a stream of rows, sorted by part and kind, to (row, places, counts, numbers) for each list."""
+        states, seed, tokens, start = self.states, self.seed, max(self.totals.tokens, 1), self.expected is None
+
+        def run(batches: Iterator[pa.RecordBatch]):
+            at, held = None, np.zeros((0, states))
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if row["part"] != at:
+                        at, held = row["part"], np.zeros((0, states))
+                    places = np.frombuffer(row["places"], "<u4").astype(np.int64)
+                    if (top := int(places.max()) + 1) > len(held):
+                        held = np.concatenate((held, np.zeros((max(top, 2 * len(held)) - len(held), states))))
+                    if row["kind"] == 0:
+                        held[places] += np.frombuffer(row["expected"], "<f4").reshape(-1, states)
+                        continue
+                    counts = np.frombuffer(row["counts"], "<i8")
+                    share = (counts / tokens)[:, None] + 1e-9
+                    numbers = share * _noise(at, places, states, seed) if start else held[places] + share
+                    yield row, places, counts, numbers * (counts > 0)[:, None]
+
+        return run
+
+    def _dealt(self) -> DataFrame:
+        rows = self.lists if self.expected is None else self.lists.unionByName(self.expected.where("kind = 0"))
+        return rows.repartition("part").sortWithinPartitions("part", "kind")
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sums by state of the words' numbers, and of the part of them that they give up to unknown words."""
+        states, discount, each = self.states, self.totals.discount, self._numbers()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, at, seen = np.zeros(2 * states), None, np.zeros(0, bool)
+            for row, places, counts, numbers in each(batches):
+                if row["part"] != at:
+                    at, seen = row["part"], np.zeros(0, bool)
+                if (top := int(places.max()) + 1) > len(seen):
+                    seen = np.concatenate((seen, np.zeros(max(top, 2 * len(seen)) - len(seen), bool)))
+                new = ~seen[places]
+                seen[places] = True
+                given = discount / np.maximum(counts, 1)
+                total += np.concatenate((numbers[new].sum(axis=0), (numbers * given[:, None])[new].sum(axis=0)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * states)), pa.array(total)], names=["place", "value"])
+
+        rows = self._dealt().mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
+        total = np.zeros(2 * states)
+        for r in rows.collect():  # two numbers for each state
+            total[r.place] = r.value
+        return total[:states], total[states:]
+
+    def sent(self) -> DataFrame:
+        """Rows of _LISTS, one for each list, with the words' shares in expected."""
+        each, sums = self._numbers(), self.sums
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ("part", "kind", "chunk", "places", "locals", "counts")
+            made, size = [], 0
+            for row, _, _, numbers in each(batches):
+                made.append(row | {"expected": (numbers / sums).astype("<f4").tobytes()})
+                size += len(numbers)
+                if size >= 200_000:
+                    yield _rows(**{n: [r[n] for r in made] for n in (*names, "expected")})
+                    made, size = [], 0
+            if made:
+                yield _rows(**{n: [r[n] for r in made] for n in (*names, "expected")})
+
+        return self._dealt().mapInArrow(run, _LISTS)
+
+
+def _table(found: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Shares and counts of a chunk's words by number, and the numbers in each row."""
+    rows = [np.frombuffer(x, "<u4").astype(np.int64) for x in found.column("locals").to_pylist()]
+    size = 1 + max(int(x.max()) for x in rows)
+    emits, counts = np.zeros((size, states)), np.zeros(size, np.int64)
+    for own, c, e in zip(rows, found.column("counts").to_pylist(), found.column("expected").to_pylist(), strict=True):
+        emits[own], counts[own] = np.frombuffer(e, "<f4").reshape(-1, states), np.frombuffer(c, "<i8")
+    return emits, counts, rows
+
+
+def _batched(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Sequences in turn, as many as have BATCH tokens, or one."""
+    made, size = [], 0
+    for s in sequences:
+        if made and size + len(s) > BATCH:
+            yield made
+            made, size = [], 0
+        made.append(s)
+        size += len(s)
+    if made:
+        yield made
+
+
+def _round(kept: Kept, train: DataFrame, start: np.ndarray, moves: np.ndarray, emits: Emissions) -> tuple[Emissions, list[np.ndarray]]:
+    """Expected counts of all training documents: by word in a table, and (first, moves, by state, likelihood)."""
+    states = emits.states
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.Table.from_batches([_rows(part=[])])
+        shares, _, rows = _table(found, states)
+        numbers = [_unpacked(x) for x in texts.column("ids").to_pylist()]
+        stretches = [s[i : i + LONGEST] for s in numbers for i in range(0, len(s), LONGEST)]
+        model, total, emitted = Model(start, moves, shares), np.zeros(states + states * states + 1), np.zeros(shares.shape)
+        for own in _batched(stretches):
+            first, moved, out, likelihood = model.expected_and_likelihood(own)
+            total += np.concatenate((first, moved.ravel(), [likelihood]))
+            emitted += out
+        sums = np.concatenate((total[:-1], emitted.sum(axis=0), total[-1:]))
+        made = _rows(
+            part=[*found.column("part").to_pylist(), -1],
+            kind=[0] * len(rows) + [2],
+            places=[*found.column("places").to_pylist(), None],
+            expected=[*(emitted[x].astype("<f4").tobytes() for x in rows), None],
+            sums=[None] * len(rows) + [sums.tolist()],
+        )
+        return pa.Table.from_batches([made])
 
-    rows = train.select("classes").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    total = np.zeros(cuts[-1] + 1)
-    for r in rows.collect():  # no more than the model's table
+    both = train.groupBy("of").cogroup(emits.sent().groupBy("chunk"))
+    expected = kept.write(both.applyInArrow(run, _LISTS), "expected")
+    summed = expected.where("kind = 2").select(F.posexplode("sums").alias("place", "value")).groupBy("place").agg(F.sum("value").alias("value"))
+    total = np.zeros(2 * states + states * states + 1)
+    for r in summed.collect():  # no more than moves and states
         total[r.place] = r.value
-    first, moves, emitted, likelihood = np.split(total, cuts)
-    return first, moves.reshape(states, states), emitted.reshape(classes, states), float(likelihood[0])
+    first, moved, occupied, likelihood = np.split(total, np.cumsum([states, states * states, states]))
+    sums = occupied + 1e-9 * emits.totals.words + 1
+    return replace(emits, expected=expected, sums=sums), [first, moved.reshape(states, states), likelihood]
 
 
-def train(classed: DataFrame, totals: Totals, states: int = STATES, rounds: int | None = None, seed: int = 42) -> Model:
+def train(
+    kept: Kept, docs: DataFrame, lists: DataFrame, totals: Totals, states: int = STATES, rounds: int | None = None, seed: int = 42
+) -> tuple[np.ndarray, np.ndarray, Emissions]:
     """Baum-Welch over all training documents until the likelihood settles, or for a given number of rounds."""
-    unigram = totals.class_tokens / max(totals.tokens, 1)
-    model = _first_model(unigram, states, seed)
+    moves = np.full((states, states), 0.1 / max(states - 1, 1)) + np.eye(states) * 0.9
+    start, moves = np.full(states, 1 / states), moves / moves.sum(axis=1, keepdims=True)
+    emits = Emissions(lists, None, totals, states, seed)
+    emits = replace(emits, sums=np.maximum(emits.summed()[0], 1e-300))
     if not totals.tokens:
-        return model  # there is no training document
-    rows, last, done = classed.where("NOT held_out"), -np.inf, 0
+        return start, moves, emits  # there is no training document
+    rows, last, done, old = docs.where("NOT held_out").select("of", "ids"), -np.inf, 0, Kept()
     while rounds is None or done < rounds:
-        *counts, likelihood = _round(rows, model)
-        model, done = _maximised(*counts, unigram), done + 1
-        if rounds is None and likelihood - last < SETTLED * totals.tokens:
+        new = Kept()
+        emits, (first, moved, likelihood) = _round(new, rows, start, moves, emits)
+        old.drop()
+        start, moves = _shares(first, moved)
+        old, done = new, done + 1
+        if rounds is None and likelihood[0] - last < SETTLED * totals.tokens:
             break
-        last = likelihood
-    return model
+        last = likelihood[0]
+    kept.paths += old.paths
+    return start, moves, emits
+
+
+# ---------------------------------------------------------------- (4) scores
 
 
 def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", states: int = STATES, rounds: int | None = None) -> DataFrame:
@@ -350,19 +455,32 @@ def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     both = first.write(rows.mapInArrow(_numbered, f"doc_id {kind}, {_CHUNKS}"), "numbers")
-    lexicon, totals = _lexicon(first, both.where("word IS NOT NULL").select("chunk", "local", "word", "n"))
-    classed = _classed(kept, both, lexicon, totals)
+    texts = both.where("ids IS NOT NULL").select("doc_id", F.col("chunk").alias("of"), "held_out", "ids")
+    texts = kept.write(texts, "texts")
+    lists, totals = _lexicon(kept, both.where("word IS NOT NULL").select("chunk", "local", "word", "n"))
     first.drop()
-    final = with_unknown(train(classed, totals, states, rounds), totals)
-    tokens = totals.tokens
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, sequences in _sequences(batches):
-            score = final.log10_likelihood(sequences) + part.column("inner").to_numpy()
-            columns = [part.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")]
-            columns += [pa.array(np.full(part.num_rows, tokens)), part.column("base_score"), pa.array(score)]
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    start, moves, emits = train(kept, texts, lists, totals, states, rounds)
+    unknown = emits.summed()[1] / emits.sums
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        shares, counts, _ = _table(found, states)
+        here = replace(totals, class_tokens=counts, class_words=(counts > 0).astype(np.int64))
+        model = with_unknown(Model(start, moves, shares), here, unknown)
+        base, seen = totals.base(counts), counts > 0
+        place = np.where(seen, np.arange(len(counts)), here.unknown)
+        numbers = [_unpacked(x) for x in own.column("ids").to_pylist()]
+        likelihoods = [model.log10_likelihood([place[s] for s in some]) for some in _batched(numbers)]
+        return pa.table(
+            {
+                "doc_id": own.column("doc_id"),
+                "held_out": own.column("held_out"),
+                "n_tokens": pa.array([len(s) for s in numbers], pa.int64()),
+                "n_known": pa.array([int(seen[s].sum()) for s in numbers], pa.int64()),
+                "train_tokens": pa.array([totals.tokens] * len(numbers), pa.int64()),
+                "base_score": pa.array([float(base[s].sum()) for s in numbers], pa.float64()),
+                "score": pa.array(np.concatenate([np.zeros(0), *likelihoods])),
+            }
+        )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return classed.mapInArrow(run, schema)
+    return texts.groupBy("of").cogroup(emits.sent().groupBy("chunk")).applyInArrow(run, schema)

@@ -141,3 +141,44 @@ def test_likelihood_of_a_round(small_model):
     sequences = [np.array(s) for s in ([0], [1, 2], [4, 3, 2, 1, 0], [2, 2, 2])]
     got = small_model.expected_and_likelihood(sequences)[3]
     assert got == pytest.approx(small_model.log10_likelihood(sequences).sum() * math.log(10), rel=1e-5)
+
+
+def gathered(emits):
+    """Shares by (part, place), which only a small vocabulary allows."""
+    found = {}
+    for r in emits.sent().collect():
+        shares = np.frombuffer(r.expected, "<f4").reshape(-1, emits.states)
+        found |= {(r.part, int(p)): s for p, s in zip(np.frombuffer(r.places, "<u4"), shares, strict=True)}
+    return found
+
+
+def test_every_word_has_counts_of_its_own_as_in_plain_training(spark):
+    """6,000 words with one ending in two chunks, against Baum-Welch over the whole table of words."""
+    pick = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{w}zz" for w in pick.integers(i % 2 * 3000, i % 2 * 3000 + 3000, 100))) for i in range(400)]
+    rows += [(1000, " ".join(f"w{i}zz" for i in range(6000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", hmm.F.lit(False)).repartition(2)
+    kept = hmm.Kept()
+    both = kept.write(docs.mapInArrow(hmm._numbered, f"doc_id long, {hmm._CHUNKS}"), "numbers")
+    texts = both.where("ids IS NOT NULL").select("doc_id", hmm.F.col("chunk").alias("of"), "held_out", "ids")
+    lists, totals = hmm._lexicon(kept, both.where("word IS NOT NULL").select("chunk", "local", "word", "n"))
+    assert totals.words == 6001
+    start, moves, emits = hmm.train(kept, texts, lists, totals, states=3, rounds=0)
+    first = gathered(emits)
+    order = {k: i for i, k in enumerate(sorted(first))}
+    assert len(order) == 6001
+    numbers, counts = {}, np.zeros(len(order))
+    for r in lists.collect():
+        for p, own, c in zip(*(np.frombuffer(x, t) for x, t in ((r.places, "<u4"), (r.locals, "<u4"), (r.counts, "<i8"))), strict=True):
+            numbers[r.chunk, int(own)] = order[r.part, int(p)]
+            counts[order[r.part, int(p)]] = c
+    sequences = [np.array([numbers[r.of, int(x)] for x in hmm._unpacked(r.ids)]) for r in texts.collect()]
+    plain = hmm.Model(start, moves, np.array([first[k] for k in sorted(first)], float))
+    for _ in range(2):
+        plain = hmm._maximised(*plain.expected(sequences), counts / counts.sum())
+    start, moves, emits = hmm.train(kept, texts, lists, totals, states=3, rounds=2)
+    shares = gathered(emits)
+    got = np.array([shares[k] for k in sorted(shares)])
+    assert got.sum(axis=0) == pytest.approx(np.ones(3), rel=1e-4)
+    assert got == pytest.approx(plain.emits, rel=1e-2, abs=1e-7)
+    assert moves == pytest.approx(plain.moves, rel=1e-2)
