@@ -160,12 +160,18 @@ def _rows(**columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns.get(n, [None] * size), kinds.get(n, pa.binary())) for n in names], names=names)
 
 
+def _free(rows: DataFrame) -> None:
+    """Let Spark delete the shuffle files of earlier jobs, which it does when the driver collects garbage."""
+    rows.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     """Rows of _LISTS with the places of each chunk's words in each part, and the totals.
 
     words has a row for each word of each chunk, so a word meets in one task with as many rows as there
     are chunks, not tokens; they cross the network once to be summed.
     """
+    own = Kept()
     tokens = words.agg(F.sum("n")).first()[0] or 0
     parts = max(PARTS, tokens // PART_TOKENS)
     dealt = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int")).repartition("part")
@@ -173,7 +179,7 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     every = word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     counted = dealt.withColumn("c", F.sum("n").over(every)).withColumn("first", F.row_number().over(word) == 1)
     counted = counted.withColumn("place", F.dense_rank().over(W.partitionBy("part").orderBy("word")) - 1)
-    counted = kept.write(counted.select("part", "chunk", "local", "place", "c", "first"), "counted")
+    counted = own.write(counted.select("part", "chunk", "local", "place", "c", "first"), "counted")
     sums = counted.where("first AND c > 0").agg(
         F.count(F.lit(1)).alias("words"),
         F.count(F.when(F.col("c") == 1, 1)).alias("once"),
@@ -181,7 +187,10 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     ).first()
     discount = min(max(sums.once / (sums.once + 2 * sums.twice), 0.1), 0.9) if sums.once + sums.twice else 0.5
     lists = counted.drop("first").repartition("part").sortWithinPartitions("part", "chunk", "local").mapInArrow(_listed, _LISTS)
-    return kept.write(lists, "lists"), Totals(tokens, sums.words, discount, np.zeros(0), np.zeros(0))
+    lists = kept.write(lists, "lists")
+    own.drop()
+    _free(words)
+    return lists, Totals(tokens, sums.words, discount, np.zeros(0), np.zeros(0))
 
 
 # ---------------------------------------------------------------- the recursions
@@ -343,32 +352,34 @@ class Emissions:
             total[r.place] = r.value
         return total[:states], total[states:]
 
-    def sent(self) -> DataFrame:
-        """Rows of _LISTS, one for each list, with the words' shares in expected."""
+    def sent(self, counted: bool = False) -> DataFrame:
+        """Rows of _LISTS, one for each list, with the words' shares in expected, and with their counts if asked."""
         each, sums = self._numbers(), self.sums
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names = ("part", "kind", "chunk", "places", "locals", "counts")
+            names = ["part", "kind", "chunk", "locals", "counts" if counted else "places", "expected"]
             made, size = [], 0
             for row, _, _, numbers in each(batches):
                 made.append(row | {"expected": (numbers / sums).astype("<f4").tobytes()})
                 size += len(numbers)
                 if size >= 200_000:
-                    yield _rows(**{n: [r[n] for r in made] for n in (*names, "expected")})
+                    yield _rows(**{n: [r[n] for r in made] for n in names})
                     made, size = [], 0
             if made:
-                yield _rows(**{n: [r[n] for r in made] for n in (*names, "expected")})
+                yield _rows(**{n: [r[n] for r in made] for n in names})
 
         return self._dealt().mapInArrow(run, _LISTS)
 
 
 def _table(found: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Shares and counts of a chunk's words by number, and the numbers in each row."""
+    """Shares and counts (if sent) of a chunk's words by number, and the numbers in each row."""
     rows = [np.frombuffer(x, "<u4").astype(np.int64) for x in found.column("locals").to_pylist()]
     size = 1 + max(int(x.max()) for x in rows)
     emits, counts = np.zeros((size, states)), np.zeros(size, np.int64)
     for own, c, e in zip(rows, found.column("counts").to_pylist(), found.column("expected").to_pylist(), strict=True):
-        emits[own], counts[own] = np.frombuffer(e, "<f4").reshape(-1, states), np.frombuffer(c, "<i8")
+        emits[own] = np.frombuffer(e, "<f4").reshape(-1, states)
+        if c is not None:
+            counts[own] = np.frombuffer(c, "<i8")
     return emits, counts, rows
 
 
@@ -436,6 +447,7 @@ def train(
         new = Kept()
         emits, (first, moved, likelihood) = _round(new, rows, start, moves, emits)
         old.drop()
+        _free(docs)
         start, moves = _shares(first, moved)
         old, done = new, done + 1
         if rounds is None and likelihood[0] - last < SETTLED * totals.tokens:
@@ -483,4 +495,4 @@ def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return texts.groupBy("of").cogroup(emits.sent().groupBy("chunk")).applyInArrow(run, schema)
+    return texts.groupBy("of").cogroup(emits.sent(counted=True).groupBy("chunk")).applyInArrow(run, schema)
