@@ -92,7 +92,7 @@ def base_spans(text: str) -> list[Span]:
 # ---------------------------------------------------------------- chains of tokens
 
 REACH = 3
-_TRIGGER = re.compile(r"[0-9@]|[\[({<]\s?(?:at|dot|AT|DOT)\s?[\])}>]|\s(?:dot|DOT)\s")
+_TRIGGER = re.compile(r"[0-9@]|[\[({<]\s?(?i:at|dot)\s?[\])}>]|\s(?i:dot)\s")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\x20\x09-\x0D]")
 #: Words that a shape may name: ends of domains, and cues for and against personal data.

@@ -129,3 +129,10 @@ def test_odd_texts_and_tables(spark):
     assert pii.personal_data(docs.limit(0)).count() == 0
     clash = spark.createDataFrame([(1, "a@b.c", "s")], "doc_id long, text string, spans string")
     assert pii.personal_data(clash).first().spans == "email:0:5"
+
+
+@pytest.mark.parametrize("text", ["mail jane(At)example(Dot)com now", "mail jane (aT) example (dOT) com now", "mail jane At example Dot com now"])
+def test_at_and_dot_in_mixed_case_are_seen(text):
+    assert pii.chains(text)
+    start, stop = text.index("jane"), text.index("com") + 3
+    assert ("email", start, stop) in spans(text)
