@@ -34,16 +34,19 @@ RULES = (
 
 #: Names of the labelled table: hosts nobody wants in a corpus, and ordinary ones.
 UNWANTED = (
-    "casino-win casino-royal online-casino free-bets best-bets sports-bets poker-room slots-jackpot "
-    "cheap-pills discount-pills buy-viagra pharma-pills adult-x adult-video xxx-tube porn-cams sex-dates "
-    "spam-farm link-farm spam-blog ads-track ad-tracker track-clicks payday-loans quick-loans "
-    "crack-serials warez-keygen malware-host phish-login fake-watches replica-bags free-followers"
+    "casino-royal online-casino best-bets sports-bets poker-room slots-jackpot "
+    "discount-pills buy-viagra pharma-pills adult-video xxx-tube porn-cams sex-dates "
+    "link-farm spam-blog ad-tracker track-clicks payday-loans quick-loans "
+    "crack-serials warez-keygen malware-host phish-login fake-watches replica-bags free-followers "
+    "royal-casino vip-casino casino-slots online-poker bets-online free-slots cheap-viagra discount-viagra "
+    "online-pharma free-porn porn-video adult-cams adult-dates sex-video sex-cams link-spam spam-links ads-clicks "
+    "malware-ads phish-bank payday-cash quick-cash crack-keygen warez-crack fake-bags replica-watches"
 ).split()
 WANTED = (
     "news library garden recipes museum university physics history weather football music travel "
     "openstreet python-docs math-notes city-council village school letters painting bookshop radio "
-    "journal archive science health-info cycling chess-club mountain river thundra therin thonder "
-    "tionary ernest blerion andover ingrid hethor enden stadthaus lesson maison ciudad kirche "
+    "journal archive science health-info cycling chess-club mountain river "
+    "tionary ernest blerion andover ingrid enden stadthaus lesson maison ciudad kirche "
     "theatre nations station eastern northern anthem handles threads shandy"
 ).split()
 _PREFIXES = ("www.", "blog.", "m.", "")

@@ -97,3 +97,10 @@ def test_known_hosts_of_the_table(spark):
             for name in ("tionsh", "ththre", "thernd", "theran", "therly", "ththon", "thther", "tiontion"):
                 assert brute_log_odds(f"m.{name}.example.{end}", page, weights) < 0, name
     assert math.isfinite(sum(weights))
+
+
+def test_no_host_of_the_given_pages_is_in_the_labelled_table(spark, sf_small):
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet").select("url").collect()
+    given = {part for r in pages for part in brute_parts(r.url)[0].split(".")}
+    assert not given & {*urls.UNWANTED, *urls.WANTED}
+    assert not {"casino-win", "free-bets", "cheap-pills", "adult-x", "spam-farm", "ads-track", "therin"} & {*urls.UNWANTED, *urls.WANTED}
