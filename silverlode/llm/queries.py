@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, chat, hmm, mixing, naming, pii, quality, shards, simhash, urls
+from silverlode.llm import align, bpe, chat, hmm, mixing, naming, negatives, pii, quality, shards, simhash, tokenfile, urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +70,25 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every document, with corpus-wide counts of the linked pairs."""
+    return align.digests(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECES)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector and its five best of the same label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(vectors.vec_id % 7 == 0, (vectors.label + 1) % 10).otherwise(vectors.label)
+    whole = negatives.whole_vectors(vectors, "embedding", 256)
+    rows = vectors.select(vectors.vec_id.alias("id"), label.alias("label"), whole.alias("vector"))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to binary files with a shared dictionary and read back."""
+    return tokenfile.digests(table(spark, sf_dir, "documents"), VOCABULARY, end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
@@ -78,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_exact": op10_exact,
+    "op11_align": op11_align,
+    "op12_negatives": op12_negatives,
+    "op13_tokens": op13_tokens,
 }
 
 #: For the queries that DuckDB can express; the others are tested against brute force.
@@ -183,4 +208,25 @@ ORACLES: dict[str, str] = {
         FROM cleaned
         WINDOW w AS (PARTITION BY clean ORDER BY chars DESC, doc_id)
     """,
+    "op12_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                list_dot_product(a.vector, r.vector)::BIGINT AS score
+            FROM rows a, rows r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+            (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
 }

@@ -11,7 +11,7 @@ def test_matches_oracle(spark, small, duck, name):
     assert differences(QUERIES[name](spark, small), duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - {"op12_negatives"}))
 def test_one_row_for_each_of_its_rows(spark, small, name):
     got = QUERIES[name](spark, small)
     key = got.columns[0]
