@@ -13,9 +13,6 @@ bytes of text, or one document), and the chunks' counts are summed by pair, so a
 document holds arrives as one row per chunk. The counts go back to the chunks by a join on the pair;
 no pair has more rows there than there are chunks.
 
-Texts are encoded run by run. Neither tokenizer joins what a single blank between two letters, digits
-or ASCII signs separates, so the ids of a text are those of its runs, put together.
-
 Defined results: a text that is null or empty, or whose tokens do not spell it on one of the sides
 (U+2581 in it, say), has no tokens: zeros, and an empty groups_sha256. Texts of any length are aligned
 whole. Every row gives one row; repeated rows count as documents of their own. An empty table gives an
@@ -24,11 +21,11 @@ empty table. Other columns of docs are not looked at.
 
 from __future__ import annotations
 
+import base64
 import functools
 import hashlib
-import os
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,8 +35,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.arrow import bounded
-from silverlode.llm.bpe import byte_symbols
-from silverlode.llm.runs import RunStore
 from silverlode.llm.tables import Kept
 
 #: Bytes of text in a chunk, or one document.
@@ -51,106 +46,118 @@ SECOND = 1 << 32
 class Alignment(NamedTuple):
     """Group g has A's tokens a_stops[g - 1] to a_stops[g] and B's alike; link k joins two places."""
 
-    a_stops: list[int]
-    b_stops: list[int]
-    a_links: list[int]
-    b_links: list[int]
+    a_stops: np.ndarray
+    b_stops: np.ndarray
+    a_links: np.ndarray
+    b_links: np.ndarray
 
 
-def align(a_ends: Sequence[int], b_ends: Sequence[int]) -> Alignment:
+def align(a_ends: list[int], b_ends: list[int]) -> Alignment:
     """Groups and links of two lists of ascending ends; the last ends are equal."""
-    found = Alignment([], [], [], [])
-    a_stops, b_stops, a_links, b_links = found
     i, j, n = 0, 0, len(a_ends)
+    stretches: list[int] = []  # first place on both sides and length, one after the other
+    a_stops: list[int] = []  # of irregular groups
+    b_stops: list[int] = []
+    a_links: list[int] = []
+    b_links: list[int] = []
     while i < n:
-        run = equal_run(a_ends, b_ends, i, j)
-        if run:
-            a_stops += range(i + 1, i + run + 1)
-            b_stops += range(j + 1, j + run + 1)
-            a_links += range(i, i + run)
-            b_links += range(j, j + run)
-            i, j = i + run, j + run
+        a_end, b_end = a_ends[i], b_ends[j]
+        if a_end == b_end:
+            run = equal_run(a_ends, b_ends, i, j)
+            stretches += (i, j, run)
+            i += run
+            j += run
             if i == n:
                 break
+            a_end, b_end = a_ends[i], b_ends[j]
         # Irregular: the side that ends first moves on, until both end at one offset.
         while True:
             a_links.append(i)
             b_links.append(j)
-            a_end, b_end = a_ends[i], b_ends[j]
-            i += a_end <= b_end
-            j += b_end <= a_end
-            if a_end == b_end:
+            if a_end < b_end:
+                i += 1
+                a_end = a_ends[i]
+            elif b_end < a_end:
+                j += 1
+                b_end = b_ends[j]
+            else:
                 break
+        i += 1
+        j += 1
         a_stops.append(i)
         b_stops.append(j)
-    return found
+    first_a, first_b, size = np.array(stretches, np.int64).reshape(-1, 3).T
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    a, b = np.repeat(first_a, size) + step, np.repeat(first_b, size) + step
+    return Alignment(
+        np.sort(np.concatenate([a + 1, np.array(a_stops, np.int64)])),
+        np.sort(np.concatenate([b + 1, np.array(b_stops, np.int64)])),
+        np.concatenate([a, np.array(a_links, np.int64)]),
+        np.concatenate([b, np.array(b_links, np.int64)]),
+    )
+
 
+def equal_run(a_ends: list[int], b_ends: list[int], i: int, j: int) -> int:
+    """How many ends are equal one to one from i and j on, by doubling blocks, then halving one.
 
-def equal_run(a_ends: Sequence[int], b_ends: Sequence[int], i: int, j: int) -> int:
-    """How many ends are equal one to one from i and j on, by doubling blocks, then halving one."""
-    most = min(len(a_ends) - i, len(b_ends) - j)
-    run, block = 0, 1
-    while run < most:
-        block = min(block, most - run)
+    The ends at i and j are equal.
+    """
+    run, block = 1, 1
+    while True:
         a, b = i + run, j + run
-        if a_ends[a : a + block] == b_ends[b : b + block]:
+        probe = a_ends[a : a + block]
+        if not probe or probe != b_ends[b : b + block]:
+            break
+        run += len(probe)
+        block *= 2
+    while block > 1:  # the block differs, or there is less of it on one side: halve it
+        block //= 2
+        a, b = i + run, j + run
+        probe = a_ends[a : a + block]
+        if len(probe) == block and probe == b_ends[b : b + block]:
             run += block
-            block *= 2
-            continue
-        while block > 1:  # the block differs: keep the half with the first difference
-            half = block // 2
-            a, b = i + run, j + run
-            if a_ends[a : a + half] == b_ends[b : b + half]:
-                run += half
-                block -= half
-            else:
-                block = half
-        break
     return run
 
 
-def groups_text(found: Alignment, a_ids: list[str], b_ids: list[str]) -> str:
-    """`a1,a2|b1;a3|b2,b3`: the ids of each group in order."""
-    parts, i, j = [], 0, 0
-    for p, q in zip(found.a_stops, found.b_stops, strict=True):
-        if p - i == 1 == q - j:
-            parts.append(f"{a_ids[i]}|{b_ids[j]}")
-        else:
-            parts.append(f"{','.join(a_ids[i:p])}|{','.join(b_ids[j:q])}")
-        i, j = p, q
-    return ";".join(parts)
-
-
 class Side:
-    """One tokenizer: ids of runs, and the bytes that each id stands for."""
+    """One tokenizer: ids of whole texts, and the bytes that each id stands for."""
 
-    def __init__(self, encode, spelled: list[bytes]):
-        self.store, self.spelled = RunStore(encode), spelled
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], spelled: list[bytes]):
+        self.encode = encode
+        self.spelled = pa.array(spelled, pa.large_binary())
         self.lengths = np.array([len(s) for s in spelled], np.int64)
-        self.names = [str(i) for i in range(len(spelled))]
 
-    def spells(self, ids: Sequence[int], wanted: bytes) -> bool:
-        return b"".join([self.spelled[i] for i in ids]) == wanted
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the texts' bounds in them."""
+        found = self.encode(texts)
+        bounds = np.concatenate(([0], np.cumsum([len(own) for own in found]))).astype(np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int64, int(bounds[-1])), bounds
 
+    def spells(self, ids: np.ndarray, bounds: np.ndarray, wanted: list[bytes]) -> list[bool]:
+        """Whether each text's tokens are its bytes."""
+        at, data = _joined(self.spelled, ids, bounds)
+        return [bytes(data[x:y]) == w for x, y, w in zip(at[:-1], at[1:], wanted, strict=True)]
 
-def byte_side(path: str) -> Side:
-    """A byte-level vocabulary file of the tokenizers library; special tokens in texts are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    tokenizer.encode_special_tokens = True
-    byte_of = {ord(c): b for b, c in enumerate(byte_symbols())}
-    size = tokenizer.get_vocab_size(with_added_tokens=True)
-    pieces = [tokenizer.id_to_token(i) or "" for i in range(size)]
-    spelled = [bytes(byte_of[ord(c)] for c in p) if all(ord(c) in byte_of for c in p) else b"" for p in pieces]
+def _joined(strings: pa.Array, places: np.ndarray, bounds: np.ndarray) -> tuple[list[int], memoryview]:
+    """The strings at the places one after the other, and where in them each bound lies."""
+    taken = strings.take(pa.array(places))
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
+    return ends[bounds].tolist(), memoryview(taken.buffers()[2] or b"")
 
-    def encode(runs: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
 
-    return Side(encode, spelled)
+def byte_side(path: str) -> Side:
+    """A byte-level vocabulary as ranks; special tokens in texts are plain text."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    model = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spelled = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        spelled[rank] = token
+    return Side(lambda texts: [model.encode_ordinary(f" {text}") for text in texts], spelled)
 
 
 def piece_side(path: str) -> Side:
@@ -163,10 +170,7 @@ def piece_side(path: str) -> Side:
         piece = model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(runs: list[str]) -> list[list[int]]:
-        return model.encode([run[1:] for run in runs], num_threads=1)  # each run begins with a blank
-
-    return Side(encode, [bytes_of(i) for i in range(model.get_piece_size())])
+    return Side(lambda texts: model.encode(texts, num_threads=1), [bytes_of(i) for i in range(model.get_piece_size())])
 
 
 @functools.cache
@@ -174,39 +178,79 @@ def _sides(byte_path: str, piece_path: str) -> tuple[Side, Side]:
     return byte_side(byte_path), piece_side(piece_path)
 
 
-#: Blanks that neither tokenizer joins anything across: single, between letters, digits or ASCII signs.
-_CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
-
-
-def runs_of(text: str) -> list[str]:
-    """A blank and the text, cut before blanks; every run begins with a blank. Empty text: none."""
-    return _CUT.split(f" {text}") if text else []
-
-
 class Aligned(NamedTuple):
-    """One text's tokens on both sides and their alignment."""
+    """Texts of a chunk that have tokens: their places in it, and all their tokens, groups and links.
+
+    Text k of these has the tokens a_bounds[k] to a_bounds[k + 1], and so on; stops and links count
+    tokens of the chunk.
+    """
 
+    places: list[int]
     a_ids: np.ndarray
     b_ids: np.ndarray
+    a_bounds: np.ndarray
+    b_bounds: np.ndarray
     found: Alignment
+    group_bounds: np.ndarray
+    link_bounds: np.ndarray
+
+
+def aligned_texts(texts: Sequence[str | None], a: Side, b: Side) -> Aligned:
+    """The alignment of each text."""
+    places = [k for k, text in enumerate(texts) if text]
+    own = [texts[k] for k in places]
+    wanted = [f" {text}".encode() for text in own]
+    sides = [side.tokens(own) for side in (a, b)]
+    good = [x and y for x, y in zip(a.spells(*sides[0], wanted), b.spells(*sides[1], wanted), strict=True)]
+    del wanted
+    if not all(good):
+        keep = np.array(good, bool)
+        sides = [_only(keep, *side) for side in sides]
+        places = [p for p, right in zip(places, good, strict=True) if right]
+    (a_ids, a_bounds), (b_ids, b_bounds) = sides
+    lengths = a.lengths[a_ids], b.lengths[b_ids]
+    parts = []
+    for k in range(len(places)):
+        first_a, first_b = int(a_bounds[k]), int(b_bounds[k])
+        ends = (np.cumsum(x[bounds[k] : bounds[k + 1]]).tolist() for x, bounds in zip(lengths, (a_bounds, b_bounds), strict=True))
+        one = align(*ends)
+        parts.append(Alignment(one.a_stops + first_a, one.b_stops + first_b, one.a_links + first_a, one.b_links + first_b))
+    found = Alignment(*[np.concatenate([np.empty(0, np.int64), *column]) for column in zip(*parts, strict=True)] or [np.empty(0, np.int64)] * 4)
+    groups, links = (np.concatenate(([0], np.cumsum([len(p[c]) for p in parts]))).astype(np.int64) for c in (0, 2))
+    return Aligned(places, a_ids, b_ids, a_bounds, b_bounds, found, groups, links)
+
+
+def _only(keep: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the texts that stay."""
+    sizes = np.diff(bounds)
+    return ids[np.repeat(keep, sizes)], np.concatenate(([0], np.cumsum(sizes[keep])))
+
+
+def groups_hashes(one: Aligned, a: Side, b: Side) -> list[str]:
+    """SHA-256 of `a1,a2|b1;a3|b2,b3` for each text: the ids of each group in order.
+
+    Every id stands with the sign behind it, and the last sign is left off. In a text the tokens of A
+    in group g have g's earlier tokens of B before them, those of B also g's tokens of A.
+    """
+    n_a, n_b = len(a.lengths), len(b.lengths)
+    signed = _signed_ids(n_a, n_b)
+    a_stops, b_stops = one.found.a_stops, one.found.b_stops
+    a_sizes, b_sizes = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
+    items = np.empty(len(one.a_ids) + len(one.b_ids), np.int64)
+    a_signed, b_signed = one.a_ids.copy(), one.b_ids + 2 * n_a
+    a_signed[a_stops - 1] += n_a
+    b_signed[b_stops - 1] += n_b
+    items[np.arange(len(one.a_ids)) + np.repeat(b_stops - b_sizes, a_sizes)] = a_signed
+    items[np.arange(len(one.b_ids)) + np.repeat(a_stops, b_sizes)] = b_signed
+    at, data = _joined(signed, items, one.a_bounds + one.b_bounds)
+    return [hashlib.sha256(data[x : y - 1]).hexdigest() for x, y in zip(at[:-1], at[1:], strict=True)]
 
 
-def aligned_texts(texts: Sequence[str | None], a: Side, b: Side) -> Iterator[Aligned | None]:
-    """The alignment of each text; None for texts without tokens."""
-    runs = [runs_of(text or "") for text in texts]
-    bounds = np.concatenate(([0], np.cumsum([len(own) for own in runs]))).astype(np.int64)
-    flat = [run for own in runs for run in own]
-    del runs
-    a_ids, a_bounds = a.store.joined(a.store.places(flat), bounds)
-    b_ids, b_bounds = b.store.joined(b.store.places(flat), bounds)
-    for k, text in enumerate(texts):
-        own_a, own_b = a_ids[a_bounds[k] : a_bounds[k + 1]], b_ids[b_bounds[k] : b_bounds[k + 1]]
-        wanted = f" {text}".encode() if text else b""
-        if not wanted or not (a.spells(own_a.tolist(), wanted) and b.spells(own_b.tolist(), wanted)):
-            yield None
-            continue
-        ends = (np.cumsum(side.lengths[ids]).tolist() for side, ids in ((a, own_a), (b, own_b)))
-        yield Aligned(own_a, own_b, align(*ends))
+@functools.cache
+def _signed_ids(n_a: int, n_b: int) -> pa.Array:
+    """Ids of A with a comma, with a bar, ids of B with a comma, with a semicolon."""
+    told = [f"{i}{sign}" for n, signs in ((n_a, ",|"), (n_b, ",;")) for sign in signs for i in range(n)]
+    return pa.array(told, pa.large_string())
 
 
 def alignments(
@@ -217,14 +261,13 @@ def alignments(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in bounded(batches, most_bytes=CHUNK >> 2):
-            groups = []
-            for one in aligned_texts(part.column("text").to_pylist(), *_sides(byte_path, piece_path)):
-                stops = zip(one.found.a_stops, one.found.b_stops, strict=True) if one else ()
-                own, i, j = [], 0, 0
-                for p, q in stops:
-                    own.append({"a": one.a_ids[i:p].tolist(), "b": one.b_ids[j:q].tolist()})
-                    i, j = p, q
-                groups.append(own)
+            groups: list[list] = [[] for _ in range(part.num_rows)]
+            one = aligned_texts(part.column("text").to_pylist(), *_sides(byte_path, piece_path))
+            a_cuts, b_cuts = ([0, *x.tolist()] for x in one.found[:2])
+            for k, place in enumerate(one.places):
+                for g in range(one.group_bounds[k], one.group_bounds[k + 1]):
+                    ids = one.a_ids[a_cuts[g] : a_cuts[g + 1]], one.b_ids[b_cuts[g] : b_cuts[g + 1]]
+                    groups[place].append({"a": ids[0].tolist(), "b": ids[1].tolist()})
             kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
             yield pa.record_batch([part.column("doc_id"), pa.array(groups, kind)], names=["doc_id", "groups"])
 
@@ -279,33 +322,30 @@ def _first_pass(byte_path: str, piece_path: str):
 
 def _chunk_rows(chunk: int, doc_ids: pa.Array, texts: list[str | None], a: Side, b: Side) -> pa.RecordBatch:
     """A row for each document, and a last one with the chunk's pairs and in how many documents each is."""
-    none = np.empty(0, np.int64)
-    sizes, hashes, pairs, times = [], [], [], []
-    for one in aligned_texts(texts, a, b):
-        if one is None:
-            sizes.append((0, 0, 0, 0))
-            hashes.append("")
-            pairs.append(none)
-            times.append(none)
-            continue
-        found = one.found
-        sizes.append((len(one.a_ids), len(one.b_ids), len(found.a_stops), len(found.a_links)))
-        told = groups_text(found, [a.names[i] for i in one.a_ids.tolist()], [b.names[i] for i in one.b_ids.tolist()])
-        hashes.append(hashlib.sha256(told.encode()).hexdigest())
-        own, often = np.unique(one.a_ids[found.a_links] * SECOND + one.b_ids[found.b_links], return_counts=True)
-        pairs.append(own)
-        times.append(often)
-    distinct, places, held = np.unique(np.concatenate([none, *pairs]), return_inverse=True, return_counts=True)
-    ends = np.cumsum([len(p) for p in pairs])[:-1] if pairs else []
-    places = np.split(places.astype("<i4"), ends)
+    one = aligned_texts(texts, a, b)
+    found, docs = one.found, len(one.places)
+    linked = one.a_ids[found.a_links] * SECOND + one.b_ids[found.b_links]
+    distinct, places = np.unique(linked, return_inverse=True)
+    del linked
+    # A document's pairs, each once with its number of links.
+    which = np.repeat(np.arange(docs), np.diff(one.link_bounds))
+    own, often = np.unique(which * max(len(distinct), 1) + places, return_counts=True)
+    which, places = np.divmod(own, max(len(distinct), 1))
+    held = np.bincount(places, minlength=len(distinct))
+    ends = np.searchsorted(which, np.arange(1, docs))
+    counts = [np.diff(x).tolist() for x in (one.a_bounds, one.b_bounds, one.group_bounds, one.link_bounds)]
+    sizes, hashes, pairs, times = [(0, 0, 0, 0)] * len(texts), [""] * len(texts), [b""] * len(texts), [b""] * len(texts)
+    split = (np.split(x.astype("<i4"), ends) if docs else [] for x in (places, often))
+    for place, size, sha, p, t in zip(one.places, zip(*counts, strict=True), groups_hashes(one, a, b), *split, strict=True):
+        sizes[place], hashes[place], pairs[place], times[place] = size, sha, p.tobytes(), t.tobytes()
     n = len(texts)
     columns = {
         "chunk": pa.array(np.full(n + 1, chunk, np.int64)),
         "doc_id": pa.concat_arrays([doc_ids, pa.nulls(1, doc_ids.type)]),
         **{name: pa.array([s[k] for s in sizes] + [None], pa.int64()) for k, name in enumerate(COUNTS)},
         "groups_sha256": pa.array([*hashes, None], pa.string()),
-        "places": pa.array([p.tobytes() for p in places] + [None], pa.binary()),
-        "times": pa.array([t.astype("<i4").tobytes() for t in times] + [None], pa.binary()),
+        "places": pa.array([*pairs, None], pa.binary()),
+        "times": pa.array([*times, None], pa.binary()),
         "pairs": _last_list(n, distinct, pa.int64()),
         "held": _last_list(n, held, pa.int32()),
     }

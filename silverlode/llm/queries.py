@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from silverlode.llm import align, bpe, chat, hmm, mixing, naming, negatives, pii, quality, shards, simhash, tokenfile, urls
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The vocabulary of byte_bpe_50k.json as ranks.
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -72,7 +73,7 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned in every document, with corpus-wide counts of the linked pairs."""
-    return align.digests(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECES)
+    return align.digests(table(spark, sf_dir, "documents"), BYTE_RANKS, PIECES)
 
 
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

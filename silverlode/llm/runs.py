@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -10,39 +11,42 @@ import numpy as np
 class RunStore:
     """Ids of runs of text, kept from one slice of texts to the next.
 
-    encode: ids of each of a list of runs. The store is emptied for a slice with new runs when they
-    would be more than most, or the runs in it have over most_chars characters.
+    encode: ids of each of a list of runs. When a slice would fill the store beyond most runs, or
+    most_chars characters, only the slice's own runs are kept of it.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 300_000, most_chars: int = 16 << 20
+        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 600_000, most_chars: int = 16 << 20
     ):
         self.encode, self.most, self.most_chars = encode, most, most_chars
-        self._clear()
-
-    def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.chars = 0
         self.starts, self.sizes, self.ids = (np.empty(0, np.int64) for _ in range(3))
 
+    def _keep(self, runs: Sequence[str]) -> None:
+        kept = [run for run in dict.fromkeys(runs) if run in self.index]
+        at = np.fromiter(map(self.index.__getitem__, kept), np.int64, len(kept))
+        self.ids, ends = self.joined(at, np.arange(len(at) + 1))
+        self.starts, self.sizes = ends[:-1], np.diff(ends)
+        self.index = dict(zip(kept, range(len(kept)), strict=True))
+        self.chars = sum(map(len, kept))
+
     def places(self, runs: Sequence[str]) -> np.ndarray:
         """The place of each run in the store; runs that it doesn't hold are encoded first."""
-        index = self.index
-        new = [run for run in dict.fromkeys(runs) if run not in index]
+        new = [run for run in dict.fromkeys(runs) if run not in self.index]
+        if new and (len(self.index) + len(new) > self.most or self.chars > self.most_chars):
+            self._keep(runs)
         if new:
-            if len(index) + len(new) > self.most or self.chars > self.most_chars:
-                self._clear()
-                index, new = self.index, [*dict.fromkeys(runs)]
             self.chars += sum(map(len, new))
             found = self.encode(new)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             starts = np.cumsum(sizes) - sizes + len(self.ids)
-            index.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
-            ids = np.fromiter((i for own in found for i in own), np.int64, int(sizes.sum()))
+            self.index.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            ids = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
             self.starts, self.sizes, self.ids = (
                 np.concatenate(x) for x in ((self.starts, starts), (self.sizes, sizes), (self.ids, ids))
             )
-        return np.fromiter(map(index.__getitem__, runs), np.int64, len(runs))
+        return np.fromiter(map(self.index.__getitem__, runs), np.int64, len(runs))
 
     def joined(self, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the runs at the given places, and the bounds of the texts in them.

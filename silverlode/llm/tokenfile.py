@@ -58,6 +58,8 @@ SLICE = 8 << 20
 #: Bytes of text that a task writes, about.
 TASK_BYTES = 64 << 20
 LEVEL = 3
+#: Words that are encoded as one text, and runs that are encoded at a time.
+TOGETHER, BATCH = 256, 16_384
 
 
 class Encoder:
@@ -72,9 +74,35 @@ class Encoder:
         tokenizer.no_padding()
         self.size = tokenizer.get_vocab_size(with_added_tokens=True)
 
-        def encode(runs: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        # The tokens that end a word, and texts of some hundred words, which cost less than words one by one.
+        ends = [(tokenizer.id_to_token(i) or "").endswith(tokenizer.model.end_of_word_suffix or "") for i in range(self.size)]
+
+        def encoded(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+        def words(runs: list[str]) -> list[list[int]]:
+            """Runs of ASCII letters: each is one word, so in a text of them the words' ends tell them apart."""
+            found, own = [], []
+            for ids in encoded([" ".join(runs[i : i + TOGETHER]) for i in range(0, len(runs), TOGETHER)]):
+                for i in ids:
+                    own.append(i)
+                    if ends[i]:
+                        found.append(own)
+                        own = []
+            return found
+
+        def encode(runs: list[str]) -> list[list[int]]:
+            out = []
+            for start in range(0, len(runs), BATCH):
+                part = runs[start : start + BATCH]
+                plain = [run.isascii() and run.isalpha() for run in part]
+                single = iter(words([run for run, p in zip(part, plain, strict=True) if p]))
+                other = iter(encoded([run for run, p in zip(part, plain, strict=True) if not p]))
+                out += [next(single if p else other) for p in plain]
+            return out
+
+        if not tokenizer.model.end_of_word_suffix:
+            raise ValueError("a vocabulary with word ends is needed")
         self.store = RunStore(encode)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

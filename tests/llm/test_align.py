@@ -12,12 +12,13 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from silverlode.llm import align
-from silverlode.llm.queries import BYTE_VOCABULARY, PIECES
+from silverlode.llm.bpe import byte_symbols
+from silverlode.llm.queries import BYTE_RANKS, PIECES
 
 A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 A.encode_special_tokens = True
 B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-BYTE = {c: b for b, c in enumerate(align.byte_symbols())}
+BYTE = {c: b for b, c in enumerate(byte_symbols())}
 
 
 def tokens(text):
@@ -81,7 +82,7 @@ def brute(texts):
 def check(spark, texts, extra=False):
     rows = [(i, t, "x", i) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, chunk string, of long")
-    got = align.digests(docs if extra else docs.select("doc_id", "text"), BYTE_VOCABULARY, PIECES)
+    got = align.digests(docs if extra else docs.select("doc_id", "text"), BYTE_RANKS, PIECES)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     got = sorted(tuple(r) for r in got.collect())
     assert got == [(i, *want) for i, want in enumerate(brute(texts))]
@@ -117,7 +118,7 @@ def test_several_chunks(spark, monkeypatch):
     texts = [" ".join(pick.choices(["the", "tokens", "alignment", "zorpian"], k=12)) for _ in range(40)]
     rows = align.bounded
     monkeypatch.setattr(align, "bounded", lambda batches, most_bytes: rows(batches, most_bytes=1))
-    a, b = align._sides(BYTE_VOCABULARY, PIECES)
+    a, b = align._sides(BYTE_RANKS, PIECES)
     import pyarrow as pa
 
     batch = pa.record_batch([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])
@@ -125,20 +126,30 @@ def test_several_chunks(spark, monkeypatch):
     assert len(chunks) == 40 and all(c.num_rows == 2 for c in chunks)
     monkeypatch.undo()
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(7)
-    got = sorted(tuple(r)[1:] for r in align.digests(docs, BYTE_VOCABULARY, PIECES).collect())
+    got = sorted(tuple(r)[1:] for r in align.digests(docs, BYTE_RANKS, PIECES).collect())
     assert got == sorted(brute(texts))
 
 
 @pytest.mark.parametrize("rows", [[], [(None, None)], [(None, "a b")]])
 def test_tiny_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [tuple(r) for r in align.digests(docs, BYTE_VOCABULARY, PIECES).collect()]
+    got = [tuple(r) for r in align.digests(docs, BYTE_RANKS, PIECES).collect()]
     assert got == [(r[0], *want) for r, want in zip(rows, brute([t for _, t in rows]), strict=True)]
 
 
+def test_both_libraries_read_the_byte_vocabulary_alike():
+    """All characters, alone and between blanks, letters, digits and signs."""
+    a = align.byte_side(BYTE_RANKS)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 61 == 0)]
+    texts = ["".join(f"{chr(c)} a{chr(c)}b  {chr(c)}1.{chr(c)}{chr(c)}\n{chr(c)}" for c in points[k : k + 40]) for k in range(0, len(points), 40)]
+    ids, bounds = a.tokens(texts)
+    for k, e in enumerate(A.encode_batch([f" {t}" for t in texts], add_special_tokens=False)):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == e.ids, texts[k]
+
+
 def test_groups_as_arrays(spark):
     docs = spark.createDataFrame([(1, "tokenization works"), (2, None)], "doc_id long, text string")
-    got = {r.doc_id: r.groups for r in align.alignments(docs, BYTE_VOCABULARY, PIECES).collect()}
+    got = {r.doc_id: r.groups for r in align.alignments(docs, BYTE_RANKS, PIECES).collect()}
     assert got[2] == []
     a, b = tokens("tokenization works")
     assert [i for g in got[1] for i in g.a] == [x[0] for x in a]
@@ -156,6 +167,7 @@ def test_equal_runs_are_probed_by_doubling():
     ends = Counted(range(1, 10_001))
     other = [*range(1, 9000), *range(9001, 10_001)]
     assert align.equal_run(ends, other, 0, 0) == 8999
+    assert align.equal_run([1, 2, 3], [1, 2, 3, 4], 0, 0) == 3
     assert Counted.probes < 40
 
 
