@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR   tables to read (default /root/testdata/sf0.1)
 BENCH_CPUS     local threads (default 8)
+               Each table is dealt to as many files as there are threads first.
 BENCH_RUNS     timed runs per query, the best one counts (default 2)
 BENCH_COPIES   the trips are multiplied by this number, written as Parquet and sent through the pipeline, cold
                and warm (default 26, which makes 16.2 million rows of sf0.1; 0 leaves this out)
@@ -51,6 +52,9 @@ HEADLINE = (
 )
 
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
 def drain(df: DataFrame) -> None:
     """Compute every row and column, keep nothing."""
     df.write.format("noop").mode("overwrite").save()
@@ -65,6 +69,20 @@ def best(runs: int, action: Callable[[], None]) -> float:
     return round(min(seconds), 3)
 
 
+def in_several_files(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """The given tables, one file each, in as many files as there are threads, as a lake would have them."""
+    root = scratch_path(spark, "bench-tables")
+    for name in TABLES:
+        load(spark, sf_dir, name).repartition(files).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def yardstick(spark: SparkSession) -> None:
+    """Work that never changes, so that rounds on different machines can be compared."""
+    numbers = spark.range(40_000_000).select((F.col("id") % 100_003).alias("k"), F.hash("id").alias("v"))
+    drain(numbers.groupBy("k").agg(F.sum("v"), F.max("v")))
+
+
 def run_pipeline(spark: SparkSession, bronze: DataFrame, as_of: str) -> dict:
     root = scratch_path(spark, "bench-lake")
     layers = pipeline.Layers(f"{root}/silver", f"{root}/dlq", f"{root}/gold", f"{root}/metrics")
@@ -105,8 +123,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()
     timings: dict[str, float] = {}
+    yard = best(runs, lambda: yardstick(spark))
+    sf_name, sf_dir = os.path.basename(sf_dir.rstrip("/")), in_several_files(spark, sf_dir, cpus)
     # The table by month that the pruning queries read is written by the first of them.
     timings["write_by_month"] = best(1, lambda: drain(queries["prune_month"](spark, sf_dir)))
+    # So are the layers that the layered report reads.
+    timings["write_layers"] = best(1, lambda: drain(queries["layered_validation"](spark, sf_dir)))
     for name in HEADLINE:
         timings[name] = best(runs, lambda: drain(queries[name](spark, sf_dir)))
 
@@ -134,7 +156,8 @@ def main() -> None:
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": sf_name.removeprefix("sf"),
+        "yardstick": yard,
         "cpus": cpus,
         "pipeline_rows": rows["pipeline"],
         "pipeline_rows_per_sec": round(rows["pipeline"] / timings["pipeline"]),

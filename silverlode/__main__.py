@@ -8,7 +8,6 @@ from __future__ import annotations
 import argparse
 import json
 import os
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +26,7 @@ def read_trips(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
     """A delivery in any format, typed by the contract, with lineage and the text of unreadable rows."""
     schema = TRIP_CONTRACT.to_struct()
     if kind == "csv":
-        return readers.read_csv(spark, paths, schema, keep_corrupt=True, lineage=True)
+        return readers.read_csv(spark, paths, schema, keep_corrupt=True, lineage=True, keep_named=True)
     if kind == "json":
         return readers.read_json(spark, paths, schema, keep_corrupt=True, lineage=True)
     df = readers.read_months(spark, paths, TRIP_CONTRACT.types(), lineage=True)
@@ -67,6 +66,8 @@ def parser() -> argparse.ArgumentParser:
     again.add_argument("--min-passengers", type=float, help="any number above zero if left out")
     again.add_argument("--gold")
     again.add_argument("--metrics")
+    again.add_argument("--hash", nargs="*", default=[], metavar="COLUMN", help="columns that the layers hold hashed")
+    again.add_argument("--salt-env", help="environment variable that holds the salt of the hashes")
     again.add_argument("--reread", action="store_true", help="read unreadable rows again from their text")
     again.add_argument("--run-ts")
 
@@ -95,8 +96,6 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
         layers = pipeline.Layers(args.silver, args.dead_letters, args.gold, args.metrics)
         bronze = read_trips(spark, args.paths, args.format)
         salt = os.environ[args.salt_env] if args.salt_env else None
-        if salt:  # plans and event logs show literals
-            spark.conf.set("spark.sql.redaction.string.regex", re.escape(salt))
         contract = None if args.contract == "none" else TRIP_CONTRACT
         if args.contract == "present":
             contract = contract.restricted_to(bronze.columns)
@@ -118,7 +117,9 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> str:
         layers = pipeline.Layers(args.silver, args.dead_letters, args.gold, args.metrics)
         types = TRIP_CONTRACT.types() if args.reread else None
         rules = cleaning_rules(run_ts, passengers=(args.min_passengers, args.max_passengers))
-        return json.dumps(pipeline.reprocess_dead_letters(spark, layers, run_ts, rules, types=types))
+        policy = {c: PiiClass.HIGH for c in args.hash} or None
+        salt = os.environ[args.salt_env] if args.salt_env else None
+        return json.dumps(pipeline.reprocess_dead_letters(spark, layers, run_ts, rules, types=types, policy=policy, salt=salt))
     if args.command == "convert":
         parquet_to_csv(spark, args.source, args.target)
         return f"wrote {args.target}"

@@ -70,6 +70,10 @@ class Contract:
     def types(self) -> dict[str, str]:
         return {f.name: f.spark_type.simpleString() for f in self.fields}
 
+    def required(self) -> list[str]:
+        """Columns that must hold a value."""
+        return [f.name for f in self.fields if not f.nullable]
+
     def missing_from(self, columns: list[str]) -> list[str]:
         return [n for n in self.names if n not in columns]
 

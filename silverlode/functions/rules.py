@@ -32,8 +32,14 @@ class Rule:
         return self.condition.isNull()
 
 
+def _no_number(column: str) -> Column:
+    """NaN or infinity: Spark orders NaN above all numbers."""
+    return F.col(column) >= F.lit(float("inf"))
+
+
 def negative(column: str) -> Rule:
-    return Rule(f"{column}_negative", F.col(column) < 0)
+    """Below zero, or no finite number at all."""
+    return Rule(f"{column}_negative", (F.col(column) < 0) | _no_number(column))
 
 
 def zero(column: str) -> Rule:
@@ -45,7 +51,8 @@ def above(column: str, limit: float, severity: Severity = Severity.CRITICAL) ->
 
 
 def below(column: str, limit: float) -> Rule:
-    return Rule(f"{column}_lt_{limit:g}", F.col(column) < limit)
+    """Below a limit, or no finite number at all."""
+    return Rule(f"{column}_lt_{limit:g}", (F.col(column) < limit) | _no_number(column))
 
 
 def not_positive(column: str) -> Rule:

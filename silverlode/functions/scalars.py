@@ -33,19 +33,31 @@ def money(column: str) -> Column:
 
 
 EXACT = "decimal(38,10)"
+#: Values nearer to zero than this are added up by themselves, SHIFT times as large.
+TINY, SHIFT = 1e-5, 1e20
 
 
 def exact_sum(column: str | Column) -> Column:
     """Sum that does not depend on the order of the rows: in decimal, to ten places.
 
-    Values of 10 ** 28 and more do not fit; they are added up as doubles, so none is lost. A sum that
-    leaves the range of the decimal fails the job.
+    Values below TINY are summed apart, to thirty places, so that a column of small numbers keeps its
+    digits. Values of 10 ** 28 and more, and smaller ones than 10 ** -30, are added up as doubles, so
+    none is lost. A sum that leaves the range of the decimal fails the job.
     """
     value = F.col(column) if isinstance(column, str) else column
-    fits = value.try_cast(EXACT)
-    exact = F.sum(fits).cast("double")
-    rest = F.sum(F.when(fits.isNull(), value.cast("double")))
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+    double = value.cast("double")
+    tiny = (F.abs(double) < F.lit(TINY)) & (double != 0)
+    shifted = F.when(tiny, (double * F.lit(SHIFT)).try_cast(EXACT))
+    fits = F.when(~tiny | value.isNull(), value.try_cast(EXACT))
+    parts = [
+        F.sum(fits).cast("double"),
+        F.sum(shifted).cast("double") / F.lit(SHIFT),
+        F.sum(F.when(F.coalesce(fits, shifted).isNull() | (tiny & (shifted == 0)), double)),
+    ]
+    total = F.coalesce(parts[0], F.lit(0.0))
+    for part in parts[1:]:
+        total = F.when(part.isNull(), total).otherwise(total + part)
+    return F.when(F.coalesce(*parts).isNotNull(), total)
 
 
 def exact_mean(column: str) -> Column:

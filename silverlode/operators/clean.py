@@ -64,19 +64,24 @@ def flag_type_errors(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def normalize_checked(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast, and keep with each row that lost a value the names of its columns and its original text.
 
-    Every value is cast once; the check compares what came in with what came out.
+    Every value is cast once; the check compares what came in with what came out. What an earlier check
+    found is kept: its columns come first, and its text of the row stays.
     """
     types = {c: t for c, t in types.items() if c in df.columns}
-    raw = {c: f"_raw_{i}" for i, c in enumerate(df.columns)}
+    found = [c for c in (TYPE_ERRORS, ORIGINAL) if c in df.columns]
+    raw = {c: f"_raw_{i}" for i, c in enumerate(df.columns) if c not in found}
     both = df.select(
         *[F.col(c).alias(r) for c, r in raw.items()],
         *[read_as(df, c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns],
     )
-    lost = {c: F.col(raw[c]).isNotNull() & F.col(c).isNull() for c in types}
+    names = names_where({c: F.col(raw[c]).isNotNull() & F.col(c).isNull() for c in types})
+    if TYPE_ERRORS in found:
+        names = F.concat_ws(", ", F.nullif(TYPE_ERRORS, F.lit("")), F.nullif(names, F.lit("")))
     text = F.to_json(F.struct(*[F.col(r).alias(c) for c, r in raw.items()]))
-    flagged = both.withColumn(TYPE_ERRORS, names_where(lost)).withColumn(
-        ORIGINAL, F.when(F.col(TYPE_ERRORS) != "", text)
-    )
+    original = F.when(F.col(TYPE_ERRORS) != "", text)
+    if ORIGINAL in found:
+        original = F.coalesce(ORIGINAL, original)
+    flagged = both.withColumn(TYPE_ERRORS, names).withColumn(ORIGINAL, original)
     return flagged.drop(*raw.values())
 
 

@@ -133,18 +133,3 @@ def partition_balance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per partition value, heaviest first."""
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), *columns)
-
-
-def partition_files(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Files and bytes per partition of a table read from files."""
-    located = df.select(
-        *columns,
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_size").alias("_size"),
-    )
-    files = located.groupBy(*columns, "_path").agg(
-        F.max("_size").alias("_size"), F.count(F.lit(1)).alias("_rows")
-    )
-    return files.groupBy(*columns).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("_size").alias("bytes"), F.sum("_rows").alias("n")
-    )

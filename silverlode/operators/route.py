@@ -26,7 +26,7 @@ from silverlode.operators.clean import (
     present_defaults,
 )
 from silverlode.operators.dedup import dedup
-from silverlode.sources.readers import CORRUPT, SOURCE_FILE
+from silverlode.sources.readers import CORRUPT, LINE, SOURCE_FILE
 
 COPIES = "_copies"
 HAD_NULLS = "_had_nulls"
@@ -154,7 +154,7 @@ class Routed:
             ERROR_MESSAGE,
             failed_at.alias(FAILED_AT),
             self._text(SOURCE_FILE).alias(SOURCE_FILE),
-            self._text(CORRUPT, ORIGINAL).alias(ORIGINAL),
+            self._text(ORIGINAL, CORRUPT).alias(ORIGINAL),
         )
 
     def step_counts(self) -> dict[str, Column]:
@@ -285,12 +285,14 @@ def _judge_again(letters, critical, fills, rules, on_null, keep_unreadable: bool
 
 
 def _row_of_text(types: dict[str, str], delimiter: str) -> Column:
-    """The columns of an unreadable row as text; NULL where its text has no such row."""
+    """The columns of an unreadable row as text; NULL where its text has no such row.
+
+    Text kept with its names is JSON; a bare line has the columns of ``types`` in that order.
+    """
     fields = ", ".join(f"`{c}` string" for c in types)
     original = F.col(ORIGINAL)
-    return F.when(
-        F.col(ERROR_TYPE) == ErrorType.TYPE_ERROR.value, F.from_json(original, fields)
-    ).when(
+    has_names = (F.col(ERROR_TYPE) == ErrorType.TYPE_ERROR.value) | F.get_json_object(original, f"$.{LINE}").isNotNull()
+    return F.when(_unreadable() & has_names, F.from_json(original, fields)).when(
         F.col(ERROR_TYPE) == ErrorType.SCHEMA_MISMATCH.value,
         F.from_csv(original, F.lit(fields), {"sep": delimiter}),
     )
@@ -301,8 +303,8 @@ def reread(
 ) -> DataFrame:
     """Read unreadable rows again from their original text, under corrected types.
 
-    Text kept by the type check is JSON, text kept by the reader is a delimited line whose columns are
-    those of ``types`` in that order. The result has one column per type, those to carry along, and
+    Text kept by the type check, or by a reader that knows the file's header, is JSON and read by name. A
+    bare line is delimited, and its columns are those of ``types`` in that order. The result has one column per type, those to carry along, and
     what the type check adds, and can be routed like any delivery.
     """
     text = dead_letters.select(_row_of_text(types, delimiter).alias("_row"), *carry).where(F.col("_row").isNotNull())

@@ -65,11 +65,12 @@ def classify_changes(diff: DataFrame, required: Sequence[str] = ()) -> DataFrame
     return diff.withColumn("change_class", kind)
 
 
-def schema_drift(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+def schema_drift(df: DataFrame, expected: dict[str, str], required: Sequence[str] = ()) -> DataFrame:
     """The diff between what is expected and ``df``, with its weight in the data.
 
     ``n_values`` counts the values in the column as delivered; ``n_unreadable`` those that cannot be
-    read as the expected type. All counts come from one pass.
+    read as the expected type. All counts come from one pass. ``required`` names the columns that must
+    hold a value, such as those a contract declares so: a new one among them breaks consumers.
     """
     actual = types_of(df.schema)
     names = list(dict.fromkeys([*expected, *actual]))
@@ -83,5 +84,5 @@ def schema_drift(df: DataFrame, expected: dict[str, str]) -> DataFrame:
         )
         counts.append(F.struct(F.lit(c).alias("_c"), present.alias("n_values"), lost.alias("n_unreadable")))
     weights = df.agg(F.array(*counts).alias("_w")).select(F.inline("_w"))
-    diff = classify_changes(schema_diff(df.sparkSession, expected, actual))
+    diff = classify_changes(schema_diff(df.sparkSession, expected, actual), required)
     return diff.join(weights, F.col("column") == F.col("_c")).drop("_c")

@@ -6,6 +6,7 @@ from silverlode.plans import (  # noqa: F401
     clean_queries,
     gold_queries,
     governance_queries,
+    lake_queries,
     layer_queries,
     profile_queries,
     rule_queries,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.functions.scalars import month_start
-from silverlode.operators import monitor, privacy, schema
+from silverlode.operators import monitor, privacy, renames, schema
 from silverlode.operators.privacy import PiiClass
 from silverlode.operators.route import ERROR_TYPE
 from silverlode.plans.inputs import dates_as_text, load, routed_trips, trips
@@ -174,6 +174,36 @@ def schema_change_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+WITH late AS (SELECT * FROM lineitem WHERE l_orderkey % 2 = 1)
+SELECT 'renamed' AS change, 'l_extendedprice' AS old, 'price' AS new, 'breaking' AS change_class, COUNT(l_extendedprice) AS n_values FROM late
+UNION ALL SELECT 'renamed', 'l_quantity', 'pieces', 'breaking', COUNT(l_quantity) FROM late
+UNION ALL SELECT 'renamed', 'l_shipdate', 'shipped', 'breaking', COUNT(l_shipdate) FROM late
+UNION ALL SELECT 'removed', 'l_tax', NULL, 'breaking', CAST(0 AS BIGINT)
+UNION ALL SELECT 'added', NULL, 'fee', 'non_breaking', COUNT(l_partkey) FROM late
+UNION ALL SELECT 'new code', 'l_returnflag', l_returnflag, 'non_breaking', COUNT(*) FROM late WHERE l_returnflag <> 'N' GROUP BY l_returnflag
+"""
+)
+def schema_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One half of the lines against the other, in which three columns have new names and one was replaced.
+
+    Codes that an agreed domain lacks are listed with them.
+    """
+    lines = load(spark, sf_dir, "lineitem")
+    before, late = lines.where("l_orderkey % 2 = 0"), lines.where("l_orderkey % 2 = 1")
+    names = {"l_extendedprice": "price", "l_quantity": "pieces", "l_shipdate": "shipped"}
+    after = late.withColumn("fee", F.col("l_partkey") * 100.0 + 7.0).drop("l_tax").withColumnsRenamed(names)
+    changes = renames.as_frame(spark, renames.find_renames(before, after)).drop("score")
+    filled = after.agg(*[F.count(c).alias(c) for c in after.columns]).unpivot([], after.columns, "_column", "_n")
+    told = changes.join(filled, F.col("new") == F.col("_column"), "left")
+    told = told.select("change", "old", "new", "change_class", F.coalesce("_n", F.lit(0)).alias("n_values"))
+    codes = renames.new_codes(after, {"l_returnflag": ("N",)})
+    return told.unionAll(
+        codes.select(F.lit("new code"), F.col("column"), F.col("code"), F.col("change_class"), F.col("n"))
+    )
+
+
 _MONTHLY = """
 SELECT strftime(date_trunc('month', tpep_pickup_datetime), '%Y-%m-%d') AS month, COUNT(*) AS total,
   COUNT(*) FILTER (WHERE error_type IS NOT NULL) AS failed,

@@ -7,6 +7,8 @@ import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,14 +24,14 @@ from silverlode.functions.contract import (
 )
 from silverlode.functions.predicates import any_of, count_where
 from silverlode.functions.rules import Rule, cleaning_rules, contract_rules
-from silverlode.functions.scalars import ntz
+from silverlode.functions.scalars import hashed, ntz
 from silverlode.operators.dedup import dedup
 from silverlode.operators.gold import daily_revenue_by_zone
 from silverlode.operators.monitor import MAX_FAILURE, MAX_MINUTES, band_of
-from silverlode.operators.privacy import PiiClass, apply_policy
+from silverlode.operators.privacy import PiiClass, sealed, unsealed
 from silverlode.operators.route import ERROR_TYPE, FAILED_AT, Routed, reprocess, route
 from silverlode.operators.validate import require_columns
-from silverlode.session import delete_path, scratch_path
+from silverlode.session import delete_path, hide, scratch_path
 from silverlode.sinks.writers import (
     with_dead_letter_folders,
     with_year_month,
@@ -172,6 +174,9 @@ def run(
     its critical rules decide rows as the cleaning rules do, and rows that only earn a warning are
     counted. ``zones`` does the same for unknown zone keys. If more than ``halt_above`` percent of the
     rows fail, only the dead letters and the row of the history are written and the run stops.
+
+    A ``policy`` holds for the dead letters too; the original text of rows that could not be read is
+    encrypted with the salt, or left out without one. Plans and logs don't show the salt.
     """
     started = time.monotonic()
     if contract:
@@ -191,24 +196,24 @@ def run(
         validate_first=validate_first,
     )
     routed = Routed(routed.rows.drop(*helpers), run_ts)
-    path = scratch_path(spark, "routed")
+    path, show = scratch_path(spark, "routed"), hide(spark, salt)
     try:
         staged, counts = stage(spark, routed, path, [r for r in rules if r.severity is Severity.WARNING])
-        write_dead_letters(_layer(staged, "dead_letters").dead_letters, letters_path, by_run=True)
+        letters = sealed(_layer(staged, "dead_letters").dead_letters, policy or {}, salt)
+        write_dead_letters(letters, letters_path, by_run=True)
         total = counts["input_rows"]
         failure_rate = counts["dlq_rows"] * 100.0 / total if total else 0.0
         halted = halt_above is not None and failure_rate > halt_above
         if not halted:
             silver = _layer(staged, "silver").silver
-            if policy:
-                silver = apply_policy(silver, policy, salt=salt)
-            silver = with_year_month(silver, "tpep_pickup_datetime")
+            silver = with_year_month(sealed(silver, policy or {}, salt), "tpep_pickup_datetime")
             months = set(months_in(read_layer(spark, silver_path))) if layers.gold else set()
             write_parquet(silver, silver_path, partition_by=("year", "month"))
             if layers.gold:
                 months |= set(months_in(spark.read.schema(silver.schema).parquet(silver_path)))
                 rebuild_gold(spark, layers.silver, layers.gold, sorted(months))
     finally:
+        show()
         delete_path(spark, path)
 
     metrics = {
@@ -250,6 +255,7 @@ def reprocess_dead_letters(
     their own delivery, unless a row with the same ``keys`` is there already: so a second run after one
     that broke off adds nothing twice, and neither does a trip that came in two deliveries. Aggregates
     and history follow. The dead letters are replaced last; until then they are all where they were.
+    With a ``policy`` the dead letters hold no raw ids; their text is read with the ``salt``.
     """
     started = time.monotonic()
     letters = read_layer(spark, layers.dead_letters)
@@ -257,8 +263,11 @@ def reprocess_dead_letters(
         return {"recovered_rows": 0, "added_rows": 0, "dlq_rows": 0}
     folders = [DELIVERY, *DEAD_LETTER_FOLDERS]
     before = {tuple(r) for r in letters.select(*folders).distinct().collect()}  # a row per run and delivery
+    letters = letters.drop(*DEAD_LETTER_FOLDERS)
+    if policy and salt:
+        letters = unsealed(letters, salt)
     routed = reprocess(
-        letters.drop(*DEAD_LETTER_FOLDERS),
+        letters,
         critical,
         FILL_DEFAULTS if fills is None else fills,
         rules,
@@ -266,13 +275,11 @@ def reprocess_dead_letters(
         types=types,
         delimiter=delimiter,
     )
-    path, fresh_path = scratch_path(spark, "routed"), scratch_path(spark, "fresh")
+    path, fresh_path, show = scratch_path(spark, "routed"), scratch_path(spark, "fresh"), hide(spark, salt)
     try:
         staged, counts = stage(spark, routed, path)
         recovered = _layer(staged, "silver").silver
-        if policy:
-            recovered = apply_policy(recovered, policy, salt=salt)
-        recovered = with_year_month(recovered, "tpep_pickup_datetime")
+        recovered = with_year_month(sealed(recovered, policy or {}, salt), "tpep_pickup_datetime")
         months = months_in(recovered)
         fresh = _not_yet_there(recovered, read_layer(spark, layers.silver), keys, months)
         fresh.write.parquet(fresh_path)  # the clean layer is read here, so it is not yet written
@@ -281,7 +288,7 @@ def reprocess_dead_letters(
         write_parquet(fresh, layers.silver, mode="append", partition_by=(DELIVERY, "year", "month"))
         if layers.gold:
             rebuild_gold(spark, layers.silver, layers.gold, months)
-        rest = _layer(staged, "dead_letters").dead_letters
+        rest = sealed(_layer(staged, "dead_letters").dead_letters, policy or {}, salt)
         write_dead_letters(rest, layers.dead_letters, by_run=True, first=(DELIVERY,), dynamic=True)
         left = rest.select(DELIVERY, FAILED_AT)
         left = {tuple(r) for r in with_dead_letter_folders(left, FAILED_AT).select(*folders).distinct().collect()}
@@ -289,6 +296,7 @@ def reprocess_dead_letters(
             folder = "/".join(f"{name}={value}" for name, value in zip(folders, gone, strict=True))
             delete_path(spark, f"{layers.dead_letters}/{folder}")
     finally:
+        show()
         delete_path(spark, path)
         delete_path(spark, fresh_path)
     found = {"recovered_rows": counts["silver_rows"], "added_rows": added, "dlq_rows": counts["dlq_rows"]}
@@ -355,37 +363,57 @@ def rebuild_gold(
         delete_path(spark, f"{gold_path}/year={year}/month={month}")
 
 
-def erase_from_layers(spark: SparkSession, layers: Layers, subjects: DataFrame, key: str) -> int:
-    """Rewrite the folders of the clean layer that hold rows of the given subjects, without those rows.
+def erase_from_layers(
+    spark: SparkSession, layers: Layers, subjects: DataFrame, key: str, salt: str | None = None
+) -> dict[str, int]:
+    """Rewrite the folders of the clean layer and the dead letters that hold rows of the given subjects.
 
-    ``subjects`` has the keys in its first column. Only months and deliveries with a hit are read in
-    full and replaced; their aggregates are rebuilt. Returns the number of rows that went.
+    ``subjects`` has raw ids in its first column. ``key`` is the column with them; a layer that holds it
+    hashed, as ``<key>_hashed``, is compared by the hash with the given salt. Only folders with a hit
+    are read in full and replaced; the aggregates of their months are rebuilt. Returns the rows that
+    went, by layer. A lake in published versions finds the folders by an index (`plans.lake`).
     """
-    silver = read_layer(spark, layers.silver)
-    if silver is None:
-        return 0
-    folders = [DELIVERY, "year", "month"]
-    wanted = subjects.select(F.col(subjects.columns[0]).alias("_subject")).distinct()
-    hits = silver.join(wanted, F.col(key) == F.col("_subject"), "left_semi")
-    touched = hits.groupBy(*folders).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per folder
-    path = scratch_path(spark, "erased")
+    folders = {layers.silver: (DELIVERY, "year", "month"), layers.dead_letters: (DELIVERY, *DEAD_LETTER_FOLDERS)}
+    gone, months = {}, set()
+    for name, path in (("silver", layers.silver), ("dead_letters", layers.dead_letters)):
+        gone[name], touched = _erase_from(spark, path, folders[path], subjects, key, salt)
+        if name == "silver":
+            months = {(int(t["year"]), int(t["month"])) for t in touched}
+    if layers.gold and months:
+        rebuild_gold(spark, layers.silver, layers.gold, sorted(months))
+    return gone
+
+
+def _erase_from(
+    spark: SparkSession, path: str, parts: Sequence[str], subjects: DataFrame, key: str, salt: str | None
+) -> tuple[int, list[dict]]:
+    """Rows that went from one layer, and the folders that held them."""
+    rows = read_layer(spark, path)
+    if rows is None:
+        return 0, []
+    raw = F.col(subjects.columns[0]).cast("string")
+    known = f"{key}_hashed"
+    whose = F.col(known) if known in rows.columns else F.col(key).cast("string")
+    wanted = subjects.select((hashed(raw, salt) if known in rows.columns else raw).alias("_subject")).distinct()
+    hits = rows.join(wanted, whose == F.col("_subject"), "left_semi")
+    touched = [r.asDict() for r in hits.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).collect()]  # a row per folder
+    scratch = scratch_path(spark, "erased")
     try:
-        for delivery in sorted({r.delivery for r in touched}):
-            own = [(r.year, r.month) for r in touched if r.delivery == delivery]
-            kept = in_months(silver.where(F.col(DELIVERY) == delivery), own)
-            kept = kept.join(wanted, F.col(key) == F.col("_subject"), "left_anti")
-            kept.write.parquet(f"{path}/{delivery}")  # what is read can't be overwritten in place
-            rest = spark.read.schema(kept.schema).parquet(f"{path}/{delivery}")
-            left = set(months_in(rest))
-            write_parquet(rest, layers.silver, partition_by=folders, dynamic=True)
-            for year, month in sorted(set(own) - left):
-                delete_path(spark, f"{delivery_path(layers.silver, delivery)}/year={year}/month={month}")
+        for delivery in sorted({t[DELIVERY] for t in touched}):
+            own = [t for t in touched if t[DELIVERY] == delivery]
+            here = any_of(reduce(and_, [F.col(p) == t[p] for p in parts]) for t in own)
+            kept = rows.where(here).join(wanted, whose == F.col("_subject"), "left_anti")
+            kept.write.parquet(f"{scratch}/{delivery}")  # what is read can't be overwritten in place
+            rest = spark.read.schema(kept.schema).parquet(f"{scratch}/{delivery}")
+            left = {tuple(r) for r in rest.select(*parts).distinct().collect()}
+            write_parquet(rest, path, partition_by=parts, dynamic=True)
+            for t in own:
+                if tuple(t[p] for p in parts) not in left:
+                    delete_path(spark, "/".join([path, *[f"{p}={t[p]}" for p in parts]]))
     finally:
         if touched:
-            delete_path(spark, path)
-    if layers.gold and touched:
-        rebuild_gold(spark, layers.silver, layers.gold, sorted({(r.year, r.month) for r in touched}))
-    return sum(r.n for r in touched)
+            delete_path(spark, scratch)
+    return sum(t["n"] for t in touched), touched
 
 
 def append_metrics(spark: SparkSession, metrics: dict, path: str) -> None:

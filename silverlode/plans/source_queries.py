@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverlode.operators.clean import sample_rows
-from silverlode.operators.profile import partition_balance, partition_files
+from silverlode.functions.contract import ErrorType
+from silverlode.operators.clean import ORIGINAL, sample_rows
+from silverlode.operators.profile import partition_balance
+from silverlode.operators.route import ERROR_TYPE, reread
 from silverlode.plans.inputs import load, routed_trips
 from silverlode.plans.oracle import on_routed
 from silverlode.plans.registry import query, written_once
 from silverlode.session import scratch_path
 from silverlode.sinks import writers
-from silverlode.sources import readers
+from silverlode.sources import footers, readers
 
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 LINES = "SELECT *, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month FROM lineitem"
@@ -199,7 +202,8 @@ def scan_months_of_two_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         writers.write_parquet(orders.where(~early), f"{root}/late")
 
     root = written_once(spark, sf_dir, "orders-two-types", write)
-    return readers.read_months(spark, [f"{root}/early", f"{root}/late"], {"o_custkey": "bigint"})
+    months = readers.read_months(spark, [f"{root}/early", f"{root}/late"], {"o_custkey": "bigint"})
+    return months.select(*ORDER_COLUMNS.split(", "))
 
 
 @query(
@@ -311,8 +315,7 @@ def partition_balance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partition_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and bytes depend on how the table was written; what holds for any writing is compared."""
-    df = readers.read_parquet(spark, lines_by_month(spark, sf_dir))
-    files = partition_files(df, ["year", "month"])
+    files = footers.partition_files(spark, lines_by_month(spark, sf_dir), ["year", "month"])
     return files.select(
         "year", "month", "n", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > F.col("n")).alias("has_bytes")
     )
@@ -354,3 +357,53 @@ def prune_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prune_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = readers.read_parquet(spark, lines_by_month(spark, sf_dir))
     return df.select("l_extendedprice").where(F.col("l_extendedprice") > 50000)
+
+
+@query(
+    """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'abc' END AS unreadable, COUNT(*) AS n,
+  CAST(SUM(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_custkey END) AS BIGINT) AS keys
+FROM orders GROUP BY 1
+"""
+)
+def months_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries disagree on a type, and one of them holds text that is no number at all."""
+    orders = load(spark, sf_dir, "orders")
+    odd = orders.where("o_orderkey % 2 = 1 OR o_orderkey % 7 = 0")
+    text = F.when(F.col("o_orderkey") % 7 == 0, "abc").otherwise(F.col("o_custkey").cast("string"))
+
+    def write(root: str) -> None:
+        writers.write_parquet(odd.withColumn("o_custkey", text), f"{root}/odd")
+        writers.write_parquet(orders.where("o_orderkey % 2 = 0 AND o_orderkey % 7 <> 0"), f"{root}/even")
+
+    root = written_once(spark, sf_dir, "orders-type-errors", write)
+    both = readers.read_months(spark, [f"{root}/odd", f"{root}/even"], {"o_custkey": "bigint"})
+    kept = F.get_json_object("_original_record", "$.o_custkey")
+    unreadable = F.when(F.col("_type_errors") == "o_custkey", kept)
+    return both.groupBy(unreadable.alias("unreadable")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("o_custkey"), F.lit(0)).alias("keys")
+    )
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 5 = 0")
+def reread_other_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that could not be read are read again by the names of their file's header.
+
+    The file has its columns in another order than the schema, and words where numbers should be.
+    """
+    orders = load(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("EUR"), F.col("o_totalprice").cast("string")))
+    lines = orders.select(
+        F.coalesce(price, F.col("o_totalprice").cast("string")).alias("o_totalprice"), "o_custkey", "o_orderkey"
+    )
+    path = written_once(spark, sf_dir, "orders-other-order", lambda p: writers.write_csv(lines, p))
+    schema = T.StructType(
+        [T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType())]
+    )
+    read = readers.read_csv(spark, path, schema, keep_corrupt=True, keep_named=True)
+    letters = read.where(F.col(readers.CORRUPT).isNotNull()).select(
+        F.lit(ErrorType.SCHEMA_MISMATCH.value).alias(ERROR_TYPE), ORIGINAL
+    )
+    again = reread(letters, {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "string"}, carry=())
+    number = F.regexp_replace("o_totalprice", "^EUR", "").cast("double")
+    return again.select("o_orderkey", "o_custkey", number.alias("o_totalprice"))

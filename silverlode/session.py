@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -55,11 +57,21 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def hide(spark: SparkSession, secret: str | None) -> Callable[[], None]:
+    """Have plans and event logs show a placeholder for the secret, until the returned function is called."""
+    name = "spark.sql.redaction.string.regex"
+    told = spark.conf.get(name, None)
+    if not secret:
+        return lambda: None
+    spark.conf.set(name, f"{told}|{re.escape(secret)}" if told else re.escape(secret))
+    return lambda: spark.conf.set(name, told) if told else spark.conf.unset(name)
+
+
 _owned: set[str] = set()
 
 
@@ -70,7 +82,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     folder = f"{scratch_root(spark)}/silverlode-{spark.sparkContext.applicationId}"
     if folder not in _owned:
-        fs, target = _file_system(spark, folder)
+        fs, target = file_system(spark, folder)
         fs.mkdirs(target)
         fs.deleteOnExit(target)
         _owned.add(folder)
@@ -79,5 +91,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this engine wrote, on whichever file system holds it."""
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.delete(target, True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.scalars import day_of
 from silverlode.session import delete_path
+from silverlode.sources.footers import file_list
 
 CODECS = ("snappy", "gzip", "zstd", "none")
 
@@ -125,11 +126,11 @@ def drop_expired_days(
 ) -> list[str]:
     """Retention on a table partitioned by year, month and day: the folders older than allowed.
 
-    Only partition values are read, one row per day; with ``dry_run=False`` the folders go.
+    Files are listed and none is opened, one row per day; with ``dry_run=False`` the folders go.
     """
     day = F.make_date("year", "month", "day")
     expired = (
-        spark.read.parquet(path)
+        file_list(spark, path)
         .select("year", "month", "day")
         .distinct()
         .where(day < F.date_sub(F.lit(as_of).cast("date"), keep_days))

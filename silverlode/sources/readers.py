@@ -7,15 +7,18 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.operators.clean import ORIGINAL, normalize_checked
+
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
+#: The whole line among the values of a row that could not be read.
+LINE = "_line"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-# Types a column may have in some files, from narrow to wide; any other one is wider still.
-WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp_ntz", "timestamp", "string")
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 Paths = str | Sequence[str]
@@ -73,6 +76,15 @@ def _judged_by_all_columns(df: DataFrame) -> DataFrame:
     return df.withColumn(CORRUPT, F.when(F.hash(*columns) >= F.lit(-(1 << 31)), F.col(CORRUPT)))
 
 
+def _named(line: Column, names: Sequence[str]) -> Column:
+    """A line's values as text by the names of its file's header, as JSON; values beyond go by number."""
+    spare = [f"_more_{i}" for i in range(8)]
+    fields = ", ".join(f"`{n}` string" for n in [*names, *spare])
+    values = F.from_csv(line, F.lit(fields))
+    told = F.to_json(F.struct(*[values.getField(n).alias(n) for n in [*names, *spare]], line.alias(LINE)))
+    return F.when(line.isNotNull(), told)
+
+
 def read_csv(
     spark: SparkSession,
     paths: Paths,
@@ -83,6 +95,7 @@ def read_csv(
     encoding: str = "UTF-8",
     timestamp_format: str = TIMESTAMP_FORMAT,
     lineage: bool = False,
+    keep_named: bool = False,
 ) -> DataFrame:
     """Delimited text with an explicit schema; without one the types are inferred by an extra pass.
 
@@ -91,12 +104,16 @@ def read_csv(
     the result, so that a contract can refuse it. The order is that of the first file; a file with
     another header fails when it is read. Without a header columns go by position.
 
-    ``keep_corrupt`` adds the raw text of rows that do not fit the schema as ``_corrupt_record``.
+    ``keep_corrupt`` adds the raw text of rows that do not fit the schema as ``_corrupt_record``, and
+    ``keep_named`` also the values of such a row by the names of the file's header, as JSON in
+    ``_original_record``; the line itself is in it as ``_line``. So the row can be read again by name.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     if schema is None and keep_corrupt:
         raise ValueError("corrupt records can be kept only with an explicit schema")
+    if keep_named and not (keep_corrupt and header):
+        raise ValueError("names come from the header of a file whose corrupt records are kept")
     reader = _csv_reader(spark, header, mode, encoding, timestamp_format)
     wanted = None
     if schema is None:
@@ -119,6 +136,9 @@ def read_csv(
     if lineage:
         df = with_source_file(df)
         wanted = wanted and [*wanted, SOURCE_FILE]
+    if keep_named:
+        df = df.withColumn(ORIGINAL, _named(F.col(CORRUPT), [n.strip() for n in names]))
+        wanted = [*wanted, ORIGINAL]
     return df.select(*wanted) if wanted else df
 
 
@@ -161,14 +181,33 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _common_type(kinds: set[str]) -> str:
+    """A type that holds every value of all the given ones; text where no other does."""
+    whole = [k for k in kinds if k in WHOLE_TYPES]
+    if len(whole) == len(kinds):
+        return max(whole, key=WHOLE_TYPES.index)
+    return "double" if kinds <= {"float", "double", "tinyint", "smallint", "int"} else "string"
+
+
+def _as_text(name: str, kind: str) -> Column:
+    """A value as text that reads back as the same value; whole numbers look alike in all types."""
+    value = F.col(name)
+    if kind not in ("float", "double"):
+        return value.cast("string")
+    value = value.cast("double")
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(float(1 << 53)))
+    return F.when(whole, value.try_cast("bigint").cast("string")).otherwise(value.cast("string"))
+
+
 def read_months(
     spark: SparkSession, paths: Paths, types: dict[str, str] | None = None, lineage: bool = False
 ) -> DataFrame:
     """Several deliveries as one table, given as files, folders or a mix.
 
     Columns that appear later are NULL in earlier files. Where files disagree on a column's type, files
-    of one schema are read together and the column is cast to its type in ``types``, else to the wider
-    one of the types found.
+    of one schema are read together. A column that ``types`` names is then cast as ``normalize_checked``
+    does, file by file: a value that cannot be read is named in ``_type_errors``, and the row's text is
+    kept. Any other column gets a type that holds the values of all files, text where no other does.
     """
     try:
         return read_parquet(spark, paths, merge_schema=True, lineage=lineage)
@@ -179,12 +218,20 @@ def read_months(
     for file in spark.read.parquet(*_as_list(paths)).inputFiles():  # names only; a footer each below
         by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
     frames = [read_parquet(spark, files, lineage=lineage) for files in by_schema.values()]
-    types = dict(types or {})
+    checked, common = {}, {}
     for name in dict.fromkeys(c for f in frames for c in f.columns):
         kinds = {f.schema[name].dataType.simpleString() for f in frames if name in f.columns}
-        if len(kinds) > 1:
-            types.setdefault(name, max(kinds, key=lambda k: WIDER.index(k) if k in WIDER else len(WIDER)))
-        else:
-            types.pop(name, None)
-    cast = [f.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in f.columns]) for f in frames]
-    return union_by_name(cast)
+        if len(kinds) > 1 and types and name in types:
+            checked[name] = types[name]
+        elif len(kinds) > 1:
+            common[name] = _common_type(kinds)
+    united = []
+    for f in frames:
+        kinds = dict(f.dtypes)
+        cast = [
+            F.col(c) if common.get(c, kinds[c]) == kinds[c]
+            else (_as_text(c, kinds[c]) if common[c] == "string" else F.col(c).cast(common[c])).alias(c)
+            for c in f.columns
+        ]
+        united.append(normalize_checked(f.select(*cast), checked) if checked else f.select(*cast))
+    return union_by_name(united)

@@ -41,7 +41,7 @@ def test_csv_to_layers_and_back(spark, tmp_path, delivery):
     assert (found["schema_mismatch_rows"], found["business_rule_rows"]) == (1, 1)
     letters = spark.read.parquet(f"{tmp_path}/d")
     bad = letters.where(F.col("_error_type") == "schema_mismatch").first()
-    assert bad["_original_record"] == LINES[3] and bad["_source_file"].endswith("trips.csv")
+    assert json.loads(bad["_original_record"])["_line"] == LINES[3] and bad["_source_file"].endswith("trips.csv")
     words = ["--silver", f"{tmp_path}/s", "--dead-letters", f"{tmp_path}/d", "--run-ts", RUN_TS]
     moved = json.loads(command(spark, "reprocess", *words, "--max-passengers", "11"))
     assert moved == {"recovered_rows": 1, "added_rows": 1, "dlq_rows": 1}

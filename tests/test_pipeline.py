@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.contract import TRIP_CONTRACT
 from silverlode.functions.rules import cleaning_rules
+from silverlode.functions.scalars import hashed
+from silverlode.operators.clean import normalize_checked
 from silverlode.operators.privacy import PiiClass, assert_no_raw_columns
 from silverlode.plans import pipeline
 from silverlode.plans.inputs import routed_trips, trips
 from silverlode.plans.trips import AS_OF
+from trip_rows import GOOD
 
 POLICY = {"passenger_id": PiiClass.HIGH, "driver_id": PiiClass.HIGH}
 
@@ -148,20 +151,48 @@ def test_the_same_rows_in_two_deliveries_are_recovered_once(spark, small, tmp_pa
     assert spark.read.parquet(layers.metrics).where("status = 'reprocessed'").count() == 1
 
 
-def test_subjects_are_erased_from_the_folders_that_hold_them(spark, small, tmp_path):
+def test_subjects_are_erased_from_both_layers(spark, small, tmp_path):
     layers = layers_at(tmp_path)
-    pipeline.run(spark, trips(spark, small), layers, AS_OF, policy=POLICY)
-    before = pipeline.read_layer(spark, layers.silver)
-    gone = before.select("passenger_id_hashed").orderBy("passenger_id_hashed").limit(1).collect()
-    n_gone = before.where(F.col("passenger_id_hashed") == gone[0][0]).count()
-    n = before.count()
-    subjects = spark.createDataFrame([gone[0][0]], "string")
-    assert pipeline.erase_from_layers(spark, layers, subjects, "passenger_id_hashed") == n_gone > 0
-    after = pipeline.read_layer(spark, layers.silver)
-    assert after.count() == n - n_gone
-    assert after.where(F.col("passenger_id_hashed") == gone[0][0]).count() == 0
-    assert spark.read.parquet(layers.gold).agg(F.sum("trips")).first()[0] == n - n_gone
-    assert pipeline.erase_from_layers(spark, layers, subjects, "passenger_id_hashed") == 0
+    pipeline.run(spark, trips(spark, small), layers, AS_OF, policy=POLICY, salt="pepper of the test")
+    whose = trips(spark, small).groupBy("passenger_id").count().orderBy(F.desc("count"), "passenger_id").limit(1)
+    subjects = whose.select(F.col("passenger_id").cast("int"))
+    known = trips(spark, small).where(F.col("passenger_id") == whose.first()[0]).select(hashed("passenger_id", "pepper of the test")).first()[0]
+
+    def left(path):
+        rows = pipeline.read_layer(spark, path)
+        return rows.count(), rows.where(F.col("passenger_id_hashed") == known).count()
+
+    before = {path: left(path) for path in (layers.silver, layers.dead_letters)}
+    gone = pipeline.erase_from_layers(spark, layers, subjects, "passenger_id", salt="pepper of the test")
+    assert gone == {"silver": before[layers.silver][1], "dead_letters": before[layers.dead_letters][1]}
+    assert gone["silver"] > 0 and gone["dead_letters"] > 0
+    for path, (n, own) in before.items():
+        assert left(path) == (n - own, 0)
+    assert spark.read.parquet(layers.gold).agg(F.sum("trips")).first()[0] == before[layers.silver][0] - gone["silver"]
+    assert sum(pipeline.erase_from_layers(spark, layers, subjects, "passenger_id", salt="pepper of the test").values()) == 0
+
+
+def test_dead_letters_hold_no_raw_ids_and_can_be_read_again(spark, tmp_path):
+    later = "2024-01-01 00:00:00"
+    schema = "passenger_id string, trip_id bigint, fare_amount string"
+    rows = [(f"P{i}", i, "12.5" if i % 2 else "twelve") for i in range(6)]
+    types = {"trip_id": "bigint", "fare_amount": "double", "passenger_id": "string"}
+    bronze = normalize_checked(spark.createDataFrame(rows, schema), types)
+    bronze = bronze.withColumns({c: F.col(c) if c in bronze.columns else F.lit(v) for c, v in GOOD.items()})
+    layers = layers_at(tmp_path)
+    pipeline.run(spark, bronze, layers, later, policy={"passenger_id": PiiClass.HIGH}, salt="pepper", keys=["trip_id"])
+    letters = pipeline.read_layer(spark, layers.dead_letters)
+    assert letters.count() == 3 and "passenger_id" not in letters.columns
+    assert letters.where("_original_record LIKE '%P0%' OR _original_record IS NULL").count() == 0
+    assert "pepper" not in letters._jdf.queryExecution().toString()
+    moved = pipeline.reprocess_dead_letters(
+        spark, layers, later, cleaning_rules(later), policy={"passenger_id": PiiClass.HIGH}, salt="pepper",
+        keys=["trip_id"], types={**types, "fare_amount": "string"}, critical=["trip_id"],
+    )
+    assert moved["recovered_rows"] + moved["dlq_rows"] == 3
+    for path in (layers.silver, layers.dead_letters):
+        rows = pipeline.read_layer(spark, path)
+        assert rows is None or "passenger_id" not in rows.columns
 
 
 def test_unknown_zones_and_contract_rules_decide(spark, small, tmp_path):
