@@ -149,6 +149,8 @@ def duplicates(kept: Kept, docs: DataFrame, carry: list[str], id_column: str = "
     groups = groups.select(
         "blocks", "name", "group_size", F.col("first.id").alias("keep_id"), F.col("first.chunk").alias("_c"), F.col("first.place").alias("_p")
     )
+    # Read from files it is dealt anew for the join, and then the rows of a hot text can be split there.
+    groups = kept.write(groups, "groups")
     kept_row = (F.col("chunk") == F.col("_c")) & (F.col("place") == F.col("_p"))
     return rows.join(groups, ["blocks", "name"]).select(*carry, "keep_id", "group_size", kept_row.alias("kept"), "text_sha256")
 

@@ -277,7 +277,7 @@ def near_duplicates(
     codes = kept.write(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "codes")
     roots = kept.write(components(links(codes, distance)), "roots")
     joined = codes.join(roots, codes.fp == roots.node)
-    smallest = joined.groupBy("root").agg(F.min("least").alias("smallest"))
+    smallest = kept.write(joined.groupBy("root").agg(F.min("least").alias("smallest")), "smallest")
     named = roots.join(smallest, "root").select("node", "smallest")
     names = codes.join(named, codes.fp == named.node, "left").select(
         F.col("fp").alias("code"), F.coalesce("smallest", "least").alias("component_id")

@@ -60,7 +60,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node sends its larger neighbours, then its
     smaller ones, to the smallest of its neighbourhood. Both are a sum by node and a join, so a
-    node with very many neighbours is pre-aggregated before the shuffle and split in the join.
+    node with very many neighbours is pre-aggregated before the shuffle. The sums are written before
+    they are joined: read from files they are dealt anew, and the join can split a hot node.
     The nodes must be of a type that has an order; loops are allowed.
     """
     old = Kept()
@@ -68,7 +69,7 @@ def components(edges: DataFrame) -> DataFrame:
     told = _state(now)
     while True:
         new = Kept()
-        now = new.write(_small_star(_large_star(now)), "edges")
+        now = new.write(_small_star(new, _large_star(new, now)), "edges")
         old.drop()
         old = new
         before, told = told, _state(now)
@@ -89,15 +90,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed)).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(kept: Kept, edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("u")).agg(F.min(F.least("a", "b")).alias("m"))
-    larger = both.where("b > a").join(least, F.col("a") == F.col("u"))
+    larger = both.where("b > a").join(kept.write(least, "least"), F.col("a") == F.col("u"))
     return _pairs(larger.select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+def _small_star(kept: Kept, edges: DataFrame) -> DataFrame:
+    edges = kept.write(edges, "large")
+    least = kept.write(edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), "least")
     joined = edges.join(least, F.col("a") == F.col("u"))
     moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _pairs(moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))

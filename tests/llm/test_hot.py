@@ -1,0 +1,65 @@
+"""Joins in which one key has most rows are split, with thresholds that suit small tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from silverlode.llm import naming
+from silverlode.llm.tables import Kept, _large_star, _small_star, components
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "12",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    saved = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in saved.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_text(small_limits):
+    spark = small_limits
+    ids = spark.range(30_000).repartition(12)
+    text = F.when(F.col("id") % 3 == 0, "one text").otherwise(F.concat(F.lit("text "), F.col("id")))
+    found = naming.duplicates(Kept(), ids.select(F.col("id").alias("doc_id"), text.alias("text")), ["doc_id"])
+    assert "skew=true" in final_plan(found)
+    assert found.where("group_size = 10000 AND kept").count() == 1
+
+
+def star(spark, leaves):
+    return spark.range(1, leaves + 1).repartition(12).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+
+
+def test_a_hot_node_in_the_large_star(small_limits):
+    """All edges end at the node 0, so its members meet there."""
+    kept = Kept()
+    edges = kept.write(star(small_limits, 30_000).unionByName(small_limits.range(50_000, 60_000).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))), "edges")
+    assert "skew=true" in final_plan(_large_star(kept, edges))
+
+
+def test_a_hot_node_in_the_small_star(small_limits):
+    kept = Kept()
+    hub = small_limits.range(1, 30_001).repartition(12).select(F.lit(10**6).cast("long").alias("a"), F.col("id").alias("b"))
+    edges = kept.write(hub.unionByName(small_limits.range(2 * 10**6, 2 * 10**6 + 9000).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))), "edges")
+    assert "skew=true" in final_plan(_small_star(kept, edges))
+
+
+def test_components_of_a_hub(small_limits):
+    edges = star(small_limits, 3000)
+    found = components(edges.unionByName(small_limits.range(9001, 9050).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))))
+    assert {(r.root, r.n) for r in found.groupBy("root").agg(F.count(F.lit(1)).alias("n")).collect()} == {(0, 3001), (9000, 50)}
