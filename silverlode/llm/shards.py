@@ -2,17 +2,19 @@
 
 Each node of the tree is cut at the weighted median along the dimension in which it is widest, until
 the leaves reach the target bytes. Dimensions are numbers on a common grid of 2 ** GRID steps
-between their least and largest value in the whole table; a string counts by its first bytes.
+between their least and largest value in the whole table; a string counts by its rank among all
+distinct ones.
 
 A median is found without sorting: sums of bytes in 2 ** STEP bins per node, then again inside the
 bin that holds the median, until that bin holds no more than the tolerance. Rows at one place of the
 grid (a source may hold a third of them) go on by the text's checksum, so that copies stay together
-where they can, and then by a hash of the id, so that a cut can also go through a large group. A
+where they can, and then by a hash of the row, so that a cut can also go through a large group. A
 level of the tree costs a few sums over small rows; only bounded tables of bins reach the driver.
 
 Defined results: a null text has no bytes, so size 1 and checksum 0; null, infinite or missing
-dimension values lie at the grid's start; rows equal in all keys stay in one shard; repeated rows
-are rows of their own; an empty table gives an empty table.
+dimension values lie at the grid's start; rows equal in all keys are cut apart only where the bytes
+ask for it; ids may be numbers or text; repeated rows are rows of their own; an empty table gives an
+empty table; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.llm.tables import Kept, running_sum
 
@@ -32,19 +35,24 @@ MOST_NODES = 256
 TOLERANCE = 1 / 2000
 
 
-def text_position(value: Column) -> Column:
-    """A number in the order of the strings' first six bytes."""
-    start = F.rpad(F.substring(F.hex(F.encode(F.substring(F.coalesce(value, F.lit("")), 1, 6), "UTF-8")), 1, 12), 12, "0")
-    return F.conv(start, 16, 10).cast("double")
+def ranked(kept: Kept, rows: DataFrame, column: str, into: str) -> DataFrame:
+    """rows with the rank of the column's value among its distinct values, from 1; null has none.
+
+    The distinct values are ranked by ranges, and joined back from files, so that a value that many
+    rows share can be split there.
+    """
+    values = rows.select(F.col(column).alias("_value")).where("_value IS NOT NULL").distinct()
+    ranks = kept.write(running_sum(kept, values, [], ["_value"], F.lit(1).cast("long"), into), "ranks")
+    return rows.join(ranks, F.col(column) == F.col("_value"), "left").drop("_value")
 
 
 def document_dimensions() -> dict[str, Column]:
-    """The metadata of documents: source, language, size and id."""
+    """The metadata of documents: source and language by rank, size and id."""
     return {
-        "source": text_position(F.col("source")),
-        "lang": text_position(F.col("lang")),
+        "source": F.col("_source_rank").cast("double"),
+        "lang": F.col("_lang_rank").cast("double"),
         "size": F.log2(F.col("size")),
-        "doc_id": F.col("doc_id").cast("double"),
+        "doc_id": F.col("_id_place").cast("double"),
     }
 
 
@@ -148,7 +156,8 @@ def kd_shards(
             place = F.floor((c - low) / (high - low) * ((1 << GRID) - 1)).cast("long")
             keys.append(F.coalesce(place, F.lit(0).cast("long")))
     tie = F.shiftright(F.col("text_crc32"), 32 - GRID)
-    salt = F.xxhash64("doc_id").bitwiseAND((1 << GRID) - 1)
+    # By row, so that a cut can also go through rows without an id; it is written with them.
+    salt = F.xxhash64("doc_id", F.monotonically_increasing_id()).bitwiseAND((1 << GRID) - 1)
     now = rows.select("*", *[k.alias(f"_x{i}") for i, k in enumerate(keys)], tie.alias("_tie"), salt.alias("_salt"))
     now = kept.write(now.withColumn("_node", F.lit(0).cast("long")), "keys")
     open_nodes, leaves = [_Node(0, 0, shards)], {}
@@ -219,6 +228,9 @@ def sharded(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE) -> D
     """
     kept = Kept()
     rows = kept.write(sized(docs), "sizes")
+    rows = ranked(kept, ranked(kept, rows, "source", "_source_rank"), "lang", "_lang_rank")
+    numeric = isinstance(rows.schema["doc_id"].dataType, T.NumericType)
+    rows = rows.withColumn("_id_place", F.col("doc_id")) if numeric else ranked(kept, rows, "doc_id", "_id_place")
     dealt = kd_shards(kept, rows, document_dimensions(), shards=shards, tolerance=tolerance)
     placed = running_sum(kept, dealt, ["shard"], ["doc_id", "size", "text_crc32"], F.lit(1).cast("long"), "slot")
     return placed.select(

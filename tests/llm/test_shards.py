@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from silverlode.llm import shards
 from silverlode.llm.tables import Kept
@@ -94,3 +95,31 @@ def test_target_bytes_give_the_number_of_shards(spark):
     df = spark.createDataFrame([(i, 10, i) for i in range(100)], "doc_id long, size long, text_crc32 long")
     got = shards.kd_shards(Kept(), df, {"id": df.doc_id}, target_bytes=130).collect()
     assert len({r.shard for r in got}) == 8
+
+
+def test_rows_without_ids_are_cut_too(spark):
+    """All rows agree in everything, the missing id included."""
+    _, size = check_table(spark, [(None, "one text", "s", "en")] * 4000)
+    assert max(size) - min(size) <= 0.02 * sum(size) / 8
+
+
+def test_text_ids_and_extra_columns(spark):
+    rows = [(f"id-{i:04d}", f"text {i}", "https://example.com/a", "en", i, "x") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string, lang string, size long, _node string")
+    got = shards.sharded(docs).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+    size = [sum(r["size"] for r in got if r.shard == s) for s in range(8)]
+    assert max(size) - min(size) <= 0.05 * sum(size)
+
+
+def test_sources_with_one_beginning_are_told_apart(spark):
+    """With no other difference the tree is cut between sources."""
+    kept = Kept()
+    rows = [(7, f"text {i % 10}", f"https://example.com/{i % 8}", "en") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    ranked = shards.ranked(kept, docs, "source", "place")
+    assert sorted({(r.source, r.place) for r in ranked.collect()}) == [(f"https://example.com/{k}", k + 1) for k in range(8)]
+    sizes = kept.write(shards.sized(docs), "sizes")
+    sizes = shards.ranked(kept, sizes, "source", "_source_rank")
+    dealt = shards.kd_shards(kept, sizes, {"source": F.col("_source_rank").cast("double")}, shards=8)
+    assert dealt.groupBy("source").agg(F.count_distinct("shard").alias("n")).where("n > 1").count() == 0
