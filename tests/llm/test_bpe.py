@@ -1,0 +1,85 @@
+"""Encoding and decoding against the tokenizers library."""
+
+import hashlib
+import random
+
+import pytest
+from tokenizers import Tokenizer
+
+from silverlode.llm import bpe
+from silverlode.llm.queries import VOCABULARY
+
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute(rows):
+    out = []
+    for doc_id, text in rows:
+        ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+        decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+        out.append((doc_id, len(ids), sha(" ".join(map(str, ids))), sha(decoded)))
+    return sorted(out, key=str)
+
+
+def check(spark, rows):
+    got = bpe.digests(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_documents(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    check(spark, [tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_special_tokens_and_blanks(spark):
+    texts = ["<|endoftext|>", "a<|startoftext|>b <|endoftext|>c", "<|endoftext|", "<|x|>", "< |endoftext|>", " \t\n\r\x0b\x0c ", "a　b c\x85d\x1ce\x1ff"]
+    texts += ["it's they'll WE'VE 'twas", "1234 5a6 ½ ², ٣", "!!! ... ?! -- __ $%&", "ǅ ß ſ İ ı Σ σς", "é É Å ﬁ", "\x00\x01", "\U0001f468‍\U0001f469 \U0001f600"]
+    check(spark, [*enumerate(texts), *enumerate(texts)])
+
+
+def test_random_unicode(spark):
+    pick = random.Random(11)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x530), (0x590, 0x700), (0x900, 0xE00), (0x2000, 0x2100), (0x3040, 0x3100), (0x4E00, 0x4F00), (0xAC00, 0xAC80), (0x1F600, 0x1F640)]
+    texts = ["".join(chr(pick.randrange(*pick.choice(ranges))) if pick.random() > 0.2 else " " for _ in range(60)) for _ in range(800)]
+    check(spark, [*enumerate(texts)])
+
+
+def test_null_empty_long_and_repeated(spark):
+    pick = random.Random(12)
+    words = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyzäéñ", k=pick.randint(1, 9))) for _ in range(400)]
+    rows = [(1, None), (2, ""), (3, "x" * 30_000), (4, " ".join(pick.choices(words, k=50_000))), (None, "no id"), (5, "twice"), (5, "twice")]
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)]])
+def test_tiny_tables(spark, rows):
+    check(spark, rows)
+
+
+def test_ids_and_text_as_columns(spark):
+    docs = spark.createDataFrame([(1, "Hello, World!", 7), (2, None, 8)], "doc_id long, text string, ids long")
+    both = bpe.decode(bpe.encode(docs, VOCABULARY, into="tokens"), VOCABULARY, "tokens", "said")
+    got = {r.doc_id: r for r in both.collect()}
+    want = LIBRARY.encode("Hello, World!", add_special_tokens=False).ids
+    assert got[1].tokens == want and got[1].said == LIBRARY.decode(want, skip_special_tokens=False) and got[1].ids == 7
+    assert got[2].tokens == [] and got[2].said == ""
+
+
+def test_the_queue_of_merges_gives_the_lowest_rank_first():
+    """Against merging the best pair of the whole list again and again."""
+    with open(VOCABULARY, encoding="utf-8") as file:
+        own = bpe.Bpe(file.read())
+    pick = random.Random(13)
+    for _ in range(300):
+        word = "".join(pick.choices("abcdeilnorst'é", k=pick.randint(1, 25)))
+        data = word.encode()
+        ids = [own.inner[b] for b in data[:-1]] + [own.last[data[-1]]]
+        while steps := [(own.merges[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in own.merges]:
+            (_, made), i = min(steps, key=lambda s: (s[0][0], s[1]))
+            ids[i : i + 2] = [made]
+        assert own.merge(word) == ids
