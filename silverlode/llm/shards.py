@@ -41,9 +41,9 @@ def ranked(kept: Kept, rows: DataFrame, column: str, into: str) -> DataFrame:
     The distinct values are ranked by ranges, and joined back from files, so that a value that many
     rows share can be split there.
     """
-    values = rows.select(F.col(column).alias("_value")).where("_value IS NOT NULL").distinct()
-    ranks = kept.write(running_sum(kept, values, [], ["_value"], F.lit(1).cast("long"), into), "ranks")
-    return rows.join(ranks, F.col(column) == F.col("_value"), "left").drop("_value")
+    values = rows.select(F.col(column).alias("_distinct")).where("_distinct IS NOT NULL").distinct()
+    ranks = kept.write(running_sum(kept, values, [], ["_distinct"], F.lit(1).cast("long"), into), "ranks")
+    return rows.join(ranks, F.col(column) == F.col("_distinct"), "left").drop("_distinct")
 
 
 def document_dimensions() -> dict[str, Column]:
