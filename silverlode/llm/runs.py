@@ -16,7 +16,7 @@ class RunStore:
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 600_000, most_chars: int = 16 << 20
+        self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 1_000_000, most_chars: int = 16 << 20
     ):
         self.encode, self.most, self.most_chars = encode, most, most_chars
         self.index: dict[str, int] = {}
