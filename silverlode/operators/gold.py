@@ -103,6 +103,33 @@ def rate_trend(df: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
+def _median(values: Column) -> Column:
+    """Median of a small array without NULLs; NULL for an empty one."""
+    ordered = F.array_sort(values)
+    size = F.size(values)
+    low = F.try_element_at(ordered, F.floor((size + 1) / 2).cast("int"))
+    high = F.try_element_at(ordered, F.floor(size / 2).cast("int") + 1)
+    return F.when(size > 0, (low + high) / F.lit(2.0))
+
+
+def versus_weekday(
+    df: DataFrame, value: str, weeks: int = 8, least: int = 4, spread: float = 3.0, scale: float = 1.4826
+) -> DataFrame:
+    """Each day against the same weekday of the preceding weeks, by medians, which one bad day can't move.
+
+    The input has one row per day. A day is flagged when it lies more than ``spread`` deviations from
+    the median; the deviation is the median distance from it, times ``scale``, which makes it that of a
+    normal distribution. With fewer than ``least`` days to compare nothing is flagged.
+    """
+    before = Window.partitionBy(F.dayofweek("day")).orderBy("day").rowsBetween(-weeks, -1)
+    past = df.withColumn("_past", F.collect_list(F.col(value).cast("double")).over(before))
+    seen = past.withColumn("baseline", _median(F.col("_past")))
+    apart = F.transform("_past", lambda x: F.abs(x - F.col("baseline")))
+    seen = seen.withColumn("deviation", _median(apart) * F.lit(scale))
+    far = F.abs(F.col(value) - F.col("baseline")) > F.col("deviation") * F.lit(spread)
+    return seen.withColumn("alert", F.coalesce(far & (F.size("_past") >= least), F.lit(False))).drop("_past")
+
+
 def trips_per_subject(df: DataFrame, hashed_column: str) -> DataFrame:
     return df.groupBy(hashed_column).agg(F.count(F.lit(1)).alias("trips"))
 

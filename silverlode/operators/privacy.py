@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Sequence
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlode.functions.predicates import count_where
@@ -73,6 +73,44 @@ def unsealed(df: DataFrame, salt: str, text: str = "_original_record") -> DataFr
     return df.withColumn(text, F.try_aes_decrypt(F.unbase64(F.col(text)), _text_key(salt)).cast("string"))
 
 
+def generalised_codes(df: DataFrame, column: str, k: int, length: int) -> DataFrame:
+    """What to show of each code so that at least ``k`` rows share what is shown: (code, shown, n).
+
+    Codes get shorter by one character at a time, from ``length`` characters on. Those that share what
+    is left of them with k rows in all stay as they are; the others go on. What is left at the empty
+    code, if fewer than k, takes the smallest of the other groups along, the first by its code. NULL is
+    a code of its own kind: it is shown as the empty one. With fewer than k rows in all everything is.
+
+    Only codes with their counts are grouped, once per character.
+    """
+    code = F.col(column).cast("string")
+    open_codes = df.groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    shown = F.substring(F.coalesce("code", F.lit("")), 1, length)
+    now = open_codes.withColumns({"shown": shown, "_done": F.lit(False)})
+    for left in range(length, 0, -1):
+        # A code is judged at its own length, and again whenever it has lost a character.
+        here = ~F.col("_done") & (F.length("shown") == left)
+        total = F.sum(F.when(here, F.col("n"))).over(Window.partitionBy("shown", here))
+        now = now.withColumn("_total", total).withColumn("_done", F.col("_done") | (here & (F.col("_total") >= k)))
+        now = now.withColumn("shown", F.when(here & ~F.col("_done"), F.substring("shown", 1, left - 1)).otherwise(F.col("shown")))
+    groups = now.groupBy("shown").agg(F.sum("n").alias("_size"))
+    # One row: the rest's size, and the smallest other group.
+    rest = groups.agg(
+        F.coalesce(F.sum(F.when(F.col("shown") == "", F.col("_size"))), F.lit(0)).alias("_rest"),
+        F.min(F.when(F.col("shown") != "", F.struct("_size", "shown"))).alias("_least"),
+    )
+    told = rest.select(F.struct("_rest", F.col("_least.shown").alias("least")).alias("told")).scalar()
+    goes = (told["_rest"] > 0) & (told["_rest"] < k) & (F.col("shown") == told["least"])
+    return now.select("code", F.when(goes, "").otherwise(F.col("shown")).alias("shown"), "n")
+
+
+def generalise(df: DataFrame, column: str, k: int, length: int) -> DataFrame:
+    """The column with what ``generalised_codes`` shows of it, in every row."""
+    told = generalised_codes(df, column, k, length).select(F.col("code").alias("_code"), "shown")
+    joined = df.join(told, F.col(column).cast("string").eqNullSafe(F.col("_code")))
+    return joined.select(*[F.col("shown").alias(column) if c == column else F.col(c) for c in df.columns])
+
+
 def erase(
     df: DataFrame,
     subjects: DataFrame,

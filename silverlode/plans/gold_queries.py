@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.operators import gold, monitor, relations
+from silverlode.operators import gold, history, monitor, relations
 from silverlode.operators.privacy import pseudonymize
 from silverlode.plans.inputs import dates_as_text, load, routed_trips, trips
 from silverlode.plans.layer_queries import whole_layers
@@ -67,6 +67,53 @@ def revenue_vs_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(gold.versus_trailing(revenue, "revenue"))
 
 
+@query(
+    f"""
+WITH d AS (SELECT {day('l_shipdate')} AS day, dayofweek(MIN(l_shipdate)) AS weekday, COUNT(*) AS n,
+    {money_sum('l_extendedprice')} AS revenue FROM lineitem GROUP BY 1),
+p AS (SELECT *, coalesce(list(revenue) OVER (PARTITION BY weekday ORDER BY day ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), [])
+    AS past FROM d),
+b AS (SELECT *, len(past) AS k, list_sort(past) AS s FROM p),
+m AS (SELECT *, CASE WHEN k > 0 THEN (s[(k + 1) // 2] + s[k // 2 + 1]) / CAST(2 AS DOUBLE) END AS baseline FROM b),
+a AS (SELECT *, list_sort(list_transform(past, lambda x: abs(x - baseline))) AS t FROM m),
+v AS (SELECT *, CASE WHEN k > 0 THEN (t[(k + 1) // 2] + t[k // 2 + 1]) / CAST(2 AS DOUBLE) END * CAST(1.4826 AS DOUBLE)
+    AS deviation FROM a)
+SELECT day, n, revenue, baseline, deviation,
+  coalesce(abs(revenue - baseline) > deviation * CAST(3 AS DOUBLE) AND k >= 4, FALSE) AS alert FROM v
+"""
+)
+def seasonal_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily revenue against the medians of its weekday."""
+    revenue = gold.daily_revenue(load(spark, sf_dir, "lineitem"), "l_shipdate", "l_extendedprice")
+    return dates_as_text(gold.versus_weekday(revenue, "revenue"))
+
+
+@query(
+    """
+WITH z AS (SELECT CAST(l_partkey % 26 AS INT) AS zone, year(l_shipdate) AS y, COUNT(*) AS n FROM lineitem GROUP BY 1, 2),
+s AS (SELECT zone, 'grade ' || (n % 3) AS grade, y FROM z WHERE n % 7 <> 0),
+c AS (SELECT y, lead(y) OVER (ORDER BY y) AS until FROM (SELECT DISTINCT y FROM s)),
+f AS (SELECT *, CASE WHEN lag(grade) OVER w = grade AND lag(until) OVER w = y THEN 0 ELSE 1 END AS starts
+    FROM s JOIN c USING (y) WINDOW w AS (PARTITION BY zone ORDER BY y)),
+r AS (SELECT *, sum(starts) OVER (PARTITION BY zone ORDER BY y) AS run FROM f)
+SELECT zone, grade, min(y) || '-01-01' AS valid_from,
+  CASE WHEN NOT bool_or(until IS NULL) THEN max(until) || '-01-01' END AS valid_to FROM r GROUP BY zone, grade, run
+"""
+)
+def dim_zone_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which grade a zone had from when to when, from yearly deliveries; the grade comes from the zone's lines."""
+    lines = load(spark, sf_dir, "lineitem")
+    yearly = lines.groupBy((F.col("l_partkey") % 26).cast("int").alias("zone"), F.year("l_shipdate").alias("_year")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    shown = yearly.where("_n % 7 <> 0").select(
+        "zone",
+        F.concat(F.lit("grade "), F.col("_n") % 3).alias("grade"),
+        F.make_date("_year", F.lit(1), F.lit(1)).alias("day"),
+    )
+    return dates_as_text(history.validity(shown, "zone", ["grade"], "day"))
+
+
 @query(
     f"""
 WITH d AS ({REVENUE}), p AS (SELECT *, lag(revenue) OVER (ORDER BY day) AS previous FROM d)

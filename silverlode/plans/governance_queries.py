@@ -42,6 +42,41 @@ def apply_pii_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.apply_policy(load(spark, sf_dir, "customer"), policy, length=10)
 
 
+K, CODE_LENGTH = 40, 6
+
+
+def _generalised_sql() -> str:
+    """Level by level: groups of K rows are done, the others lose a character."""
+    steps = [
+        "WITH l6 AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS code, COUNT(*) AS n FROM lineitem GROUP BY 1),"
+        " s6 AS (SELECT code, n, code AS shown, FALSE AS done FROM l6)"
+    ]
+    for left in range(CODE_LENGTH, 0, -1):
+        steps.append(
+            f"t{left} AS (SELECT *, sum(n) OVER (PARTITION BY shown, done) AS total FROM s{left}),"
+            f" s{left - 1} AS (SELECT code, n, CASE WHEN done OR total >= {K} THEN shown ELSE substr(shown, 1, {left - 1}) END"
+            f" AS shown, done OR total >= {K} AS done FROM t{left})"
+        )
+    return (
+        ", ".join(steps)
+        + ", g AS (SELECT shown, CAST(SUM(n) AS BIGINT) AS n FROM s0 GROUP BY 1),"
+        + " r AS (SELECT coalesce((SELECT n FROM g WHERE shown = ''), 0) AS rest,"
+        + " (SELECT shown FROM g WHERE shown <> '' ORDER BY n, shown LIMIT 1) AS least)"
+        + f" SELECT CASE WHEN rest > 0 AND rest < {K} AND shown = least THEN '' ELSE shown END AS shown, CAST(SUM(n) AS BIGINT)"
+        + f" AS n, SUM(n) >= {K} AS enough FROM g, r GROUP BY 1"
+    )
+
+
+@query(_generalised_sql())
+def location_generalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes shortened until each is shared by forty rows, in place of a fixed length."""
+    lines = load(spark, sf_dir, "lineitem")
+    coded = lines.select(F.lpad(F.col("l_partkey").cast("string"), CODE_LENGTH, "0").alias("code"))
+    shown = privacy.generalise(coded, "code", K, CODE_LENGTH)
+    n = F.count(F.lit(1))
+    return shown.groupBy(F.col("code").alias("shown")).agg(n.alias("n"), (n >= K).alias("enough"))
+
+
 @query(
     on_trips(
         "SELECT trip_id, payment_type, passenger_id FROM trips WHERE passenger_id IS NULL OR passenger_id"

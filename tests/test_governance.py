@@ -3,6 +3,9 @@ from __future__ import annotations
 import datetime
 import hashlib
 
+import random
+from collections import Counter
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -245,3 +248,20 @@ def test_known_dimensions_go_to_the_facts(spark, small):
     # the three dimensions; the fourth join builds the trips
     assert sum("BroadcastHashJoin" in line for line in joins) >= 3
     assert not any("SortMergeJoin [vendor" in line or "SortMergeJoin [VendorID" in line for line in joins)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_codes_are_shared_by_enough_rows(spark, seed):
+    pick = random.Random(seed)
+    codes = ["".join(pick.choices("ab" if seed % 2 else "abcdef", k=pick.randint(0, 4))) for _ in range(150)] + [None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "id int, code string")
+    shown = {r.id: r.code for r in privacy.generalise(df, "code", 8, 4).collect()}
+    assert sorted(shown) == list(range(151)) and all((codes[i] or "").startswith(c) for i, c in shown.items())
+    sizes = Counter(shown.values())
+    assert min(sizes.values()) >= 8 and len(sizes) > 3
+
+
+def test_fewer_rows_than_asked_show_nothing(spark):
+    df = spark.createDataFrame([("abc",), ("abd",)], "code string")
+    assert [r.code for r in privacy.generalise(df, "code", 3, 3).collect()] == ["", ""]
+    assert privacy.generalise(df.where("false"), "code", 3, 3).count() == 0

@@ -1,0 +1,115 @@
+"""Validity intervals, weekday baselines, renames, exact sums."""
+
+from __future__ import annotations
+
+import datetime
+import random
+from fractions import Fraction
+from itertools import permutations
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from silverlode.functions.scalars import exact_mean, exact_sum
+from silverlode.operators import gold, history, renames
+
+DAYS = [f"2024-0{m}-01" for m in range(1, 7)]
+
+
+def deliveries(seed):
+    pick = random.Random(seed)
+    return [(k, pick.choice("ab"), pick.choice([None, 1]), d) for d in DAYS for k in range(8) if pick.random() < 0.8]
+
+
+def rows_of(df):
+    return sorted((tuple(map(str, r)) for r in df.collect()))
+
+
+def test_intervals_neither_overlap_nor_leave_gaps(spark):
+    shown = deliveries(1)
+    df = spark.createDataFrame(shown, "k int, a string, b int, d string")
+    found = history.validity(df.unionByName(df.where("k < 4")), "k", ["a", "b"], "d").collect()
+    for k, a, b, d in shown:
+        assert [(r.a, r.b) for r in found if r.k == k and r.valid_from <= d and (r.valid_to or "9") > d] == [(a, b)]
+    absent = {(k, d) for k in range(8) for d in DAYS} - {(k, d) for k, _, _, d in shown}
+    for k, d in absent:
+        assert not [r for r in found if r.k == k and r.valid_from <= d and (r.valid_to or "9") > d]
+
+
+def test_merging_one_by_one_gives_the_same_and_a_replay_changes_nothing(spark):
+    shown = deliveries(2)
+    df = spark.createDataFrame(shown, "k int, a string, b int, d string")
+    merged = history.validity(df.where(F.col("d") == DAYS[0]), "k", ["a", "b"], "d")
+    for d in DAYS[1:4]:
+        members = df.where(F.col("d") == d).drop("d")
+        merged = spark.createDataFrame(history.merge_delivery(merged, members, "k", ["a", "b"], d).collect(), merged.schema)
+        again = history.merge_delivery(merged, members, "k", ["a", "b"], d)
+        assert rows_of(again) == rows_of(merged)
+    assert rows_of(merged) == rows_of(history.validity(df.where(F.col("d") <= DAYS[3]), "k", ["a", "b"], "d"))
+
+
+def test_one_bad_day_does_not_move_the_weekday_baseline(spark):
+    start = datetime.date(2024, 1, 1)
+    rows = [(start + datetime.timedelta(i), float(100 * (1 + i % 7) + i % 3)) for i in range(140)]
+    rows[63] = (rows[63][0], 9e9)
+    rows[84] = (rows[84][0], 5.0)
+    got = {r.day: r for r in gold.versus_weekday(spark.createDataFrame(rows, "day date, value double"), "value").collect()}
+    assert [d for d in sorted(got) if got[d].alert] == [rows[63][0], rows[84][0]]
+    assert got[rows[77][0]].baseline < 110 and got[rows[0][0]].baseline is None
+
+
+def test_renames_are_told_by_what_columns_hold(spark):
+    pick = random.Random(3)
+    rows = [(i, pick.gauss(50, 9), pick.choice(["NY", "LA", "SF"]), pick.choice([None, True]), f"note {i}") for i in range(400)]
+    before = spark.createDataFrame(rows[:200], "id int, fare double, city string, tip boolean, note string")
+    after = spark.createDataFrame(rows[200:], "id int, price double, town string, tipped boolean, remark string").withColumn("extra", F.lit(3.0))
+    found = {(c.change, c.old, c.new, c.change_class) for c in renames.find_renames(before, after, required=["extra"])}
+    assert found == {
+        ("renamed", "fare", "price", "breaking"),
+        ("renamed", "city", "town", "breaking"),
+        ("renamed", "tip", "tipped", "breaking"),
+        ("removed", "note", None, "breaking"),
+        ("added", None, "remark", "non_breaking"),
+        ("added", None, "extra", "breaking"),
+    }
+    empty = before.where("false")
+    assert {c.change for c in renames.find_renames(empty, after.where("false"))} <= {"renamed", "removed", "added"}
+
+
+@given(st.dictionaries(st.tuples(st.sampled_from("abcd"), st.sampled_from("wxyz")), st.floats(0, 1), max_size=16))
+def test_the_assignment_is_the_best_one(scores):
+    found = renames.assignment(scores, 0.5)
+    assert all(scores[p] >= 0.5 for p in found.items()) and len(set(found.values())) == len(found)
+    total = sum(scores[p] for p in found.items())
+    best = 0.0
+    for order in permutations("wxyz"):
+        best = max(best, sum(s for p in zip("abcd", order, strict=True) if (s := scores.get(p, 0.0)) >= 0.5))
+    assert total == pytest.approx(best)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [4e-11, 4e-11],
+        [1e-20, 3e-20, -2e-20, 1e-12],
+        [1e-40, 2e-40],
+        [0.1] * 10,
+        [1e29, 1.5, 2e-9],
+        [0.0, None, -0.0],
+        [12.34, 1e-7, -12.34],
+    ],
+)
+def test_sums_against_fractions(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    total, mean = rows.agg(exact_sum("v"), exact_mean("v")).first()
+    # A double stands for the decimal number that it is written as.
+    parts = [Fraction(repr(v)) for v in values if v is not None]
+    assert total == pytest.approx(float(sum(parts)), rel=1e-14) and mean == pytest.approx(float(sum(parts) / len(parts)), rel=1e-14)
+
+
+def test_sums_of_what_is_no_number(spark):
+    rows = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert str(rows.agg(exact_sum("v")).first()[0]) == "nan"
+    assert spark.createDataFrame([(None,)], "v double").agg(exact_sum("v")).first()[0] is None
