@@ -43,5 +43,5 @@ def test_plan(without_broadcast, small, name):
     assert [word for word in FORBIDDEN if word in plan] == []
     # One task may receive only partial aggregates, or the daily figures that a window over days needs.
     daily = name in ("revenue_vs_7d", "dlq_rate_vs_baseline")
-    allowed = {"HashAggregate", "Project"} if daily else {"HashAggregate"}
+    allowed = {"HashAggregate", "SortAggregate"} | ({"Project"} if daily else set())
     assert set(single_partition_inputs(plan)) <= allowed

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlode.session import delete_path, scratch_path, scratch_root
 from silverlode.sinks import writers
+from silverlode.sources import footers
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,17 @@ def test_scratch_follows_the_session(spark):
     assert a != b and a.startswith(root)
     spark.range(3).write.parquet(a)
     assert delete_path(spark, a) and not delete_path(spark, a)
+
+
+def test_figures_of_a_table_open_no_column(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    writers.write_parquet(spark.range(100).selectExpr("id", "CAST(id % 4 AS INT) AS m"), path, partition_by=["m"])
+    counted = footers.row_counts(spark, path, ["m"])
+    plan = plan_of(counted)
+    assert "PushedAggregation: [COUNT(*)]" in plan and "id" not in plan.split("ReadSchema")[1].split("\n")[0]
+    listed = footers.file_list(spark, path)
+    assert "ReadSchema: struct<length:bigint>" in plan_of(listed.select("m", "length")) or "content" not in plan_of(listed.select("m", "length")).split("ReadSchema")[1]
+    found = {r.m: (r.n, r.files, r.bytes > 0) for r in footers.partition_files(spark, path, ["m"]).collect()}
+    assert found == {m: (25, 1, True) for m in range(4)}
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    assert footers.row_counts(spark, path).first().n == 100
