@@ -6,10 +6,11 @@ template has rewritten history, and the turn is reported so. Inside a span, the
 by rendering a probe character in its stead; that of an assistant's text is the loss mask.
 
 Prefixes are rendered whole, so a rewrite of any earlier turn is seen, and a template may look at the
-position, number and order of turns. That costs the square of a conversation's turns. A template may
-say by its context that it looks at no turns but the first and the last few. It is taken at its word
-for conversations of over FEW turns only, and only where the pieces found so make up what it renders
-of the whole conversation; else whole prefixes are rendered. A conversation is held by one task.
+position, number and order of turns. That costs the square of a conversation's turns, and holds for
+conversations of any length. A template may say by its context that it looks at no turns but the first
+and the last few. Its pieces are then found from those, and count only if they make up what it renders
+of the prefixes in CHECKED, whatever the number of turns; else whole prefixes are rendered. A
+conversation is held by one task.
 
 Defined results: a null text is empty, a null role is the empty role; turns are ordered by turn
 number, then role, then text, nulls first; repeated rows are turns of their own; rows with a null
@@ -33,15 +34,16 @@ from silverlode.llm.arrow import bounded
 Turn = tuple[str, str]
 #: A character that stands in for a text when its place is sought.
 PROBE = "￿"
-#: Conversations of so many turns are rendered by whole prefixes, whatever the template says.
-FEW = 32
+#: Of a template with a context the prefixes of so many turns are rendered whole, then each twice as long, then all turns.
+CHECKED = 8
 
 
 @dataclass(frozen=True)
 class Template:
     """render: turns to output; read: the turns of an output; unescape: a text as it was before.
 
-    context: a turn's output depends on the first turn and this many before it only; None if unknown.
+    context: a turn's output depends on the first turn and this many before it only, and a later turn never
+    changes it; None if unknown. What is said falsely is seen at the prefixes that are checked.
     """
 
     render: Callable[[list[Turn]], str]
@@ -96,8 +98,8 @@ def _read_instruct(output: str) -> list[Turn]:
     return turns
 
 
-#: It joins what _instruct_turn makes of each turn alone.
-INSTRUCT = Template(_render_instruct, _read_instruct, unescape, context=0)
+#: Without a context, so its results rest on whole prefixes alone.
+INSTRUCT = Template(_render_instruct, _read_instruct, unescape)
 
 # ---------------------------------------------------------------- spans of one conversation
 
@@ -118,23 +120,33 @@ class Span:
 def spans(turns: Iterable[Turn], render: Callable[[list[Turn]], str], context: int | None = None) -> Iterator[Span]:
     """The span of each turn, from whole prefixes.
 
-    A template may say that it looks at no more than its first turn and a number of last ones. For over
-    FEW turns it is taken at its word only if the pieces found so are, joined, what it makes of the whole
-    conversation; else whole prefixes are rendered.
+    With a context the spans are found from the first turn and the last ones, and are taken if their
+    pieces are, joined, what the template makes of each prefix that is checked; else whole prefixes are
+    rendered. The rule is the same for any number of turns.
     """
     own = list(turns)
-    if context is not None and len(own) > FEW:
+    if context is not None:
         found = list(_prefix_spans(own, render, context))
-        if not any(s.rewritten for s in found) and "".join(s.piece for s in found) == render(own):
+        if not any(s.rewritten for s in found) and _joined(found, own, render):
             yield from found
             return
     yield from _prefix_spans(own, render, None)
 
 
+def _joined(found: list[Span], turns: list[Turn], render: Callable[[list[Turn]], str]) -> bool:
+    """Whether the pieces make up the first prefixes, each twice as long as the one before, and the whole."""
+    sizes, size = {len(turns)}, 0
+    while size < len(turns):
+        sizes.add(size)
+        size = size + 1 if size < CHECKED else 2 * size
+    return all(render(turns[:n]) == "".join([s.piece for s in found[:n]]) for n in sorted(sizes))
+
+
 def _prefix_spans(turns: list[Turn], render: Callable[[list[Turn]], str], context: int | None) -> Iterator[Span]:
     """Spans from whole prefixes, or from the first turn and as many last ones as the context has."""
     head: list[Turn] = []  # the first turn
     tail: list[Turn] = []  # the last ones, without the first
+    first: str | None = None  # what the first turn alone renders to
     before = render([])
     for turn in turns:
         prefix = head + tail
@@ -148,8 +160,11 @@ def _prefix_spans(turns: list[Turn], render: Callable[[list[Turn]], str], contex
         else:
             tail.append(turn)
         if context is not None and len(tail) > context:
-            tail = tail[len(tail) - context :]
-            after = render(head + tail)
+            kept = tail[len(tail) - context :]
+            after = first if not kept and first is not None else render(head + kept)
+            tail = kept
+        if first is None:
+            first = after
         before = after
 
 

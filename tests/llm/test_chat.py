@@ -177,3 +177,33 @@ def test_long_conversations_are_rendered_once_where_the_context_holds():
     calls.clear()
     list(chat.spans(turns[:8], counted, context=0))
     assert max(calls) == 8 and sorted(set(calls)) == list(range(9))
+
+
+@pytest.mark.parametrize("turns", [12, 32, 33, 100])
+def test_a_rewrite_taken_back_later_is_seen_in_conversations_of_any_length(spark, turns):
+    """It upper-cases turn 2 while there are exactly 11 turns."""
+
+    def once(said):
+        return "".join(f"{t.upper() if i == 1 and len(said) == 11 else t};" for i, (_, t) in enumerate(said))
+
+    own = [("user", f"text {i}") for i in range(turns)]
+    want = [i in (10, 11) for i in range(turns)]
+    assert [s.rewritten for s in chat.spans(own, once)] == want
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(own)], "conv_id long, turn long, role string, text string")
+    rows = chat.formatted(df, chat.Template(once, lambda s: [], lambda s: s)).orderBy("turn").collect()
+    assert [r.rewritten for r in rows] == want
+    assert chat.INSTRUCT.context is None  # so this holds for the registered query
+
+
+@pytest.mark.parametrize("turns", [9, 16, 17, 32, 33, 64, 65, 200])
+def test_a_promised_context_is_checked_by_one_rule_for_any_length(turns):
+    """Pieces are found from the context for short conversations too, and the same prefixes are checked."""
+    calls = []
+
+    def counted(said):
+        calls.append(len(said))
+        return chat.INSTRUCT.render(said)
+
+    own = [(("user", "assistant")[i % 2], f"t{i}") for i in range(turns)]
+    assert list(chat.spans(own, counted, context=0)) == list(chat.spans(own, chat.INSTRUCT.render))
+    assert set(calls) == {*range(9), *[n for n in (16, 32, 64, 128) if n < turns], turns}
