@@ -278,3 +278,34 @@ def test_retention(spark, small):
     kept = pipeline.expire_before(events, "ts", "2024-02-10 00:00:00", 30)
     assert 0 < kept.count() < events.count()
     assert kept.agg(F.min(F.to_date("ts"))).first()[0].isoformat() >= "2024-01-11"
+
+
+def test_letters_of_one_folder_are_not_moved(spark, tmp_path):
+    """Rows that belong to one folder lie where they would with its columns taken from the rows."""
+    from silverlode.sinks.writers import write_dead_letters
+
+    rows = spark.range(0, 1000, 1, 5).selectExpr("id", "'d' AS delivery", "timestamp_ntz'2001-01-01 00:00:00' AS _failed_at")
+    write_dead_letters(rows, f"{tmp_path}/a", by_run=True, first=("delivery",))
+    before = pipeline.letter_folders(pipeline.read_layer(spark, f"{tmp_path}/a"))
+    folder = pipeline.only_folder(before)
+    write_dead_letters(rows, f"{tmp_path}/b", by_run=True, first=("delivery",), folder=folder)
+    a, b = (pipeline.read_layer(spark, f"{tmp_path}/{x}") for x in "ab")
+    assert a.schema == b.schema and sorted(a.collect()) == sorted(b.collect())
+    assert len(b.inputFiles()) == 5  # one for each task that read them
+    assert pipeline.only_folder(before | {("e", 2001, 1, 1, "r")}) is None
+    assert pipeline.only_folder({("d", None, None, None, None)}) is None and pipeline.only_folder(set()) is None
+
+
+def test_recovered_rows_meet_the_clean_layer_by_one_shuffle(spark):
+    """Its keys are compared as they are; grouping them first moved them twice."""
+    from conftest import plan_of
+
+    rows = spark.createDataFrame([(1, 2001, 1), (2, 2001, 1), (None, 2001, 1)], "k int, year int, month int")
+    silver = spark.createDataFrame([(1, 2001, 1), (1, 2001, 1), (None, 2001, 1)], "k int, year int, month int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = pipeline._not_yet_there(rows, silver, ["k"], [(2001, 1)])
+        assert [r.k for r in fresh.collect()] == [2]
+        assert plan_of(fresh, "simple").split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
