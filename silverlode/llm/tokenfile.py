@@ -34,7 +34,6 @@ import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +54,7 @@ SAMPLES, SAMPLE_IDS, DICTIONARY_BYTES = 4096, 2048, 64 << 10
 #: A file is closed when its frames take so many bytes; it has one document at least.
 FILE_BYTES = 16 << 20
 #: Bytes of text that a worker encodes at a time, or one document.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Bytes of text that a task writes, about.
 TASK_BYTES = 64 << 20
 LEVEL = 3
@@ -84,34 +83,36 @@ class Encoder:
         self.size = tokenizer.get_vocab_size(with_added_tokens=True)
 
         # The tokens that end a word, and texts of some hundred words, which cost less than words one by one.
-        ends = [(tokenizer.id_to_token(i) or "").endswith(tokenizer.model.end_of_word_suffix or "") for i in range(self.size)]
+        suffix = tokenizer.model.end_of_word_suffix or ""
+        ends = np.array([(tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(self.size)])
 
-        def encoded(texts: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        def encoded(texts: list[str]) -> list[np.ndarray]:
+            return [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        def words(runs: list[str], counts: list[int]) -> list[list[int]]:
+        def words(runs: list[str], counts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Runs of known numbers of words, encoded as texts of some hundred; word ends tell them apart."""
-            found: list[list[int]] = []
             cuts = range(0, len(runs), TOGETHER)
             for start, ids in zip(cuts, encoded([" ".join(runs[i : i + TOGETHER]) for i in cuts]), strict=True):
-                stops = [k for k, i in enumerate(ids, 1) if ends[i]]
-                expected = [*accumulate(counts[start : start + TOGETHER])]
-                if len(stops) != expected[-1]:
-                    found += encoded(runs[start : start + TOGETHER])
-                    continue
-                cut = [0, *(stops[c - 1] for c in expected)]
-                found += [ids[a:z] for a, z in pairwise(cut)]
-            return found
-
-        def encode(runs: list[str]) -> list[list[int]]:
-            out = []
+                stops = np.flatnonzero(ends[ids]) + 1
+                expected = np.cumsum(counts[start : start + TOGETHER])
+                if len(stops) == expected[-1]:
+                    yield ids, np.diff(stops[expected - 1], prepend=0)
+                else:
+                    yield one_by_one(runs[start : start + TOGETHER])
+
+        def one_by_one(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = encoded(runs)
+            return np.concatenate(found), np.array([len(ids) for ids in found])
+
+        def encode(runs: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
             for start in range(0, len(runs), BATCH):
                 part = runs[start : start + BATCH]
                 counts = [n_words(run) for run in part]
-                several = iter(words([r for r, n in zip(part, counts, strict=True) if n], [n for n in counts if n]))
-                other = iter(encoded([r for r, n in zip(part, counts, strict=True) if not n]))
-                out += [next(several if n else other) for n in counts]
-            return out
+                if other := [run for run, n in zip(part, counts, strict=True) if not n]:
+                    yield other, *one_by_one(other)
+                if several := [run for run, n in zip(part, counts, strict=True) if n]:
+                    ids, sizes = zip(*words(several, [n for n in counts if n]), strict=True)
+                    yield several, np.concatenate(ids), np.concatenate(sizes)
 
         if not tokenizer.model.end_of_word_suffix:
             raise ValueError("a vocabulary with word ends is needed")
@@ -125,7 +126,7 @@ class Encoder:
         """
         runs, bounds = flat_words(texts, lower=False)
         runs = runs.dictionary_encode()
-        places = self.store.places(runs.dictionary.to_pylist())
+        places = self.store.places(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
         at = places[runs.indices.to_numpy(zero_copy_only=False)]
         return self.store.joined(at, bounds)
 
