@@ -309,3 +309,19 @@ def test_recovered_rows_meet_the_clean_layer_by_one_shuffle(spark):
         assert plan_of(fresh, "simple").split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_of_one_time_lie_side_by_side(spark, tmp_path):
+    """Sorted by time first, routed rows take less room than sorted by amount, and they are the same rows."""
+    from silverlode.operators.dedup import dedup
+
+    rows = spark.range(0, 40_000, 1, 2).selectExpr(
+        "id", "1 AS VendorID", "timestamp_ntz'2001-01-01 00:00:00' + make_interval(0, 0, 0, int(pmod(hash(id), 500))) AS at",
+        "pmod(hash(id, 1), 1000003) / 100.0D AS amount",
+    )
+    kept = dedup(rows, ["VendorID", "at", "amount"]).coalesce(1)
+    assert kept.count() == rows.select("VendorID", "at", "amount").distinct().count()
+    kept.write.parquet(f"{tmp_path}/kept")
+    times = [r["at"] for r in spark.read.parquet(f"{tmp_path}/kept").collect()]
+    changes = sum(a != b for a, b in zip(times, times[1:]))
+    assert changes < 500 * spark.sparkContext.defaultParallelism
