@@ -25,6 +25,22 @@ def bounded(
             start = stop
 
 
+def filled(
+    batches: Iterable[pa.RecordBatch], column: str = "text", most_bytes: int = 4 << 20, row_bytes: int = 64
+) -> Iterator[pa.RecordBatch]:
+    """Join batches in turn while they hold no more than most_bytes, a row counting row_bytes besides its string."""
+    held, size = [], 0
+    for batch in batches:
+        own = (pc.sum(pc.binary_length(batch.column(column))).as_py() or 0) + row_bytes * batch.num_rows
+        if held and size + own > most_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def raw(column: pa.Array) -> pa.Array:
     """UTF-8 bytes of a string column; a null counts as empty."""
     return pc.fill_null(column.cast(pa.large_binary()), b"")

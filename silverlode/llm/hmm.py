@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from silverlode.llm.arrow import Sequences, bounded, flat_words
+from silverlode.llm.arrow import Sequences, bounded, filled, flat_words
 from silverlode.llm.tables import Kept
 
 STATES = 8
@@ -48,6 +48,8 @@ LONGEST = 1 << 20
 #: Bytes of text in a chunk, and tokens that a task's recursion holds at a time.
 CHUNK = 16 << 20
 BATCH = 1_500_000
+#: Tokens whose moves are summed at a time.
+SLICE = 1 << 16
 #: The end of a text is written as the empty word, which no text has.
 END = ""
 
@@ -75,7 +77,7 @@ _CHUNKS = "chunk long, held_out boolean, ids binary, local int, word string, n l
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (with ids) and rows of distinct words (with local, word and training count n)."""
     task, made = TaskContext.get().partitionId(), 0
-    for part in bounded(batches, most_bytes=CHUNK):
+    for part in filled(bounded(batches, most_bytes=CHUNK), most_bytes=CHUNK):
         words, bounds = flat_words(part.column("text"))
         coded = words.dictionary_encode()
         known = len(coded.dictionary)
@@ -133,18 +135,21 @@ class Totals:
         return np.where(counts > 0, np.log10(np.maximum(counts - self.discount, 1e-9) / np.maximum(left, 1e-9)), 0.0)
 
 
+#: Kinds of rows: expected counts, places of words that a chunk has in training texts, sums of a chunk, places of its other words.
+_EXPECTED, _TRAINED, _SUMS, _HELD = range(4)
 _LISTS = "part int, kind int, chunk long, places binary, locals binary, counts binary, expected binary, sums array<double>"
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of words, sorted by part and chunk, as a row for each part and chunk (or a few)."""
+    """Rows of words, sorted by part, chunk and kind, as a row for each of these (or a few)."""
     for batch in batches:
-        part, chunk, place, local, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("part", "chunk", "place", "local", "c"))
-        starts = np.flatnonzero(np.concatenate(([True], (np.diff(part) != 0) | (np.diff(chunk) != 0))))
+        names = ("part", "chunk", "kind", "place", "local", "c")
+        part, chunk, kind, place, local, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in names)
+        starts = np.flatnonzero(np.concatenate(([True], (np.diff(part) != 0) | (np.diff(chunk) != 0) | (np.diff(kind) != 0))))
         cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True))
         yield _rows(
             part=[int(part[a]) for a, _ in cuts],
-            kind=[1] * len(cuts),
+            kind=[int(kind[a]) for a, _ in cuts],
             chunk=[int(chunk[a]) for a, _ in cuts],
             places=[place[a:z].astype("<u4").tobytes() for a, z in cuts],
             locals=[local[a:z].astype("<u4").tobytes() for a, z in cuts],
@@ -169,7 +174,8 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     """Rows of _LISTS with the places of each chunk's words in each part, and the totals.
 
     words has a row for each word of each chunk, so a word meets in one task with as many rows as there
-    are chunks, not tokens; they cross the network once to be summed.
+    are chunks, not tokens; they cross the network once to be summed. Words that a chunk has in its
+    held-out texts only are listed apart, as _HELD: no round needs them.
     """
     own = Kept()
     tokens = words.agg(F.sum("n")).first()[0] or 0
@@ -179,14 +185,15 @@ def _lexicon(kept: Kept, words: DataFrame) -> tuple[DataFrame, Totals]:
     every = word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     counted = dealt.withColumn("c", F.sum("n").over(every)).withColumn("first", F.row_number().over(word) == 1)
     counted = counted.withColumn("place", F.dense_rank().over(W.partitionBy("part").orderBy("word")) - 1)
-    counted = own.write(counted.select("part", "chunk", "local", "place", "c", "first"), "counted")
+    counted = counted.withColumn("kind", F.when(F.col("n") > 0, _TRAINED).otherwise(_HELD))
+    counted = own.write(counted.select("part", "chunk", "kind", "local", "place", "c", "first"), "counted")
     sums = counted.where("first AND c > 0").agg(
         F.count(F.lit(1)).alias("words"),
         F.count(F.when(F.col("c") == 1, 1)).alias("once"),
         F.count(F.when(F.col("c") == 2, 1)).alias("twice"),
     ).first()
     discount = min(max(sums.once / (sums.once + 2 * sums.twice), 0.1), 0.9) if sums.once + sums.twice else 0.5
-    lists = counted.drop("first").repartition("part").sortWithinPartitions("part", "chunk", "local").mapInArrow(_listed, _LISTS)
+    lists = counted.drop("first").repartition("part").sortWithinPartitions("part", "chunk", "kind", "local").mapInArrow(_listed, _LISTS)
     lists = kept.write(lists, "lists")
     own.drop()
     _free(words)
@@ -228,30 +235,39 @@ class Model:
         moves = np.zeros((states, states))
         if not len(laid.tokens):
             return np.zeros(states), moves, np.zeros((classes, states)), 0.0
+        emits, change = self.emits.astype(np.float32), self.moves.astype(np.float32)
+        weight, back = emits[laid.tokens], np.ascontiguousarray(change.T)
         share = np.empty((len(laid.tokens), states), np.float32)
         scales = np.empty(len(laid.tokens), np.float32)
-        emits, change = self.emits.astype(np.float32), self.moves.astype(np.float32)
-        for t, alive in enumerate(laid.alive):
-            at = laid.start[t]
-            now = emits[laid.tokens[at : at + alive]]
-            now = now * self.start.astype(np.float32) if t == 0 else now * (before[:alive] @ change)
-            scale = now.sum(axis=1)
+        ones, spans = np.ones(states, np.float32), list(zip(laid.start.tolist(), laid.alive.tolist(), strict=False))
+        # A long text leaves many times with few sequences, so a time takes as few calls as it can.
+        for t, (at, alive) in enumerate(spans):
+            now, scale = share[at : at + alive], scales[at : at + alive]
+            if t == 0:
+                np.multiply(weight[:alive], self.start.astype(np.float32), out=now)
+            else:
+                np.matmul(before[:alive], change, out=now)
+                now *= weight[at : at + alive]
+            np.matmul(now, ones, out=scale)
             now /= scale[:, None]
-            before = share[at : at + alive] = now
-            scales[at : at + alive] = scale
-        behind = None  # emission times backward value of the next time, scaled
-        for t in range(len(laid.alive) - 1, -1, -1):
-            at, alive = laid.start[t], laid.alive[t]
-            forward = share[at : at + alive]
-            backward = np.ones((alive, states), np.float32)
-            if behind is not None:
-                moves += forward[: len(behind)].T @ behind
-                backward[: len(behind)] = behind @ change.T
-            behind = emits[laid.tokens[at : at + alive]] * backward / scales[at : at + alive, None]
-            forward *= backward  # now the states' posterior
-        first = share[: laid.alive[0]].sum(axis=0, dtype=np.float64)
-        emitted = np.stack([np.bincount(laid.tokens, share[:, k], classes) for k in range(states)], axis=1)
-        return first, moves * self.moves, emitted, float(np.log(scales).sum(dtype=np.float64))
+            before = now
+        weight /= scales[:, None]
+        room = np.empty((len(laid), states), np.float32)
+        for t in range(len(spans) - 1, 0, -1):
+            # From here on a weight is the emission times the backward value, scaled.
+            (at, alive), was = spans[t], spans[t - 1][0]
+            weight[was : was + alive] *= np.matmul(weight[at : at + alive], back, out=room[:alive])
+        # A posterior is what the forward shares of the time before foretell, times that weight.
+        head, gone = len(laid), np.repeat(laid.alive[:-1], laid.alive[1:])
+        first = weight[:head] * self.start.astype(np.float32)
+        for i in range(0, len(gone), SLICE):
+            here = slice(head + i, head + min(i + SLICE, len(gone)))
+            old = share[np.arange(here.start, here.stop) - gone[i : i + SLICE]]
+            moves += old.T @ weight[here]
+            weight[here] *= old @ change
+        weight[:head] = first
+        emitted = np.stack([np.bincount(laid.tokens, weight[:, k], classes) for k in range(states)], axis=1)
+        return first.sum(axis=0, dtype=np.float64), moves * self.moves, emitted, float(np.log(scales).sum(dtype=np.float64))
 
 
 def _shares(first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +331,7 @@ class Emissions:
                     places = np.frombuffer(row["places"], "<u4").astype(np.int64)
                     if (top := int(places.max()) + 1) > len(held):
                         held = np.concatenate((held, np.zeros((max(top, 2 * len(held)) - len(held), states))))
-                    if row["kind"] == 0:
+                    if row["kind"] == _EXPECTED:
                         held[places] += np.frombuffer(row["expected"], "<f4").reshape(-1, states)
                         continue
                     counts = np.frombuffer(row["counts"], "<i8")
@@ -325,8 +341,10 @@ class Emissions:
 
         return run
 
-    def _dealt(self) -> DataFrame:
-        rows = self.lists if self.expected is None else self.lists.unionByName(self.expected.where("kind = 0"))
+    def _dealt(self, every: bool = False) -> DataFrame:
+        rows = self.lists if every else self.lists.where(F.col("kind") == _TRAINED)
+        if self.expected is not None:
+            rows = rows.unionByName(self.expected.where(F.col("kind") == _EXPECTED))
         return rows.repartition("part").sortWithinPartitions("part", "kind")
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +371,7 @@ class Emissions:
         return total[:states], total[states:]
 
     def sent(self, counted: bool = False) -> DataFrame:
-        """Rows of _LISTS, one for each list, with the words' shares in expected, and with their counts if asked."""
+        """Rows of _LISTS, one for each list, with the words' shares in expected; if asked, with counts and for held-out texts too."""
         each, sums = self._numbers(), self.sums
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +386,7 @@ class Emissions:
             if made:
                 yield _rows(**{n: [r[n] for r in made] for n in names})
 
-        return self._dealt().mapInArrow(run, _LISTS)
+        return self._dealt(every=counted).mapInArrow(run, _LISTS)
 
 
 def _table(found: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -414,7 +432,7 @@ def _round(kept: Kept, train: DataFrame, start: np.ndarray, moves: np.ndarray, e
         sums = np.concatenate((total[:-1], emitted.sum(axis=0), total[-1:]))
         made = _rows(
             part=[*found.column("part").to_pylist(), -1],
-            kind=[0] * len(rows) + [2],
+            kind=[_EXPECTED] * len(rows) + [_SUMS],
             places=[*found.column("places").to_pylist(), None],
             expected=[*(emitted[x].astype("<f4").tobytes() for x in rows), None],
             sums=[None] * len(rows) + [sums.tolist()],
@@ -423,7 +441,7 @@ def _round(kept: Kept, train: DataFrame, start: np.ndarray, moves: np.ndarray, e
 
     both = train.groupBy("of").cogroup(emits.sent().groupBy("chunk"))
     expected = kept.write(both.applyInArrow(run, _LISTS), "expected")
-    summed = expected.where("kind = 2").select(F.posexplode("sums").alias("place", "value")).groupBy("place").agg(F.sum("value").alias("value"))
+    summed = expected.where(F.col("kind") == _SUMS).select(F.posexplode("sums").alias("place", "value")).groupBy("place").agg(F.sum("value").alias("value"))
     total = np.zeros(2 * states + states * states + 1)
     for r in summed.collect():  # no more than moves and states
         total[r.place] = r.value
@@ -473,6 +491,7 @@ def scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     first.drop()
     start, moves, emits = train(kept, texts, lists, totals, states, rounds)
     unknown = emits.summed()[1] / emits.sums
+    _free(texts)
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         shares, counts, _ = _table(found, states)

@@ -182,3 +182,37 @@ def test_every_word_has_counts_of_its_own_as_in_plain_training(spark):
     assert got.sum(axis=0) == pytest.approx(np.ones(3), rel=1e-4)
     assert got == pytest.approx(plain.emits, rel=1e-2, abs=1e-7)
     assert moves == pytest.approx(plain.moves, rel=1e-2)
+
+
+def test_a_round_is_not_sent_words_that_only_held_out_texts_have(spark):
+    """Nor are batches of one task numbered apart, so a word goes to it once."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [*((i, "red green blue") for i in ids), *((i, f"red only{i}") for i in held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    docs = docs.withColumn("held_out", hmm.held_out(hmm.F.col("doc_id")))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    kept = hmm.Kept()
+    try:
+        both = kept.write(docs.mapInArrow(hmm._numbered, f"doc_id long, {hmm._CHUNKS}"), "numbers")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert both.select("chunk").distinct().count() == 1
+    lists, totals = hmm._lexicon(kept, both.where("word IS NOT NULL").select("chunk", "local", "word", "n"))
+    emits = hmm.Emissions(lists, None, totals, 2, 42, np.ones(2))
+    sent = [sum(len(r.locals) // 4 for r in emits.sent(counted=c).collect()) for c in (False, True)]
+    assert sent == [4, 4 + len(held)]  # the end is a word
+    kept.drop()
+
+
+def test_expected_counts_of_long_and_short_texts(small_model):
+    """One long text among short ones: the recursions go on with it alone."""
+    pick = np.random.default_rng(4)
+    sequences = [pick.integers(0, 5, n) for n in (1, 900, 2, 5, 1, 70_000)]
+    whole = small_model.expected_and_likelihood(sequences)
+    apart = [small_model.expected_and_likelihood([s]) for s in sequences]
+    for k in range(4):
+        assert whole[k] == pytest.approx(sum(x[k] for x in apart), rel=1e-3)
+    assert whole[0].sum() == pytest.approx(6) and whole[1].sum() == pytest.approx(sum(len(s) - 1 for s in sequences), rel=1e-4)
+    assert whole[2].sum() == pytest.approx(sum(map(len, sequences)), rel=1e-4)
