@@ -6,7 +6,7 @@ time and again with real sizes under AQE; beyond that it shuffles and AQE splits
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.predicates import count_where
@@ -118,3 +118,37 @@ def completeness(dim: DataFrame, dim_key: str, fact: DataFrame, key: str) -> Dat
         count_where(F.col("_seen").isNotNull()).alias("present"),
         count_where(F.col("_seen").isNull()).alias("absent"),
     )
+
+
+#: Bits that keys are marked in, as a power of two: one megabyte, whatever the number of keys.
+MARKS = 23
+
+
+def perhaps_among(value: Column, keys: DataFrame) -> Column:
+    """False for values that are certainly not among the keys in the first column, true for all that are.
+
+    Each key marks a bit at its hash. With up to a million keys or so few other values find a marked bit, so
+    a large side needs to be dealt for a join only where this is true; with very many keys it is true for
+    most values. It decides what travels and never a result.
+    """
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << MARKS))
+
+    bit = F.expr("shiftleft(1L, CAST(_place & 63 AS INT))")
+    marked = keys.select(place(F.col(keys.columns[0])).alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    every = keys.sparkSession.range(1 << (MARKS - 6)).join(marked, F.col("id") == F.col("_word"), "left")
+    word = F.struct("id", F.coalesce("_bits", F.lit(0)).alias("bits"))
+    words = every.agg(F.transform(F.sort_array(F.collect_list(word)), lambda w: w["bits"])).scalar()
+    here = place(value)
+    return F.getbit(words[F.shiftright(here, 6).cast("int")], here.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def without_keys(rows: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose value is not among the keys in the first column, NULL included, in two frames.
+
+    Those of the first frame lie as they were read; only those of the second have been dealt for the join.
+    """
+    perhaps = perhaps_among(F.col(column), keys)
+    there = keys.select(F.col(keys.columns[0]).alias("_key"))
+    return rows.where(~perhaps), rows.where(perhaps).join(there, F.col(column) == F.col("_key"), "left_anti")
